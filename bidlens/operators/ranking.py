@@ -1,10 +1,11 @@
 """Positions, order statistics and exact quantiles that split hot groups.
 
 A plain ``row_number``, ``rank`` or ``percentile`` sends a whole group to one task.
-Here a group's distinct values are counted first (so copies combine before the
-shuffle) and then cut into value ranges by a bounded sketch. Ranges are ordered
-on their own and joined by their running totals. Results are exact: the sketch
-decides only where to cut.
+Here the distinct values of each group are counted first, so copies combine before
+the shuffle, and written once. Groups whose distinct values fit a checked limit are
+then ordered as a whole. Larger groups are cut into value ranges by a bounded
+sketch; each range is ordered on its own and they are joined by running totals.
+Both ways are exact: the sketch only decides where to cut.
 """
 
 from __future__ import annotations
@@ -14,8 +15,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
-SKETCH_ACCURACY = 1000
+from bidlens.session import PIN_ROWS, cut_lineage
+
+GROUP_LIMIT = 1_000_000  # distinct values one task may order
+RANGES = 256
+SKETCH_ACCURACY = 2000
+
+
+def part_hot_groups(values: DataFrame, keys: Sequence[str],
+                    limit: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows of the groups within ``limit`` and rows of the larger groups (None: no such rows)."""
+    if not keys:
+        if values.limit(limit + 1).count() > limit:
+            return None, values
+        return values, None
+    heavy = (values.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+             .filter(F.col("_rows") > limit).select(*keys))
+    rows = heavy.limit(PIN_ROWS + 1).collect()
+    if not rows:
+        return values, None
+    if len(rows) <= PIN_ROWS:
+        heavy = F.broadcast(values.sparkSession.createDataFrame(rows, heavy.schema))
+    return (values.join(heavy, list(keys), "left_anti"), values.join(heavy, list(keys), "left_semi"))
 
 
 def split_ranges(values: DataFrame, keys: Sequence[str], order: str, ranges: int = RANGES) -> DataFrame:
@@ -27,11 +48,11 @@ def split_ranges(values: DataFrame, keys: Sequence[str], order: str, ranges: int
     else:
         cut = values.withColumn("_cuts", values.agg(cuts).scalar())
     below = F.size(F.filter("_cuts", lambda c: c < F.col(order).cast("double")))
-    return cut.withColumn("_range", F.coalesce(below, F.lit(0))).drop("_cuts")
+    return cut.withColumn("_range", below).drop("_cuts")
 
 
 def _range_totals(ranged: DataFrame, keys: Sequence[str], weights: Sequence[str]) -> DataFrame:
-    """Per range: weight in all earlier ranges of the group, and the group's total."""
+    """Per range: weight in the range, in the group's earlier ranges, and in the whole group."""
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(w).alias(f"_in_{w}") for w in weights])
@@ -44,103 +65,125 @@ def _range_totals(ranged: DataFrame, keys: Sequence[str], weights: Sequence[str]
     return totals if keys else F.broadcast(totals)
 
 
-def _within(keys: Sequence[str], order: str):
-    return Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def _running(by: Sequence[str], order: str):
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    return group.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _whole(keys: Sequence[str]):
+    return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
 
 
 def running_totals(values: DataFrame, keys: Sequence[str], order: str, weights: Sequence[str],
-                   ranges: int = RANGES) -> DataFrame:
+                   limit: int = GROUP_LIMIT, ranges: int = RANGES) -> DataFrame:
     """Add ``<w>_before`` and ``<w>_total`` for rows unique per (keys, order).
 
     ``<w>_before`` sums ``w`` over the smaller values of the group.
     """
-    ranged = split_ranges(values, keys, order, ranges)
-    joined = ranged.join(_range_totals(ranged, keys, weights), [*keys, "_range"])
-    inner = _within(keys, order)
-    out = joined.withColumns({
-        f"{w}_before": F.col(f"_ahead_{w}") + F.coalesce(F.sum(w).over(inner), F.lit(0))
-        for w in weights
-    })
+    values = cut_lineage(values, "values")
+    light, heavy = part_hot_groups(values, keys, limit)
     kept = [*values.columns]
     for w in weights:
         kept += [f"{w}_before", f"{w}_total"]
-    return out.select(*kept)
-
-
-def value_positions(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    parts = []
+    if light is not None:
+        run = _running(keys, order)
+        parts.append(light.withColumns({
+            **{f"{w}_before": F.coalesce(F.sum(w).over(run), F.lit(0)) for w in weights},
+            **{f"{w}_total": F.sum(w).over(_whole(keys)) for w in weights}}).select(*kept))
+    if heavy is not None:
+        ranged = split_ranges(heavy, keys, order, ranges)
+        joined = ranged.join(_range_totals(ranged, keys, weights), [*keys, "_range"])
+        run = _running([*keys, "_range"], order)
+        parts.append(joined.withColumns({
+            f"{w}_before": F.col(f"_ahead_{w}") + F.coalesce(F.sum(w).over(run), F.lit(0))
+            for w in weights}).select(*kept))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def value_positions(df: DataFrame, keys: Sequence[str], order: str, limit: int = GROUP_LIMIT) -> DataFrame:
     """Distinct values of each group with ``n`` copies, ``n_before`` smaller rows, ``n_total`` rows."""
     counted = (df.filter(F.col(order).isNotNull())
                .groupBy(*keys, order).agg(F.count(F.lit(1)).alias("n")))
-    return running_totals(counted, keys, order, ["n"])
+    return running_totals(counted, keys, order, ["n"], limit)
 
 
-def average_rank(df: DataFrame, key: str, order: str, into: str) -> DataFrame:
+def average_rank(df: DataFrame, key: str, order: str, into: str, limit: int = GROUP_LIMIT) -> DataFrame:
     """Rank from 1 within the group, ties sharing their mean rank; null stays null."""
-    ranks = value_positions(df, [key], order).select(
+    ranks = value_positions(df, [key], order, limit).select(
         key, order, (F.col("n_before") + (F.col("n") + 1) / 2).cast("double").alias(into))
     return df.join(ranks, [key, order], "left")
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    keys: Sequence[str] = (), ranges: int = RANGES) -> DataFrame:
-    """Linearly interpolated quantiles: one row per (keys, ``stat``) with ``q0``, ``q1``, …
+def _position(p: float) -> tuple[Column, Column, Column]:
+    """Lower row, upper row and the share of the upper row for quantile ``p`` of ``n_total`` rows."""
+    at = (F.col("n_total") - 1) * F.lit(float(p))
+    # A hair of slack keeps products such as 0.95 * 20 on their integer.
+    near = F.when(F.abs(at - F.rint(at)) < 1e-9, F.rint(at)).otherwise(at)
+    return F.floor(near), F.ceil(near), near - F.floor(near)
 
-    Null and NaN values are left out. Only the value ranges that hold a wanted
-    position are ordered.
-    """
-    names = list(cols)
-    wide = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in names])
-    long = wide.unpivot(list(keys), names, "stat", "value").filter(
-        F.col("value").isNotNull() & ~F.isnan("value"))
-    ids = [*keys, "stat"]
-    counted = long.groupBy(*ids, "value").agg(F.count(F.lit(1)).alias("n"))
-    ranged = split_ranges(counted, ids, "value", ranges)
-
-    def positions(p: float) -> tuple[Column, Column, Column]:
-        at = (F.col("n_total") - 1) * F.lit(float(p))
-        # A hair of slack keeps products such as 0.95 * 20 on their integer.
-        near = F.when(F.abs(at - F.rint(at)) < 1e-9, F.rint(at)).otherwise(at)
-        return F.floor(near), F.ceil(near), near - F.floor(near)
 
+def _hot_quantiles(counted: DataFrame, ids: Sequence[str], probs: Sequence[float], ranges: int) -> DataFrame:
+    """Quantiles of large groups: only the value ranges that hold a wanted row are ordered."""
+    ranged = split_ranges(counted, ids, "value", ranges)
     wanted = F.lit(False)
     for p in probs:
-        low, high, _ = positions(p)
+        low, high, _ = _position(p)
         wanted = wanted | ((F.col("_ahead_n") <= high) & (F.col("_ahead_n") + F.col("_in_n") > low))
     target = _range_totals(ranged, ids, ["n"]).filter(wanted)
-    run = F.col("_ahead_n") + F.coalesce(F.sum("n").over(_within(ids, "value")), F.lit(0))
+    run = F.col("_ahead_n") + F.coalesce(F.sum("n").over(_running([*ids, "_range"], "value")), F.lit(0))
     near = ranged.join(target, [*ids, "_range"]).withColumn("_run", run)
+
+    def row(at: Column) -> Column:
+        return F.max(F.when((F.col("_run") <= at) & (at < F.col("_run") + F.col("n")), F.col("value")))
+
     picks, results = [], []
     for i, p in enumerate(probs):
-        low, high, part = positions(p)
-        holds = lambda at: (F.col("_run") <= at) & (at < F.col("_run") + F.col("n"))
-        picks += [F.max(F.when(holds(low), F.col("value"))).alias(f"_l{i}"),
-                  F.max(F.when(holds(high), F.col("value"))).alias(f"_h{i}"),
-                  F.max(part).alias(f"_f{i}")]
-        results.append((F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * F.col(f"_f{i}")).alias(f"q{i}"))
+        low, high, part = _position(p)
+        picks += [row(low).alias(f"_l{i}"), row(high).alias(f"_h{i}"), F.max(part).alias(f"_f{i}")]
+        step = (F.col(f"_h{i}") - F.col(f"_l{i}")) * F.col(f"_f{i}")
+        results.append((F.col(f"_l{i}") + step).alias(f"q{i}"))
     return near.groupBy(*ids).agg(*picks).select(*ids, *results)
 
 
-def grouped_medians(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys: Sequence[str] = (),
+                    limit: int = GROUP_LIMIT, ranges: int = RANGES) -> DataFrame:
+    """Linearly interpolated quantiles: one row per (keys, ``stat``) with ``q0``, ``q1``, …
+
+    Null and NaN values are left out.
+    """
+    wide = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
+    long = wide.unpivot(list(keys), list(cols), "stat", "value").filter(
+        F.col("value").isNotNull() & ~F.isnan("value"))
+    ids = [*keys, "stat"]
+    counted = cut_lineage(long.groupBy(*ids, "value").agg(F.count(F.lit(1)).alias("n")), "values")
+    light, heavy = part_hot_groups(counted, ids, limit)
+    found = F.percentile("value", F.lit([float(p) for p in probs]), F.col("n"))
+    out = light.groupBy(*ids).agg(found.alias("_q")).select(
+        *ids, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
+    return out if heavy is None else out.unionByName(_hot_quantiles(heavy, ids, probs, ranges))
+
+
+def grouped_medians(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
+                    limit: int = GROUP_LIMIT) -> DataFrame:
     """Exact median of each column per group, one row per group; null keys are left out."""
-    present = df
-    for k in keys:
-        present = present.filter(F.col(k).isNotNull())
-    medians = exact_quantiles(present, cols, [0.5], keys)
+    medians = exact_quantiles(df.na.drop("any", subset=list(keys)), cols, [0.5], keys, limit)
     return medians.groupBy(*keys).agg(
         *[F.max(F.when(F.col("stat") == c, F.col("q0"))).alias(c) for c in cols])
 
 
-def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                  limit: int = GROUP_LIMIT) -> dict[str, list[float]]:
     """Quantiles of whole columns as parameters: one row per column reaches the driver."""
-    rows = exact_quantiles(df, cols, probs).collect()
-    found = {r["stat"]: [r[f"q{i}"] for i in range(len(probs))] for r in rows}
+    rows = exact_quantiles(df, cols, probs, limit=limit).collect()
+    found = {row["stat"]: [row[f"q{i}"] for i in range(len(probs))] for row in rows}
     return {c: found.get(c, [None] * len(probs)) for c in cols}
 
 
-def first_positions(df: DataFrame, order: str, count: int) -> float | None:
-    """The ``count``-th smallest value of ``order`` (None when ``count`` is 0)."""
+def nth_smallest(df: DataFrame, order: str, count: int, limit: int = GROUP_LIMIT):
+    """The ``count``-th smallest value of ``order`` (None when ``count`` is below 1)."""
     if count < 1:
         return None
-    placed = value_positions(df, [], order)
+    placed = value_positions(df, [], order, limit)
     return (placed.filter((F.col("n_before") < count) & (F.col("n_before") + F.col("n") >= count))
             .select(order).head()[0])
