@@ -9,7 +9,7 @@ from bidlens.catalog.tables import Tables
 from bidlens.functions import scalar as S
 from bidlens.operators import asof, days, queue, requests
 from bidlens.schemas import SETTINGS
-from bidlens.session import stage_path
+from bidlens.session import cut_lineage, stage_path
 from bidlens.sources import readers, writers
 
 NUMBERS = ["pctr", "q_ecpm", "total_ecpm", "filter_flag"]
@@ -268,7 +268,7 @@ def label_counts(spark, folder):
 select d.ad_id, d.days, d.requestion_num, coalesce(l.y, 0) as "Y"
 from ad_days d left join day_labels l on d.ad_id = l.ad_id and d.days = l.days""", ["ad_days", "day_labels"])
 def label_join(spark, folder):
-    log = Tables(spark, folder).timed_log()
+    log = Tables(spark, folder).staged_log()
     stats = queue.ad_day_request_stats(log).select("ad_id", "days", "requestion_num")
     return queue.label_join(stats, queue.label_counts(queue.exposed_ad(log)))
 
@@ -303,7 +303,7 @@ from day_labels l left join (
 @query("asof_settings", ASOF_SQL, ["day_labels", "operation_times"])
 def asof_settings(spark, folder):
     t = Tables(spark, folder)
-    spine = queue.label_counts(queue.exposed_ad(t.timed_log())).drop("Y")
+    spine = cut_lineage(queue.label_counts(queue.exposed_ad(t.timed_log())).drop("Y"), "spine")
     return asof.asof_settings(spine, t.operations(), SETTINGS)
 
 

@@ -8,25 +8,30 @@ from bidlens.catalog.base import query, r, rounded
 from bidlens.catalog.tables import Tables
 from bidlens.operators import days, history, queue
 from bidlens.operators.history import HISTORY_STATS, SPREAD_STATS, TRAIN_LAGS
+from bidlens.session import cut_lineage
 
 GROUP_KEYS = ["ad_account_id", "item_id", "ad_size_id"]
 
 
-def exposures(t: Tables):
+def exposures(log):
     """Winners with the label of their own time, as history wants it."""
-    exposure = queue.exposed_ad(t.timed_log().drop("days"))
+    exposure = queue.exposed_ad(log.drop("days"))
     return days.row_day_label(exposure).withColumnRenamed("exposed_ad_id", "ad_id")
 
 
-def spine(t: Tables):
+def daily_counts(log):
+    return cut_lineage(history.daily_exposure(exposures(log)), "daily")
+
+
+def spine(t: Tables, log):
     """Labelled ad days with the grouping attributes."""
-    labels = queue.label_counts(queue.exposed_ad(t.timed_log())).drop("Y")
+    labels = queue.label_counts(queue.exposed_ad(log)).drop("Y")
     return labels.join(t.static().select("ad_id", *GROUP_KEYS), "ad_id", "left")
 
 
-def stats_with_static(t: Tables):
-    stats = queue.ad_day_request_stats(t.timed_log())
-    return stats.join(t.static().select("ad_id", *GROUP_KEYS), "ad_id", "left")
+def stats_with_static(t: Tables, log):
+    stats = queue.ad_day_request_stats(log)
+    return cut_lineage(stats.join(t.static().select("ad_id", *GROUP_KEYS), "ad_id", "left"), "stats")
 
 
 SPINE = """spine as (select l.ad_id, l.days, s.ad_account_id, s.item_id, s.ad_size_id
@@ -52,8 +57,9 @@ select spine.ad_id, spine.days, {_cols.replace('round((', 'cast(round((').replac
 from spine {_joins}""", ["day_labels", "ad_static"])
 def ad_exposure_lags(spark, folder):
     t = Tables(spark, folder)
-    daily = history.daily_exposure(exposures(t))
-    return history.ad_exposure_lags(spine(t).select("ad_id", "days"), daily)
+    log = t.staged_log()
+    daily = daily_counts(log)
+    return history.ad_exposure_lags(spine(t, log).select("ad_id", "days"), daily)
 
 
 _parts = {k: lagged(f"by_{k}", k, [("exposure", f"{k}_exposure")], 0) for k in GROUP_KEYS}
@@ -68,8 +74,9 @@ select spine.ad_id, spine.days, {', '.join(p[0] for p in _parts.values())}
 from spine {' '.join(p[1] for p in _parts.values())}""", ["day_labels", "ad_static"])
 def group_exposure_median_lags(spark, folder):
     t = Tables(spark, folder)
-    daily = history.daily_exposure(exposures(t))
-    return rounded(history.group_exposure_median_lags(spine(t), daily, t.static()).drop(*GROUP_KEYS))
+    log = t.staged_log()
+    daily = daily_counts(log)
+    return rounded(history.group_exposure_median_lags(spine(t, log), daily, t.static()).drop(*GROUP_KEYS))
 
 
 _cols, _joins = lagged("ad_days", "ad_id", [(s, f"ad_id_{s}") for s in HISTORY_STATS], -1)
@@ -80,8 +87,9 @@ with {SPINE} select spine.ad_id, spine.days, {_cols} from spine {_joins}""",
        ["day_labels", "ad_static", "ad_days"])
 def ad_stat_lags(spark, folder):
     t = Tables(spark, folder)
-    stats = queue.ad_day_request_stats(t.timed_log()).withColumn("user_num", F.col("user_num").cast("double"))
-    return rounded(history.ad_stat_lags(spine(t).select("ad_id", "days"), stats))
+    log = t.staged_log()
+    stats = queue.ad_day_request_stats(log).withColumn("user_num", F.col("user_num").cast("double"))
+    return rounded(history.ad_stat_lags(spine(t, log).select("ad_id", "days"), stats))
 
 
 _keys = GROUP_KEYS[:2]
@@ -97,7 +105,8 @@ select spine.ad_id, spine.days, {', '.join(p[0] for p in _parts.values())}
 from spine {' '.join(p[1] for p in _parts.values())}""", ["day_labels", "ad_days_static"])
 def group_stat_median_lags(spark, folder):
     t = Tables(spark, folder)
-    return rounded(history.group_stat_median_lags(spine(t), stats_with_static(t)).drop(*GROUP_KEYS))
+    log = t.staged_log()
+    return rounded(history.group_stat_median_lags(spine(t, log), stats_with_static(t, log)).drop(*GROUP_KEYS))
 
 
 _cols, _joins = lagged("spread", "ad_account_id", [(s, f"ad_account_id_{s}_std") for s in SPREAD_STATS], -1)
@@ -109,7 +118,8 @@ from ad_days_static group by ad_account_id, days)
 select spine.ad_id, spine.days, {_cols} from spine {_joins}""", ["day_labels", "ad_days_static"])
 def group_stat_std_lags(spark, folder):
     t = Tables(spark, folder)
-    return rounded(history.group_stat_std_lags(spine(t), stats_with_static(t)).drop(*GROUP_KEYS))
+    log = t.staged_log()
+    return rounded(history.group_stat_std_lags(spine(t, log), stats_with_static(t, log)).drop(*GROUP_KEYS))
 
 
 @query("lag_join", f"""
@@ -117,6 +127,6 @@ with {SPINE}
 select a.ad_id, a.days, {r('coalesce(b.exposure, 0)', 'two_days_ago')}
 from shown a left join shown b on a.ad_id = b.ad_id and b.days + 2 = a.days""", ["day_labels", "ad_static"])
 def lag_join(spark, folder):
-    daily = history.daily_exposure(exposures(Tables(spark, folder)))
+    daily = daily_counts(Tables(spark, folder).timed_log())
     out = history.lag_join(daily.drop("exposure"), daily, ["ad_id"], ["exposure"], [2], 0)
     return rounded(out.select("ad_id", "days", F.col("exposure_2day").cast("double").alias("two_days_ago")))

@@ -19,7 +19,7 @@ DOC_FEATURES = ("n_chars", "f7", "f11")
 
 def regress_table(t: Tables):
     """Ad days with their statistics, exposure label, unique row number and fold."""
-    log = t.timed_log()
+    log = t.staged_log()
     rows = queue.label_join(queue.ad_day_request_stats(log), queue.label_counts(queue.exposed_ad(log)))
     day = F.date_diff("days", F.lit("2019-04-01").cast("date"))
     rows = rows.withColumns({"row": F.col("ad_id") * 100 + day, "Y": F.col("Y").cast("double")})

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidlens.functions.scalar import epoch_local, safe_time
+from bidlens.session import cut_lineage
 from bidlens.sources.readers import clean_static
 
 BASE = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -162,6 +163,10 @@ class Tables:
         return self._packed(self.entries(), ["ad_id", "filler", "pctr", "q_ecpm", "total_ecpm",
                                              "filter_flag", "exposed"])
 
+    def staged_log(self) -> DataFrame:
+        """The timed log as a written table, for queries that read it several times."""
+        return cut_lineage(self.timed_log(), "log")
+
     def timed_log(self) -> DataFrame:
         """Packed training log with local time and the label of its daily file."""
         return (self.track_log()
