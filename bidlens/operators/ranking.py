@@ -15,11 +15,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidlens.session import PIN_ROWS, cut_lineage
+from bidlens.session import PIN_ROWS, cut_lineage, pin_small
 
 GROUP_LIMIT = 1_000_000  # distinct values one task may order
 RANGES = 256
 SKETCH_ACCURACY = 2000
+PIN_CUTS = 5000  # groups whose cuts (2 KB each) are broadcast
 
 
 def part_hot_groups(values: DataFrame, keys: Sequence[str],
@@ -44,7 +45,8 @@ def split_ranges(values: DataFrame, keys: Sequence[str], order: str, ranges: int
     grid = F.lit([i / ranges for i in range(1, ranges)])
     cuts = F.percentile_approx(F.col(order).cast("double"), grid, SKETCH_ACCURACY)
     if keys:
-        cut = values.join(values.groupBy(*keys).agg(cuts.alias("_cuts")), list(keys))
+        # Only hot groups come here, so the cuts are few; beyond the pin they join by shuffle.
+        cut = values.join(pin_small(values.groupBy(*keys).agg(cuts.alias("_cuts")), PIN_CUTS), list(keys))
     else:
         cut = values.withColumn("_cuts", values.agg(cuts).scalar())
     below = F.size(F.filter("_cuts", lambda c: c < F.col(order).cast("double")))
@@ -174,7 +176,16 @@ def grouped_medians(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
 
 def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                   limit: int = GROUP_LIMIT) -> dict[str, list[float]]:
-    """Quantiles of whole columns as parameters: one row per column reaches the driver."""
+    """Quantiles of whole columns as parameters: one row per column reaches the driver.
+
+    A table whose values fit the limit, all columns together, takes a single aggregation.
+    """
+    if df.limit(limit // len(cols) + 1).count() * len(cols) <= limit:
+        whole = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+        grid = F.lit([float(p) for p in probs])
+        kept = [F.when(~F.isnan(f"c{i}"), F.col(f"c{i}")) for i in range(len(cols))]
+        row = whole.agg(*[F.percentile(k, grid).alias(f"q{i}") for i, k in enumerate(kept)]).head()
+        return {c: row[f"q{i}"] or [None] * len(probs) for i, c in enumerate(cols)}
     rows = exact_quantiles(df, cols, probs, limit=limit).collect()
     found = {row["stat"]: [row[f"q{i}"] for i in range(len(probs))] for row in rows}
     return {c: found.get(c, [None] * len(probs)) for c in cols}

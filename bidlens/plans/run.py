@@ -22,7 +22,9 @@ def run(spark: SparkSession, raw: str, out: str, params: ForecastParams | None =
     static = require_unique(readers.scan_static(spark, f"{raw}/total_data/map_ad_static.out"), "ad_id")
     operations = readers.scan_operations(spark, f"{raw}/total_data/final_map_bid_opt.out")
     paths = readers.daily_paths(f"{raw}/total_data/track_log")
-    log = file_day_label(readers.scan_daily_logs(spark, paths))
+    # The text is read once; labels, winners, users and statistics then read only their columns.
+    writers.write_stage(readers.scan_daily_logs(spark, paths), f"{out}/log", partition="file")
+    log = file_day_label(readers.read_stage(spark, f"{out}/log"))
 
     writers.write_stage(exposure_table(log), f"{out}/exposure")
     exposure = readers.read_stage(spark, f"{out}/exposure")
