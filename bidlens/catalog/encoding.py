@@ -27,7 +27,7 @@ def frequency_encode(spark, folder):
     t = Tables(spark, folder)
     static = t.view("ad_static").select("ad_id", F.nullif("item_id", F.lit(3)).alias("item_id"), "ad_account_id")
     tests = t.view("test_sample").select("ad_id").join(static, "ad_id")
-    return encode.frequency_encode([static, tests], static, ["item_id", "ad_account_id"])
+    return encode.frequency_encode(static, encode.fit_frequency([static, tests], ["item_id", "ad_account_id"]))
 
 
 @query("index_encode", """
@@ -37,7 +37,7 @@ select o.o_orderkey, c.place as o_custkey, p.place as o_orderpriority
 from orders o join c on o.o_custkey = c.o_custkey join p on o.o_orderpriority = p.o_orderpriority""")
 def index_encode(spark, folder):
     orders = Tables(spark, folder).base("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    return encode.index_encode(orders, orders, ["o_custkey", "o_orderpriority"], "o_orderkey")
+    return encode.index_encode(orders, encode.fit_index(orders, ["o_custkey", "o_orderpriority"], "o_orderkey"))
 
 
 @query("distinct_values", """

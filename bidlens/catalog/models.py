@@ -6,7 +6,8 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from bidlens.catalog.base import query
+from bidlens.catalog.base import query, r, rounded
+from bidlens.catalog.scoring import score_sql
 from bidlens.catalog.tables import Tables
 from bidlens.functions import metrics
 from bidlens.operators import (boost, cv, eliminate, hurdle, leaves, mixed, queue, sampling, stack)
@@ -40,27 +41,39 @@ def gbt_class() -> GBTClassifier:
     return GBTClassifier(maxIter=4, maxDepth=3, seed=2019)
 
 
-@query("kfold_oof", """
-select ad_id * 100 + date_diff('day', date '2019-04-01', days) as row,
-  cast(floor(((((ad_id * 100 + date_diff('day', date '2019-04-01', days)) % 2147483648) * 2654435761) % 4294967296) * 5 / cast(4294967296 as double)) as int) as fold,
-  true as predicted from ad_days""", ["ad_days"])
+# One feature and no penalty: each fold model is a least-squares line, which SQL can fit as well.
+LINES = """
+rows as (select d.ad_id * 100 + date_diff('day', date '2019-04-01', d.days) as row, cast(requestion_num as double) as x,
+  cast(coalesce(l.y, 0) as double) as y from ad_days d left join day_labels l on d.ad_id = l.ad_id and d.days = l.days),
+folded as (select *, cast(floor((((row % 2147483648) * 2654435761) % 4294967296) * 5 / cast(4294967296 as double)) as int) as fold from rows),
+lines as (select k.fold, regr_slope(f.y, f.x) as slope, regr_intercept(f.y, f.x) as base
+  from (select distinct fold from folded) k join folded f on f.fold <> k.fold group by k.fold),
+oof as (select f.*, base + slope * x as p from folded f join lines l on f.fold = l.fold)"""
+LINE_VIEWS = ["ad_days", "day_labels"]
+
+
+def line_folds(t: Tables):
+    rows = regress_table(t)
+    return rows, cv.kfold_oof(rows, cv.Learner(LinearRegression(solver="normal"), ("requestion_num",)), "Y")
+
+
+@query("kfold_oof", f"with {LINES} select row, fold, {r('y', 'Y', 4)}, {r('p', 'prediction_oof', 4)} from oof", LINE_VIEWS)
 def kfold_oof(spark, folder):
-    learner = cv.Learner(LinearRegression(regParam=0.1), FEATURES)
-    oof = cv.kfold_oof(regress_table(Tables(spark, folder)), learner, "Y").oof
-    return oof.select("row", "fold", F.col("prediction_oof").isNotNull().alias("predicted"))
+    return rounded(line_folds(Tables(spark, folder))[1].oof.select("row", "fold", "Y", "prediction_oof"), 4)
 
 
-@query("fold_average")
+@query("fold_average", f"""
+with {LINES} select row, {r('avg(base + slope * x)', 'model_predict', 4)} from folded, lines group by row""", LINE_VIEWS)
 def fold_average(spark, folder):
-    rows = regress_table(Tables(spark, folder))
-    folds = cv.kfold_oof(rows, cv.Learner(RandomForestRegressor(numTrees=5, maxDepth=4, seed=1), FEATURES), "Y")
-    return folds.predict(rows).select("row", "Y", "model_predict")
+    rows, folds = line_folds(Tables(spark, folder))
+    return rounded(folds.predict(rows).select("row", "model_predict"), 4)
 
 
-@query("kfold_scores")
+@query("kfold_scores", f"""
+with {LINES}, s as (select fold, {score_sql('y', 'p')} as s from oof group by fold), t as (select {score_sql('y', 'p')} as s from oof)
+select {r('avg(s.s)', 'mean_score', 4)}, {r('stddev_pop(s.s)', 'std_score', 4)}, {r('max(t.s)', 'total_score', 4)} from s, t""", LINE_VIEWS)
 def kfold_scores(spark, folder):
-    folds = cv.kfold_oof(regress_table(Tables(spark, folder)), cv.Learner(gbt(), FEATURES), "Y")
-    return folds.scores(metrics.exposure_score)
+    return rounded(line_folds(Tables(spark, folder))[1].scores(metrics.exposure_score), 4)
 
 
 @query("gbt_kfold")

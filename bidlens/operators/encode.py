@@ -145,26 +145,40 @@ def frequency_table(sets: Sequence[DataFrame], col: str) -> DataFrame:
     return stacked.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _attach(df: DataFrame, table: DataFrame, col: str, value: str, into: str) -> DataFrame:
+def _lookup(table: DataFrame, col: str, value: str) -> DataFrame:
+    return pin_small(table.select(F.col(col).alias("_key"), F.col(value).alias("_value")))
+
+
+def _attach(df: DataFrame, lookup: DataFrame, col: str, into: str) -> DataFrame:
     """Look ``col`` up in a table unique on it, null matching null."""
-    side = table.select(F.col(col).alias("_key"), F.col(value).alias("_value"))
-    joined = df.join(pin_small(side), F.col(col).eqNullSafe(F.col("_key")), "left")
+    joined = df.join(lookup, F.col(col).eqNullSafe(F.col("_key")), "left")
     return joined.withColumn(into, F.col("_value")).drop("_key", "_value")
 
 
-def frequency_encode(sets: Sequence[DataFrame], df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
-    """Replace ids by how often they occur in all sets together."""
-    for c in cols:
-        df = _attach(df, frequency_table(sets, c), c, "n", c + suffix)
+def fit_frequency(sets: Sequence[DataFrame], cols: Sequence[str]) -> dict[str, DataFrame]:
+    """Lookup table of occurrences over all sets, per column."""
+    return {c: _lookup(frequency_table(sets, c), c, "n") for c in cols}
+
+
+def frequency_encode(df: DataFrame, fitted: dict[str, DataFrame], suffix: str = "") -> DataFrame:
+    """Replace ids by how often they occur in the fitted sets together."""
+    for c, lookup in fitted.items():
+        df = _attach(df, lookup, c, c + suffix)
     return df
 
 
-def index_encode(fitted_on: DataFrame, df: DataFrame, cols: Sequence[str], order: str, suffix: str = "") -> DataFrame:
+def fit_index(fitted_on: DataFrame, cols: Sequence[str], order: str) -> dict[str, DataFrame]:
+    """Lookup table of the place of first appearance, per column."""
+    return {c: _lookup(distinct_values(fitted_on, c, order), c, "place") for c in cols}
+
+
+def index_encode(df: DataFrame, fitted: dict[str, DataFrame], suffix: str = "") -> DataFrame:
     """Replace values by their place of first appearance; a value not fitted raises."""
-    for c in cols:
-        df = _attach(df, distinct_values(fitted_on, c, order), c, "place", "_place")
-        unseen = F.raise_error(F.concat(F.lit(f"unseen value in {c}: "), F.coalesce(F.col(c).cast("string"), F.lit("null"))))
-        df = df.withColumn(c + suffix, F.coalesce("_place", unseen.cast("bigint"))).drop("_place")
+    for c, lookup in fitted.items():
+        df = _attach(df, lookup, c, "_place")
+        shown = F.coalesce(F.col(c).cast("string"), F.lit("null"))
+        unseen = F.raise_error(F.concat(F.lit(f"unseen value in {c}: "), shown)).cast("bigint")
+        df = df.withColumn(c + suffix, F.coalesce("_place", unseen)).drop("_place")
     return df
 
 

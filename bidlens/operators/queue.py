@@ -47,12 +47,15 @@ def parse_queue(log: DataFrame, layout: QueueLayout = TRAIN_ENTRY, strict: bool
 
 
 def explode_queue(parsed: DataFrame, queue: str = "queue", position: str | None = None) -> DataFrame:
-    """One row per (request, entry); an ad listed twice in a queue gives two rows."""
-    rest = [F.col(c) for c in parsed.columns if c != queue]
-    if position:
-        return parsed.select(*rest, F.posexplode(queue).alias(position, "_e")).select(
-            *[c for c in parsed.columns if c != queue], position, "_e.*")
-    return parsed.select(*rest, F.inline(queue))
+    """One row per (request, entry); an ad listed twice in a queue gives two rows.
+
+    The outer form is used because the inner one lets the optimizer add a filter on the
+    array's size, which would parse every queue a second time. Its extra rows, for a
+    missing queue, have no position.
+    """
+    rest = [c for c in parsed.columns if c != queue]
+    rows = parsed.select(*rest, F.posexplode_outer(queue).alias("_at", "_e")).filter("_at is not null")
+    return rows.select(*rest, *([F.col("_at").alias(position)] if position else []), "_e.*")
 
 
 def _mean(queue: str, field: str) -> Column:
@@ -82,8 +85,9 @@ def queue_profile(parsed: DataFrame, floor_max: float | None, queue: str = "queu
 def ad_day_users(log: DataFrame, keys: list[str] | None = None, packed: str = "ad_info") -> DataFrame:
     """Distinct users whose queues contain the ad, per day."""
     keys = keys or ["ad_id", "days"]
-    seen = log.select("days", "user_id", F.explode(raw_entries(packed)).alias("_e"))
-    seen = seen.select(entry_ad(F.col("_e")).cast("bigint").alias("ad_id"), "days", "user_id")
+    seen = log.select("days", "user_id", F.explode_outer(raw_entries(packed)).alias("_e"))
+    seen = seen.filter("_e is not null").select(
+        entry_ad(F.col("_e")).cast("bigint").alias("ad_id"), "days", "user_id")
     return seen.groupBy(*keys).agg(F.countDistinct("user_id").alias("user_num"))
 
 

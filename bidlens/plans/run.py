@@ -13,7 +13,7 @@ from bidlens.operators.days import file_day_label
 from bidlens.plans.feature_tables import feature_tables
 from bidlens.plans.forecast import ForecastParams, forecast
 from bidlens.plans.training_set import exposure_table, require_unique, test_set, training_set
-from bidlens.session import build_session
+from bidlens.session import build_session, drop_stages
 from bidlens.sources import readers, writers
 
 
@@ -40,6 +40,7 @@ def run(spark: SparkSession, raw: str, out: str, params: ForecastParams | None =
         writers.write_stage(table, f"{out}/{name}", partition=None if name == "test" else "days")
     answer = forecast(*[readers.read_stage(spark, f"{out}/{n}") for n in ("train", "valid", "test")], params)
     writers.write_submission(answer, f"{out}/submission")
+    drop_stages(spark)
 
 
 if __name__ == "__main__":

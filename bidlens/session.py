@@ -48,8 +48,18 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir")
 
 
+def _stage_home(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/bidlens/{spark.sparkContext.applicationId}"
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/bidlens/{label}-{uuid.uuid4().hex}"
+    return f"{_stage_home(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Remove the stages written by this application, once its results are saved."""
+    home = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stage_home(spark))
+    home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(home, True)
 
 
 def cut_lineage(df: DataFrame, label: str = "stage", path: str | None = None) -> DataFrame:

@@ -233,10 +233,11 @@ def test_clip_keeps_missing(spark):
 
 def test_unseen_category_raises(spark):
     known = spark.createDataFrame([("b", 1), ("a", 2), ("b", 3), (None, 4)], "c string, at int")
-    got = encode.index_encode(known, known, ["c"], "at").orderBy("at").collect()
+    fitted = encode.fit_index(known, ["c"], "at")
+    got = encode.index_encode(known, fitted).orderBy("at").collect()
     assert [r["c"] for r in got] == [0, 1, 0, 2]
     with pytest.raises(Exception):
-        encode.index_encode(known, spark.createDataFrame([("z", 1)], "c string, at int"), ["c"], "at").collect()
+        encode.index_encode(spark.createDataFrame([("z", 1)], "c string, at int"), fitted).collect()
 
 
 def test_one_hot_order_and_custom_rules(spark):

@@ -73,9 +73,9 @@ def test_large_lookup_is_not_broadcast(spark, skewed):
 
 
 def test_lookup_beyond_the_limit(skewed, monkeypatch):
-    expected = encode.frequency_encode([skewed], skewed, ["key"])
+    expected = encode.frequency_encode(skewed, encode.fit_frequency([skewed], ["key"]))
     monkeypatch.setattr(encode, "pin_small", lambda df: session.pin_small(df, 5))
-    assert same(encode.frequency_encode([skewed], skewed, ["key"]), expected)
+    assert same(encode.frequency_encode(skewed, encode.fit_frequency([skewed], ["key"])), expected)
 
 
 def test_written_stage_survives_its_source(spark, skewed):
