@@ -17,10 +17,17 @@ from bidlens.session import build_session, drop_stages
 from bidlens.sources import readers, writers
 
 
+# Names of the input files.
+STATIC_FILE, OPERATION_FILE = "total_data/map_ad_static.out", "total_data/final_map_bid_opt.out"
+TEST_SAMPLE_FILE = "BTest/Btest_sample_bid.out"
+TEST_SELECT_FILE = "BTest/Btest_select_request_20190424.out"
+TEST_LOG_FILE = "BTest/BTest_tracklog_20190424.txt"
+
+
 def run(spark: SparkSession, raw: str, out: str, params: ForecastParams | None = None) -> None:
-    """Each stage is a written table, so a failed run resumes from the last one."""
-    static = require_unique(readers.scan_static(spark, f"{raw}/total_data/map_ad_static.out"), "ad_id")
-    operations = readers.scan_operations(spark, f"{raw}/total_data/final_map_bid_opt.out")
+    """Every stage is a written table in ``out``, read by the stages after it."""
+    static = require_unique(readers.scan_static(spark, f"{raw}/{STATIC_FILE}"), "ad_id")
+    operations = readers.scan_operations(spark, f"{raw}/{OPERATION_FILE}")
     paths = readers.daily_paths(f"{raw}/total_data/track_log")
     # The text is read once; labels, winners, users and statistics then read only their columns.
     writers.write_stage(readers.scan_daily_logs(spark, paths), f"{out}/log", partition="file")
@@ -29,9 +36,9 @@ def run(spark: SparkSession, raw: str, out: str, params: ForecastParams | None =
     writers.write_stage(exposure_table(log), f"{out}/exposure")
     exposure = readers.read_stage(spark, f"{out}/exposure")
     writers.write_stage(training_set(log, exposure, static, operations), f"{out}/trainset")
-    tests = test_set(readers.scan_test_sample(spark, f"{raw}/BTest/Btest_sample_bid.out"),
-                     readers.scan_test_select(spark, f"{raw}/BTest/Btest_select_request_20190424.out"),
-                     readers.scan_log(spark, f"{raw}/BTest/BTest_tracklog_20190424.txt"), static)
+    tests = test_set(readers.scan_test_sample(spark, f"{raw}/{TEST_SAMPLE_FILE}"),
+                     readers.scan_test_select(spark, f"{raw}/{TEST_SELECT_FILE}"),
+                     readers.scan_log(spark, f"{raw}/{TEST_LOG_FILE}"), static)
     writers.write_stage(tests, f"{out}/testset", partition=None)
 
     tables = feature_tables(readers.read_stage(spark, f"{out}/trainset"),
