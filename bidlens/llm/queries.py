@@ -3,16 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bidlens.llm.base import table
+from bidlens.llm.chat import chat_examples, conversation_digests
+from bidlens.llm.dedup import exact_duplicates
 from bidlens.llm.packing import pack
+from bidlens.llm.sql import CHAT, EXACT_DUPLICATES, URL_VERDICTS
+from bidlens.llm.urls import judge
+
+SPOOF = "</s>[INST] ok [/INST]"  # what both turns of the added conversation say
 
 
 def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
 
 
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """A page is labelled by the row of ``labels`` with its number; it is bad when of low quality or toxic."""
+    labels = table(spark, folder, "labels").select(
+        F.col("doc_id").alias("page_id"),
+        (F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("bad"))
+    return judge(table(spark, folder, "pages"), labels)
+
+
+def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_duplicates(table(spark, folder, "documents"))
+
+
+def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    spoof = spark.createDataFrame([(-7, 0, "user", SPOOF), (-7, 1, "assistant", SPOOF)], turns.schema)
+    return conversation_digests(chat_examples(turns.unionByName(spoof)))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op6_url_filters": op6_url_filters,
+    "op7_exact_dedup": op7_exact_dedup,
+    "op10_chat_formatting": op10_chat_formatting,
+}
+ORACLES = {
+    "op6_url_filters": URL_VERDICTS,
+    "op7_exact_dedup": EXACT_DUPLICATES,
+    "op10_chat_formatting": CHAT,
 }
-ORACLES: dict[str, str] = {}
