@@ -40,11 +40,13 @@ _SUFFIXES = ", ".join(f"'{s}'" for s in LONG_SUFFIXES)
 
 def _level(name: str, unit: str, parent: str) -> str:
     """Shrinkage of one level: its units, the weight of their priors, their posterior means and bounds."""
-    above = "select 'x' as k, overall as mean from total" if parent == "" else f"select {parent} as k, mean from {parent}_level"
+    above = ("select 'x' as k, 0 as n, 0 as bad, 0.0 as w, overall as parent from total" if parent == ""
+             else f"select {parent} as k, n, bad, w, parent from {parent}_level")
+    prior = "a.parent" if parent == "" else "(a.bad - u.bad + a.w * a.parent) / (a.n - u.n + a.w)"
     key = "'x'" if parent == "" else parent
     return f"""
 {name}_units as (
-  select u.*, a.mean as parent from (
+  select u.*, {prior} as parent from (
     select {unit}, {key} as k, sum(n) as n, sum(bad) as bad from sites group by all) u
   join ({above}) a on u.k = a.k),
 {name}_weight as (
@@ -53,7 +55,7 @@ def _level(name: str, unit: str, parent: str) -> str:
     / nullif(sum(n * (n - 1) * parent * (1 - parent)), 0), {RHO_RANGE[1]}), {RHO_RANGE[0]}), {RHO_RANGE[1]}) - 1 as w
   from {name}_units),
 {name}_level as (
-  select {unit}, n, w, (bad + w * parent) / (n + w) as mean from {name}_units, {name}_weight),"""
+  select {unit}, n, bad, w, parent, (bad + w * parent) / (n + w) as mean from {name}_units, {name}_weight),"""
 
 
 URL_VERDICTS = f"""

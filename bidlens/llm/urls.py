@@ -2,8 +2,9 @@
 
 Labelled page outcomes (bad or not) are counted per host. Bad rates are shrunk along
 suffix, registered domain and host: each level's rate has a beta prior around the
-posterior mean of the level above, whose weight is estimated from all units of the
-level by the moments of the beta-binomial. A page is blocked when the lower bound of
+posterior mean of the level above, taken without the unit's own outcomes so that none
+counts twice; its weight is estimated from all units of the level by the moments of
+the beta-binomial. A page is blocked when the lower bound of
 its host's posterior bad rate is above a limit; a host without labels stands on its
 domain's posterior as its prior, so little evidence does not block.
 
@@ -122,11 +123,15 @@ def reputation(pages: DataFrame, outcomes: DataFrame) -> Reputation:
         if above is None:
             units = units.withColumn("parent", F.lit(overall))
         else:
-            units = units.join(above.select(keys[1], F.col(f"{keys[1]}_mean").alias("parent")), keys[1])
+            rest = F.col("above_n") - F.col("n")
+            units = units.join(above, keys[1]).withColumn(
+                "parent", (F.col("above_bad") - F.col("bad") + F.col("above_pull")) / (rest + F.col("above_weight")))
         weight = _prior_weight(units)
         mean = (F.col("bad") + weight * F.col("parent")) / (F.col("n") + weight)
-        above = levels[level] = units.select(level, mean.alias(f"{level}_mean"),
-                                             _bound(mean, F.col("n") + weight).alias(f"{level}_bound"))
+        levels[level] = units.select(level, mean.alias(f"{level}_mean"),
+                                     _bound(mean, F.col("n") + weight).alias(f"{level}_bound"))
+        above = units.select(level, F.col("n").alias("above_n"), F.col("bad").alias("above_bad"),
+                             (weight * F.col("parent")).alias("above_pull"), F.lit(weight).alias("above_weight"))
     return Reputation(levels, weight, overall)
 
 
