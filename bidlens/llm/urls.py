@@ -32,7 +32,7 @@ PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "net.au", "co.jp", "com.br", "co.in", "com.cn", "co.nz")
 BAD_LIMIT = 0.5
 BOUND_Z = 1.645
-RHO_RANGE = (1e-4, 0.95)
+RHO_RANGE = (1e-4, 1 / 3)  # a prior weighs at least two outcomes, so a single one never decides
 
 
 class Rule(NamedTuple):
