@@ -9,6 +9,8 @@ from bidlens.llm.base import table
 from bidlens.llm.chat import chat_examples, conversation_digests
 from bidlens.llm.dedup import exact_duplicates
 from bidlens.llm.packing import pack
+from bidlens.llm.quality import assess
+from bidlens.llm.secret_scan import scan
 from bidlens.llm.sql import CHAT, EXACT_DUPLICATES, URL_VERDICTS
 from bidlens.llm.urls import judge
 
@@ -19,6 +21,10 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
 
 
+def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return scan(table(spark, folder, "documents"))
+
+
 def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     """A page is labelled by the row of ``labels`` with its number; it is bad when of low quality or toxic."""
     labels = table(spark, folder, "labels").select(
@@ -31,6 +37,10 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return assess(table(spark, folder, "documents"))
+
+
 def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     spoof = spark.createDataFrame([(-7, 0, "user", SPOOF), (-7, 1, "assistant", SPOOF)], turns.schema)
@@ -39,8 +49,10 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op4_secret_scans": op4_secret_scans,
     "op6_url_filters": op6_url_filters,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_quality_rules": op8_quality_rules,
     "op10_chat_formatting": op10_chat_formatting,
 }
 ORACLES = {
