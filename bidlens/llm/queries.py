@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bidlens.llm import licenses
 from bidlens.llm.base import table
 from bidlens.llm.chat import chat_examples, conversation_digests
 from bidlens.llm.dedup import exact_duplicates
+from bidlens.llm.jaccard import jaccard_components
 from bidlens.llm.packing import pack
+from bidlens.llm.pieces import decode, encode
 from bidlens.llm.quality import assess
 from bidlens.llm.secret_scan import scan
+from bidlens.llm.separators import document_tokens
 from bidlens.llm.sql import CHAT, EXACT_DUPLICATES, URL_VERDICTS
 from bidlens.llm.urls import judge
 
@@ -21,10 +25,28 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Number and CRC-32 of each text's ids, the digest of the text decoded from them, and whether it is the same."""
+    coded = decode(encode(table(spark, folder, "documents").select("doc_id", "text")))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids_crc32",
+                        F.sha2("decoded", 256).alias("decoded_sha256"),
+                        (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
+
+
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
+    return jaccard_components(docs, k=3, num=90, den=100).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_links")
+
+
 def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return scan(table(spark, folder, "documents"))
 
 
+def op5_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     """A page is labelled by the row of ``labels`` with its number; it is bad when of low quality or toxic."""
     labels = table(spark, folder, "labels").select(
@@ -41,18 +63,28 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return assess(table(spark, folder, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return document_tokens(table(spark, folder, "documents"))
+
+
 def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    spoof = spark.createDataFrame([(-7, 0, "user", SPOOF), (-7, 1, "assistant", SPOOF)], turns.schema)
+    spoof = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(SPOOF).alias("text"))
     return conversation_digests(chat_examples(turns.unionByName(spoof)))
 
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_secret_scans": op4_secret_scans,
+    "op5_license_scans": op5_license_scans,
     "op6_url_filters": op6_url_filters,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_token_counts": op9_token_counts,
     "op10_chat_formatting": op10_chat_formatting,
 }
 ORACLES = {

@@ -76,7 +76,7 @@ def spaced_pieces(piece: Slice) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), piece.size, [None, pa.py_buffer(borders), pa.py_buffer(wide)])
 
 
-def _gathered(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def gathered(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The spans of ``flat`` one after another, and their borders."""
     borders = np.concatenate([[0], np.cumsum(size)])
     at = np.repeat(start - borders[:-1], size)
@@ -153,7 +153,7 @@ class WordEncoder:
         start, size = self.start[place], self.size[place]
         size[empty] = 0
         which = coded.indices.to_numpy(zero_copy_only=False)
-        ids, borders = _gathered(self.ids, start[which], size[which])
+        ids, borders = gathered(self.ids, start[which], size[which])
         offsets = lists.offsets.to_numpy()
         return ids, borders[offsets - offsets[0]]
 
@@ -167,7 +167,7 @@ class WordEncoder:
         other, sizes = self._whole([bytes(piece.data[edges[i]:edges[i + 1]]).decode() for i in odd])
         start, size = borders[:-1].copy(), np.diff(borders)
         start[odd], size[odd] = len(ids) + np.cumsum(sizes) - sizes, sizes
-        return _gathered(np.concatenate([ids, other]), start, size)
+        return gathered(np.concatenate([ids, other]), start, size)
 
 
 _encoders: dict[tuple[str | None, bool], WordEncoder] = {}
