@@ -36,12 +36,12 @@ def log_paths(root: str) -> list[str]:
 @query("scan_log", """
 select cast(request_id as int) as request_id, exposure_epoch, cast(user_id as int) as user_id,
        cast(position_id as smallint) as position_id, cast(count(*) as int) as entries
-from auction_entries where day_idx = 0 group by request_id, exposure_epoch, user_id, position_id""",
-       ["auction_entries"])
+from auction_entries group by request_id, exposure_epoch, user_id, position_id""", ["auction_entries"])
 def scan_log(spark, folder):
-    # The first of the daily files, read whole.
-    log = readers.scan_log(spark, log_paths(written_logs(Tables(spark, folder)))[0])
-    return log.withColumn("entries", F.size(queue.raw_entries())).drop("ad_info")
+    path = stage_path(spark, "whole-log")
+    log = Tables(spark, folder).track_log().select("request_id", "exposure_epoch", "user_id", "position_id", "ad_info")
+    log.write.option("sep", "\t").csv(path)
+    return readers.scan_log(spark, path).withColumn("entries", F.size(queue.raw_entries())).drop("ad_info")
 
 
 @query("scan_daily_logs", """

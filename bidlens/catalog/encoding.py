@@ -6,13 +6,21 @@ from pyspark.sql import functions as F
 
 from bidlens.catalog.base import query, r, rounded, rs
 from bidlens.catalog.tables import Tables
+from bidlens.functions.scalar import SPREAD_FOLD, SPREAD_MIX, SPREAD_RANGE, SPREAD_SALT
 from bidlens.operators import apply, encode, ranking, sampling
 
-SPREAD_SQL = "((({key} % 2147483648) * 2654435761 + {salt} * 40503) % 4294967296)"
+def hashed(key: str, salt: int = 0) -> str:
+    """SQL of ``spread`` for keys that are not negative."""
+    key = f"cast({key} as bigint)"
+    x = (f"xor(xor({key} % {SPREAD_RANGE}, (({key} // {SPREAD_RANGE}) % {SPREAD_RANGE} * {SPREAD_FOLD}) % {SPREAD_RANGE}), "
+         f"cast({salt * SPREAD_SALT % SPREAD_RANGE} as bigint))")
+    for _ in range(2):
+        x = f"((xor({x}, ({x}) >> 15) * {SPREAD_MIX}) % {SPREAD_RANGE})"
+    return f"xor({x}, ({x}) >> 15)"
 
 
-def hashed(key: str, salt: int = 0) -> str:
-    return SPREAD_SQL.format(key=key, salt=salt)
+def hash_fold(key: str, k: int, salt: int = 0) -> str:
+    return f"cast(floor({hashed(key, salt)} * {k} / cast({SPREAD_RANGE} as double)) as int)"
 
 
 @query("frequency_encode", """
@@ -83,18 +91,21 @@ def drop_uninformative(spark, folder):
 
 
 IMPUTED = """select doc_id, case when doc_id % 13 = 0 then null else lang end as lang,
-case when doc_id % 7 = 0 then null else n_chars end as n_chars from documents"""
+case when doc_id % 7 = 0 then null else n_chars end as n_chars,
+case when doc_id % 5 = 0 then null else date '2019-04-01' + cast(doc_id % 30 as int) end as seen from documents"""
 
 
 @query("impute_with_flag", f"""
 with d as ({IMPUTED})
 select doc_id, coalesce(lang, (select lang from d where lang is not null group by lang order by count(*) desc, lang limit 1)) as lang,
        {r('coalesce(n_chars, (select avg(n_chars) from d))', 'n_chars')},
-       cast(lang is null as int) as lang_na, cast(n_chars is null as int) as n_chars_na from d""")
+       coalesce(seen, date '1970-01-01' + cast(floor((select avg(date_diff('day', date '1970-01-01', seen)) from d)) as int)) as seen,
+       cast(lang is null as int) as lang_na, cast(n_chars is null as int) as n_chars_na, cast(seen is null as int) as seen_na from d""")
 def impute_with_flag(spark, folder):
     docs = Tables(spark, folder).base("documents").select(
         "doc_id", F.when(F.col("doc_id") % 13 != 0, F.col("lang")).alias("lang"),
-        F.when(F.col("doc_id") % 7 != 0, F.col("n_chars")).alias("n_chars"))
+        F.when(F.col("doc_id") % 7 != 0, F.col("n_chars")).alias("n_chars"),
+        F.when(F.col("doc_id") % 5 != 0, F.date_add(F.lit("2019-04-01").cast("date"), (F.col("doc_id") % 30).cast("int"))).alias("seen"))
     return rounded(encode.impute_with_flag(docs))
 
 
@@ -108,13 +119,16 @@ def one_hot(spark, folder):
     return encode.one_hot(orders, "o_orderstatus", encode.fit_categories(orders, "o_orderstatus", "o_orderkey"))
 
 
-@query("one_hot_vector", "select o_orderkey, cast(1 as int) as ones from orders")
+@query("one_hot_vector", """
+with c as (select o_custkey, row_number() over (order by min(o_orderkey)) - 1 as place from orders group by o_custkey)
+select o.o_orderkey, c.place, cast(1 as int) as ones from orders o join c on o.o_custkey = c.o_custkey""")
 def one_hot_vector(spark, folder):
     from pyspark.ml.functions import vector_to_array
     orders = Tables(spark, folder).base("orders").select("o_orderkey", "o_custkey")
-    hot = encode.one_hot_vector(orders, orders, "o_custkey")
-    ones = F.aggregate(vector_to_array("o_custkey_hot"), F.lit(0.0), lambda a, x: a + x)
-    return hot.select("o_orderkey", ones.cast("int").alias("ones"))
+    hot = encode.one_hot_vector(orders, orders, "o_custkey", "o_orderkey")
+    values = hot.select("o_orderkey", vector_to_array("o_custkey_hot").alias("v"))
+    ones = F.aggregate("v", F.lit(0.0), lambda a, x: a + x)
+    return values.select("o_orderkey", (F.array_position("v", 1.0) - 1).alias("place"), ones.cast("int").alias("ones"))
 
 
 @query("min_max_scale", f"""
@@ -193,7 +207,7 @@ def rename_drop(spark, folder):
 
 @query("downsample_zero", f"""
 select o_orderkey, o_orderkey % 3 as label from orders
-where o_orderkey % 3 <> 0 or {hashed('o_orderkey')} < {int(0.4 * 4294967296)}""")
+where o_orderkey % 3 <> 0 or {hashed('o_orderkey')} < {int(0.4 * SPREAD_RANGE)}""")
 def downsample_zero(spark, folder):
     rows = Tables(spark, folder).base("orders").selectExpr("o_orderkey", "o_orderkey % 3 as label")
     return sampling.downsample_zero(rows, "label", "o_orderkey")
@@ -221,7 +235,7 @@ def upsample_minority(spark, folder):
 @query("assign_folds", f"""
 with n as (select o_orderkey, o_orderstatus, count(*) over () as n, row_number() over (order by o_orderkey) - 1 as pos,
   row_number() over (partition by o_orderstatus order by {hashed('o_orderkey', 7)}) - 1 as inside from orders)
-select o_orderkey, cast(floor({hashed('o_orderkey', 7)} * 5 / cast(4294967296 as double)) as int) as shuffled,
+select o_orderkey, {hash_fold('o_orderkey', 5, 7)} as shuffled,
   cast(case when pos < (n % 5) * (n // 5 + 1) then pos // (n // 5 + 1)
        else n % 5 + (pos - (n % 5) * (n // 5 + 1)) // (n // 5) end as int) as run,
   cast(inside % 5 as int) as stratified from n""")
@@ -234,11 +248,9 @@ def assign_folds(spark, folder):
 
 
 @query("shuffle_rows", f"""
-select cast(floor({hashed('o_orderkey', 111)} * 100 / cast(4294967296 as double)) as int) as slot, count(*) as n
-from orders group by 1""")
+select o_orderkey, row_number() over (order by {hashed('o_orderkey', 111)}) - 1 as place from orders""")
 def shuffle_rows(spark, folder):
-    slot = sampling.fold_by_hash("o_orderkey", 100, salt=111).alias("slot")
-    return Tables(spark, folder).base("orders").groupBy(slot).agg(F.count(F.lit(1)).alias("n"))
+    return sampling.shuffled_places(Tables(spark, folder).base("orders").select("o_orderkey"), "o_orderkey", salt=111)
 
 
 @query("threshold_route", """

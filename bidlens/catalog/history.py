@@ -39,12 +39,13 @@ from day_labels l left join ad_static s on l.ad_id = s.ad_id),
 shown as (select e.ad_id, e.days, count(user_id) as exposure from exposures e group by e.ad_id, e.days)"""
 
 
-def lagged(base: str, key: str, pairs: list[tuple[str, str]], fill: int) -> tuple[str, str]:
+def lagged(base: str, key: str, pairs: list[tuple[str, str]], fill: int,
+           lags: tuple[int, ...] = TRAIN_LAGS) -> tuple[str, str]:
     """Columns and joins that look up ``base`` (key, days, stat…) at each lag."""
     columns = ", ".join(r(f"coalesce({base}{i}.{stat}, {fill})", f"{name}_{i}day")
-                        for stat, name in pairs for i in TRAIN_LAGS)
+                        for stat, name in pairs for i in lags)
     joins = " ".join(f"left join {base} {base}{i} on {base}{i}.{key} = spine.{key} and {base}{i}.days + {i} = spine.days"
-                     for i in TRAIN_LAGS)
+                     for i in lags)
     return columns, joins
 
 

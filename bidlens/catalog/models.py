@@ -7,6 +7,7 @@ from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression, R
 from pyspark.sql import functions as F
 
 from bidlens.catalog.base import query, r, rounded
+from bidlens.catalog.encoding import hash_fold
 from bidlens.catalog.scoring import score_sql
 from bidlens.catalog.tables import Tables
 from bidlens.functions import metrics
@@ -42,10 +43,10 @@ def gbt_class() -> GBTClassifier:
 
 
 # One feature and no penalty: each fold model is a least-squares line, which SQL can fit as well.
-LINES = """
+LINES = f"""
 rows as (select d.ad_id * 100 + date_diff('day', date '2019-04-01', d.days) as row, cast(requestion_num as double) as x,
   cast(coalesce(l.y, 0) as double) as y from ad_days d left join day_labels l on d.ad_id = l.ad_id and d.days = l.days),
-folded as (select *, cast(floor((((row % 2147483648) * 2654435761) % 4294967296) * 5 / cast(4294967296 as double)) as int) as fold from rows),
+folded as (select *, {hash_fold('row', 5)} as fold from rows),
 lines as (select k.fold, regr_slope(f.y, f.x) as slope, regr_intercept(f.y, f.x) as base
   from (select distinct fold from folded) k join folded f on f.fold <> k.fold group by k.fold),
 oof as (select f.*, base + slope * x as p from folded f join lines l on f.fold = l.fold)"""

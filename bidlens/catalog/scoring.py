@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bidlens.catalog.base import query, r, rounded
-from bidlens.catalog.encoding import hashed
+from bidlens.catalog.encoding import hash_fold
 from bidlens.catalog.tables import Tables
 from bidlens.functions import metrics, scalar
 from bidlens.operators import answer, blend, factorize, graph, ranking, sampling, select
@@ -60,7 +60,7 @@ def auc_score(spark, folder):
     return rounded(answer.auc_score(Tables(spark, folder).view("labelled"), "quality", "n_chars"))
 
 
-FOLD = f"cast(floor({hashed('k1')} * 5 / cast(4294967296 as double)) as int)"
+FOLD = hash_fold("k1", 5)
 
 
 @query("fold_scores", f"""

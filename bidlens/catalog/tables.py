@@ -57,8 +57,8 @@ select l_orderkey as k1, l_linenumber as k2, l_suppkey as k3, l_quantity as y,
        cast(l_suppkey % 40 as double) as p3
 from lineitem""",
     "graph_edges": """
-select l_suppkey as src, (l_partkey * 3 + l_linenumber) % (select count(*) from supplier) as dst
-from lineitem where l_quantity <= 2""",
+select l_suppkey as src, (l_suppkey * 31 + (l_partkey % 4) * 17 + l_linenumber) % (select count(*) from supplier) as dst
+from lineitem""",
     "fm_factors": """
 select f.l_linenumber as feature, k.r_regionkey as k,
        ((f.l_linenumber * 7 + k.r_regionkey * 3) % 11 - 5) / cast(10 as double) as v

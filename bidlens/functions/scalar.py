@@ -63,15 +63,24 @@ def not_nan(value: Column | str) -> Column:
     return F.when(~F.isnan(v), v)
 
 
+SPREAD_RANGE = 2147483648  # exclusive bound of ``spread``
+SPREAD_FOLD, SPREAD_MIX, SPREAD_SALT = 1540483477, 73244475, 2654435769  # odd multipliers
+
+
 def spread(key: Column | str, salt: int = 0) -> Column:
-    """Pseudo-random integer in [0, 2^32) from an integer key, in plain arithmetic.
+    """Pseudo-random integer in [0, 2^31) from an integer key, in arithmetic any SQL engine has.
 
-    Multiplicative hashing keeps the result reproducible on any SQL engine.
+    Shifts and multiplications mix all bits of the key with the salt, so values under
+    different salts are independent of each other. Keys of one block of 2^31 get
+    different values.
     """
     k = _col(key).cast("bigint")
-    low = F.pmod(k, F.lit(2147483648).cast("bigint"))
-    return F.pmod(low * F.lit(2654435761).cast("bigint") + F.lit(salt).cast("bigint") * 40503,
-                  F.lit(4294967296).cast("bigint"))
+    whole = F.lit(SPREAD_RANGE).cast("bigint")
+    high = F.pmod(F.pmod(F.shiftright(k, 31), whole) * SPREAD_FOLD, whole)
+    x = F.pmod(k, whole).bitwiseXOR(high).bitwiseXOR(F.lit(salt * SPREAD_SALT % SPREAD_RANGE).cast("bigint"))
+    for _ in range(2):
+        x = F.pmod(x.bitwiseXOR(F.shiftright(x, 15)) * SPREAD_MIX, whole)
+    return x.bitwiseXOR(F.shiftright(x, 15))
 
 
 def blend_fixed(tree_fm: Column | str, tree: Column | str, net: Column | str,

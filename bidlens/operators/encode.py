@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidlens.functions.scalar import safe_ratio
-from bidlens.operators.ranking import GROUP_LIMIT, fit_quantiles, running_totals
+from bidlens.functions.scalar import EPOCH, safe_ratio
+from bidlens.operators.ranking import fit_quantiles, running_totals
 from bidlens.session import pin_small
 
 Rule = Callable[[DataFrame], DataFrame]
@@ -35,10 +35,6 @@ def select_by_pattern(df: DataFrame, fixed: Sequence[str], marks: Sequence[str]
     return df.select(*fixed, *named)
 
 
-def _is_number(df: DataFrame, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, T.NumericType)
-
-
 def drop_uninformative(df: DataFrame, rule: Rule | None = None) -> DataFrame:
     """Drop columns that are all null, then those with a single value; or apply ``rule`` instead."""
     if rule is not None:
@@ -79,28 +75,47 @@ def distinct_values(df: DataFrame, col: str, order: str) -> DataFrame:
     return running_totals(first, [], "_first", ["_one"]).select(col, F.col("_one_before").alias("place"))
 
 
+def _mean_fill(df: DataFrame, col: str) -> tuple[Column, Column] | None:
+    """(aggregate, fill from its value ``_mean``) of a column with a mean; None for text."""
+    kind, mean = df.schema[col].dataType, F.col("_mean")
+    if isinstance(kind, T.StringType):
+        return None
+    if isinstance(kind, T.DateType):
+        return F.avg(F.unix_date(col)), F.date_from_unix_date(F.floor(mean).cast("int"))
+    if isinstance(kind, T.TimestampType):
+        return F.avg(F.unix_micros(col)), F.timestamp_micros(F.floor(mean))
+    if isinstance(kind, T.TimestampNTZType):
+        start = F.lit(EPOCH).cast("timestamp_ntz")
+        return (F.avg(F.timestamp_diff("MICROSECOND", start, F.col(col))),
+                F.timestamp_add("MICROSECOND", F.floor(mean), start))
+    return F.avg(F.col(col).cast("double")), mean
+
+
 def impute_with_flag(df: DataFrame, cols: Sequence[str] | None = None, rule: Rule | None = None) -> DataFrame:
-    """Fill partly missing columns with mean or mode and add a ``<col>_na`` flag."""
+    """Fill partly missing columns and add a ``<col>_na`` flag: texts by their mode, others by their mean.
+
+    Dates and times are rounded down; other columns become double, as a mean is fractional.
+    """
     if rule is not None:
         return rule(df)
     cols = list(cols or df.columns)
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    for i, c in enumerate(cols):
-        aggs.append(F.count(c).alias(f"n{i}"))
-        if _is_number(df, c):
-            aggs.append(F.avg(c).alias(f"mean{i}"))
-    row = df.agg(*aggs).head()
+    means = {c: _mean_fill(df, c) for c in cols}
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+                 *[means[c][0].alias(f"mean{i}") for i, c in enumerate(cols) if means[c]]).head()
     partial = [(i, c) for i, c in enumerate(cols) if 0 < row[f"n{i}"] < row["rows"]]
-    texts = [c for _, c in partial if not _is_number(df, c)]
+    texts = [c for _, c in partial if means[c] is None]
     modes = {m["stat"]: m["mode"] for m in value_modes(df, texts).collect()} if texts else {}
-    changes: dict[str, Column] = {}
+    filled = df
     for i, c in partial:
-        fill = modes[c] if c in modes else row[f"mean{i}"]
-        # A mean is fractional, so a filled number column becomes double.
-        kept = F.col(c) if c in modes else F.col(c).cast("double")
-        changes[f"{c}_na"] = F.col(c).isNull().cast("int")
-        changes[c] = F.coalesce(kept, F.lit(fill))
-    return df.withColumns(changes)
+        filled = filled.withColumn(f"{c}_na", F.col(c).isNull().cast("int"))
+        if c in modes:
+            filled = filled.withColumn(c, F.coalesce(F.col(c), F.lit(modes[c])))
+        else:
+            fill = filled.withColumn("_mean", F.lit(row[f"mean{i}"]).cast("double"))
+            timed = isinstance(df.schema[c].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+            kept = F.col(c) if timed else F.col(c).cast("double")
+            filled = fill.withColumn(c, F.coalesce(kept, means[c][1])).drop("_mean")
+    return filled
 
 
 def fit_categories(df: DataFrame, col: str, order: str, max_columns: int = 2000) -> list:
@@ -117,11 +132,15 @@ def one_hot(df: DataFrame, col: str, categories: Sequence) -> DataFrame:
     return df.withColumns(hot).drop(col)
 
 
-def one_hot_vector(fitted_on: DataFrame, df: DataFrame, col: str) -> DataFrame:
-    """Sparse one-hot vector ``<col>_hot``, for any number of categories."""
-    indexed = StringIndexer(inputCol=col, outputCol=f"{col}_at", handleInvalid="error").fit(fitted_on)
+def one_hot_vector(fitted_on: DataFrame, df: DataFrame, col: str, order: str) -> DataFrame:
+    """Sparse one-hot vector ``<col>_hot`` by place of first appearance, for any number of categories.
+
+    Only their number reaches the driver; the index itself is a table.
+    """
+    index = fit_index(fitted_on, [col], order)
+    places = index_encode(df, index, "_at")
     encoder = OneHotEncoder(inputCols=[f"{col}_at"], outputCols=[f"{col}_hot"], dropLast=False)
-    return encoder.fit(indexed.transform(fitted_on)).transform(indexed.transform(df)).drop(f"{col}_at")
+    return encoder.fit(index_encode(fitted_on, index, "_at")).transform(places).drop(f"{col}_at")
 
 
 def min_max_scale(fitted_on: DataFrame, df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -182,8 +201,7 @@ def index_encode(df: DataFrame, fitted: dict[str, DataFrame], suffix: str = "")
     return df
 
 
-def fit_percentile_scale(df: DataFrame, cols: Sequence[str], percentile: float = 90,
-                         limit: int = GROUP_LIMIT) -> dict[str, tuple[float, float, float]]:
+def fit_percentile_scale(df: DataFrame, cols: Sequence[str], percentile: float = 90) -> dict[str, tuple[float, float, float]]:
     """Per column: minimum, percentile above the minimum, mean of the scaled column.
 
     Nearly constant columns are left out.
@@ -191,7 +209,7 @@ def fit_percentile_scale(df: DataFrame, cols: Sequence[str], percentile: float =
     row = df.agg(*[f(c).cast("double").alias(f"{n}{i}") for i, c in enumerate(cols)
                    for n, f in (("low", F.min), ("std", F.stddev_samp), ("mean", F.avg))]).head()
     varied = [(i, c) for i, c in enumerate(cols) if (row[f"std{i}"] or 0.0) > 1e-5]
-    tops = fit_quantiles(df, [c for _, c in varied], [percentile / 100], limit) if varied else {}
+    tops = fit_quantiles(df, [c for _, c in varied], [percentile / 100]) if varied else {}
     fitted = {}
     for i, c in varied:
         low, span = row[f"low{i}"], tops[c][0] - row[f"low{i}"]
@@ -206,10 +224,9 @@ def percentile_scale(df: DataFrame, fitted: dict[str, tuple[float, float, float]
         for c, (low, span, mean) in fitted.items()})
 
 
-def fit_quantile_bins(df: DataFrame, cols: Sequence[str], bins: int = 10,
-                      limit: int = GROUP_LIMIT) -> dict[str, list[float]]:
+def fit_quantile_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> dict[str, list[float]]:
     """Inner edges of equal-frequency bins; equal edges collapse, as does one at the minimum."""
-    found = fit_quantiles(df, cols, [i / bins for i in range(bins)], limit)
+    found = fit_quantiles(df, cols, [i / bins for i in range(bins)])
     return {c: sorted({e for e in edges[1:] if e is not None and e > edges[0]}) for c, edges in found.items()}
 
 
@@ -220,10 +237,10 @@ def quantile_bin(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
         for c, inner in edges.items()})
 
 
-def fit_sqrt_label(df: DataFrame, label: str, percentile: float = 90, limit: int = GROUP_LIMIT) -> float:
+def fit_sqrt_label(df: DataFrame, label: str, percentile: float = 90) -> float:
     """Percentile of the square root of the label."""
     roots = df.select(F.sqrt(label).alias("_root"))
-    return fit_quantiles(roots, ["_root"], [percentile / 100], limit)["_root"][0]
+    return fit_quantiles(roots, ["_root"], [percentile / 100])["_root"][0]
 
 
 def sqrt_label(label: Column | str, ratio: float) -> Column:

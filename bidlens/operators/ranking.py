@@ -5,7 +5,12 @@ Here the distinct values of each group are counted first, so copies combine befo
 the shuffle, and written once. Groups whose distinct values fit a checked limit are
 then ordered as a whole. Larger groups are cut into value ranges by a bounded
 sketch; each range is ordered on its own and they are joined by running totals.
-Both ways are exact: the sketch only decides where to cut.
+Both ways place the same rows and share all arithmetic, so they agree to the bit: the
+sketch only decides where to cut.
+
+Quantiles of whole columns are one path at any size: a sketch of each column cuts it
+into ranges, the rows per range are counted, and only values of ranges that hold a
+wanted row are shuffled.
 """
 
 from __future__ import annotations
@@ -25,11 +30,12 @@ PIN_CUTS = 5000  # groups whose cuts (2 KB each) are broadcast
 
 def part_hot_groups(values: DataFrame, keys: Sequence[str],
                     limit: int) -> tuple[DataFrame | None, DataFrame | None]:
-    """Rows of the groups within ``limit`` and rows of the larger groups (None: no such rows)."""
+    """Rows of the groups within ``limit`` and rows of the larger groups (None: no such rows).
+
+    ``values`` is a written table, so counting all of it reads no values.
+    """
     if not keys:
-        if values.limit(limit + 1).count() > limit:
-            return None, values
-        return values, None
+        return (None, values) if values.count() > limit else (values, None)
     heavy = (values.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
              .filter(F.col("_rows") > limit).select(*keys))
     rows = heavy.limit(PIN_ROWS + 1).collect()
@@ -125,17 +131,17 @@ def _position(p: float) -> tuple[Column, Column, Column]:
     return F.floor(near), F.ceil(near), near - F.floor(near)
 
 
-def _hot_quantiles(counted: DataFrame, ids: Sequence[str], probs: Sequence[float], ranges: int) -> DataFrame:
-    """Quantiles of large groups: only the value ranges that hold a wanted row are ordered."""
-    ranged = split_ranges(counted, ids, "value", ranges)
+def _wanted(probs: Sequence[float]) -> Column:
+    """Whether a range holds a row that one of the quantiles needs."""
     wanted = F.lit(False)
     for p in probs:
         low, high, _ = _position(p)
         wanted = wanted | ((F.col("_ahead_n") <= high) & (F.col("_ahead_n") + F.col("_in_n") > low))
-    target = _range_totals(ranged, ids, ["n"]).filter(wanted)
-    run = F.col("_ahead_n") + F.coalesce(F.sum("n").over(_running([*ids, "_range"], "value")), F.lit(0))
-    near = ranged.join(target, [*ids, "_range"]).withColumn("_run", run)
+    return wanted
 
+
+def _picked(near: DataFrame, ids: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Quantiles from rows with ``value``, its copies ``n``, the rows before it ``_run`` and ``n_total``."""
     def row(at: Column) -> Column:
         return F.max(F.when((F.col("_run") <= at) & (at < F.col("_run") + F.col("n")), F.col("value")))
 
@@ -160,10 +166,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     ids = [*keys, "stat"]
     counted = cut_lineage(long.groupBy(*ids, "value").agg(F.count(F.lit(1)).alias("n")), "values")
     light, heavy = part_hot_groups(counted, ids, limit)
-    found = F.percentile("value", F.lit([float(p) for p in probs]), F.col("n"))
-    out = light.groupBy(*ids).agg(found.alias("_q")).select(
-        *ids, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
-    return out if heavy is None else out.unionByName(_hot_quantiles(heavy, ids, probs, ranges))
+    before = F.coalesce(F.sum("n").over(_running(ids, "value")), F.lit(0))
+    near = light.withColumns({"_run": before, "n_total": F.sum("n").over(_whole(ids))})
+    if heavy is not None:
+        ranged = split_ranges(heavy, ids, "value", ranges)
+        target = _range_totals(ranged, ids, ["n"]).filter(_wanted(probs))
+        run = F.col("_ahead_n") + F.coalesce(F.sum("n").over(_running([*ids, "_range"], "value")), F.lit(0))
+        near = near.unionByName(ranged.join(target, [*ids, "_range"]).withColumn("_run", run).select(*near.columns))
+    return _picked(near, ids, probs)
 
 
 def grouped_medians(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
@@ -175,22 +185,29 @@ def grouped_medians(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
 
 
 def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                  limit: int = GROUP_LIMIT) -> dict[str, list[float]]:
+                  ranges: int = RANGES) -> dict[str, list[float]]:
     """Quantiles of whole columns as parameters: one row per column reaches the driver.
 
-    A small table, by its counted rows, takes a single aggregation; on a larger one, counting
-    the values over all tasks first is both safe and faster.
+    ``df`` is read three times: for the sketch, for the counts per range, and for the
+    values of the wanted ranges, the only rows that are shuffled.
     """
-    rows_allowed = min(limit // 10, 4 * limit // len(cols))
-    if df.limit(rows_allowed + 1).count() <= rows_allowed:
-        whole = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-        grid = F.lit([float(p) for p in probs])
-        kept = [F.when(~F.isnan(f"c{i}"), F.col(f"c{i}")) for i in range(len(cols))]
-        row = whole.agg(*[F.percentile(k, grid).alias(f"q{i}") for i, k in enumerate(kept)]).head()
-        return {c: row[f"q{i}"] or [None] * len(probs) for i, c in enumerate(cols)}
-    rows = exact_quantiles(df, cols, probs, limit=limit).collect()
+    wide = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    known = [F.when(~F.isnan(c), F.col(c)) for c in wide.columns]
+    grid = F.lit([i / ranges for i in range(1, ranges)])
+    cuts = wide.agg(*[F.percentile_approx(k, grid, SKETCH_ACCURACY).alias(c) for k, c in zip(known, wide.columns)]).head()
+    edges = F.create_map(*[x for c in wide.columns for x in (F.lit(c), F.lit(cuts[c] or []).cast("array<double>"))])
+    long = (wide.select(*[k.alias(c) for k, c in zip(known, wide.columns)]).unpivot([], wide.columns, "stat", "value")
+            .filter(F.col("value").isNotNull()))
+    ranged = long.withColumn("_range", F.size(F.filter(edges[F.col("stat")], lambda c: c < F.col("value"))))
+    counts = ranged.withColumn("n", F.lit(1).cast("bigint"))
+    # At most one row per column and range.
+    target = F.broadcast(_range_totals(counts, ["stat"], ["n"]).filter(_wanted(probs)))
+    values = (ranged.join(target, ["stat", "_range"])
+              .groupBy("stat", "_range", "value", "_ahead_n", "n_total").agg(F.count(F.lit(1)).alias("n")))
+    run = F.col("_ahead_n") + F.coalesce(F.sum("n").over(_running(["stat", "_range"], "value")), F.lit(0))
+    rows = _picked(values.withColumn("_run", run), ["stat"], probs).collect()
     found = {row["stat"]: [row[f"q{i}"] for i in range(len(probs))] for row in rows}
-    return {c: found.get(c, [None] * len(probs)) for c in cols}
+    return {c: found.get(f"c{i}", [None] * len(probs)) for i, c in enumerate(cols)}
 
 
 def nth_smallest(df: DataFrame, order: str, count: int, limit: int = GROUP_LIMIT):

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidlens.functions.scalar import spread
+from bidlens.functions.scalar import SPREAD_RANGE, spread
 from bidlens.operators.ranking import GROUP_LIMIT, nth_smallest, value_positions
 
-SPREAD_RANGE = 4294967296  # exclusive bound of ``spread``
-
 
 def downsample_zero(df: DataFrame, label: str, key: str, fraction: float = 0.4, exact: bool = False,
                     salt: int = 0, limit: int = GROUP_LIMIT) -> DataFrame:
@@ -29,8 +27,7 @@ def downsample_zero(df: DataFrame, label: str, key: str, fraction: float = 0.4,
 
 def upsample_minority(df: DataFrame, label: str) -> DataFrame:
     """Repeat the rarer of labels 0 and 1 floor(major / minor) times; a missing class raises."""
-    counts = {row[label]: row["count"] for row in df.groupBy(label).count().collect()}
-    ones, zeros = counts.get(1, 0), counts.get(0, 0)
+    ones, zeros = df.agg(F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)).head()
     if not ones or not zeros:
         raise ValueError("both classes need rows")
     minor, ratio = (0, ones // zeros) if ones > zeros else (1, zeros // ones)
@@ -38,6 +35,13 @@ def upsample_minority(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
 
 
+def shuffled_places(df: DataFrame, key: str, salt: int = 0, into: str = "place", limit: int = GROUP_LIMIT) -> DataFrame:
+    """Add each row's place, from 0, in a shuffled order of all rows; ``key`` is unique and under 2^31."""
+    hashed = df.withColumn("_hash", spread(key, salt))
+    placed = value_positions(hashed, [], "_hash", limit).select("_hash", F.col("n_before").alias(into))
+    return hashed.join(placed, "_hash").drop("_hash")
+
+
 def fold_by_hash(key: Column | str, k: int = 5, salt: int = 0) -> Column:
     """Fold number of a shuffled split, decided row by row."""
     return F.floor(spread(key, salt) * k / SPREAD_RANGE).cast("int")

@@ -48,7 +48,7 @@ def mic_scores(df: DataFrame, features: Sequence[str], label: str, levels: Seque
     """
     names = [*features, label]
     used = df.select(*[F.col(c).cast("double").alias(c) for c in names]).na.drop("any")
-    edges = fit_quantiles(used, names, [i / FINEST for i in range(1, FINEST)], limit)
+    edges = fit_quantiles(used, names, [i / FINEST for i in range(1, FINEST)])
     binned = used.select(F.lit(0).alias("_"), *[_bin(c, edges[c]).alias(f"b{i}") for i, c in enumerate(names)])
     last = f"b{len(features)}"
     cells = (binned.unpivot([last], [f"b{i}" for i in range(len(features))], "_f", "bx")

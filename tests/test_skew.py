@@ -82,3 +82,64 @@ def test_written_stage_survives_its_source(spark, skewed):
     cut = session.cut_lineage(skewed)
     assert "Range" not in cut._jdf.queryExecution().optimizedPlan().toString()
     assert same(cut, skewed)
+
+
+@pytest.mark.parametrize("rows", [101, 1001, 4321])
+def test_quantiles_of_split_groups_agree_to_the_bit(spark, rows):
+    values = spark.range(rows).select((F.pmod(F.col("id") * 7919, F.lit(100003)) * F.lit(12.34567)).alias("x"), F.lit(1).alias("k"))
+    probs = [i / 100 for i in range(1, 100)]
+    whole = ranking.exact_quantiles(values, ["x"], probs, ["k"]).head()
+    assert ranking.exact_quantiles(values, ["x"], probs, ["k"], limit=50).head() == whole
+    assert ranking.fit_quantiles(values, ["x"], probs)["x"] == [whole[f"q{i}"] for i in range(99)]
+    assert ranking.fit_quantiles(values, ["x"], probs, ranges=3)["x"] == [whole[f"q{i}"] for i in range(99)]
+
+
+def test_quantiles_of_odd_columns(spark):
+    rows = spark.createDataFrame([(None, float("nan"), 1.0), (None, float("inf"), 1.0), (None, 2.0, 1.0)], "a double, b double, c double")
+    found = ranking.fit_quantiles(rows, ["a", "b", "c"], [0.0, 0.5])
+    assert found["a"] == [None, None] and found["b"][0] == 2.0 and found["c"] == [1.0, 1.0]
+
+
+def plans(spark, monkeypatch, run):
+    """The plans of all counts and results that ``run`` asks for."""
+    seen = []
+    kind = type(spark.range(0))
+    for name in ("count", "collect", "head", "isEmpty"):
+        real = getattr(kind, name)
+        monkeypatch.setattr(kind, name, lambda self, *a, real=real, **b: seen.append(
+            self._jdf.queryExecution().optimizedPlan().toString()) or real(self, *a, **b))
+    run().collect()
+    return seen
+
+
+@pytest.mark.parametrize("name", ["auc_score", "assign_folds", "index_encode", "downsample_zero_exact", "quantile_bin"])
+def test_size_checks_do_not_gather_rows(spark, monkeypatch, name):
+    from bidlens.catalog import QUERIES
+    found = plans(spark, monkeypatch, lambda: QUERIES[name](spark, "/root/testdata/sf0.001"))
+    # Lookup tables of at most PIN_ROWS rows are read by a limit at the top, which stops early.
+    assert found and not any("GlobalLimit" in p and "Aggregate" in p.split("GlobalLimit")[0] for p in found)
+
+
+def crossed(rows, a, b):
+    return {(r[0], r[1]): r["count"] for r in rows.groupBy(a, b).count().collect()}
+
+
+def test_salts_are_independent(spark):
+    rows = spark.range(60_000).select("id", *[sampling.fold_by_hash("id", 5, s).alias(f"s{s}") for s in (0, 1, 7, 777)],
+                                      sampling.fold_by_hash(F.col("id") * 512 + 104, 5, 1).alias("spaced"),
+                                      (sampling.spread(F.col("id") * 512 + 104) < int(0.4 * sampling.SPREAD_RANGE)).cast("int").alias("kept"))
+    for a, b in (("s0", "s1"), ("s0", "s777"), ("s1", "s7"), ("s7", "s777")):
+        cells = crossed(rows, a, b)
+        assert len(cells) == 25 and all(abs(n - 2400) < 5 * 2400 ** 0.5 for n in cells.values())
+    cells = crossed(rows.filter("kept = 1"), "spaced", "kept")
+    assert len(cells) == 5 and all(abs(n - 4800) < 5 * 4800 ** 0.5 for n in cells.values())
+    assert rows.select(sampling.spread("id", 3)).distinct().count() == 60_000
+    assert sampling.downsample_zero(rows.withColumn("y", F.lit(0)), "y", "id", exact=True).count() == 24_000
+
+
+def test_top_folds_cut_across_base_folds(spark):
+    rows = spark.range(6000).withColumn("y", (F.col("id") % 2).cast("int"))
+    base = sampling.assign_folds(rows, "id", how="stratified", label="y")
+    both = sampling.assign_folds(base, "id", how="stratified", label="y", salt=777, into="top")
+    cells = crossed(both, "fold", "top")
+    assert len(cells) == 25 and all(abs(n - 240) < 5 * 240 ** 0.5 for n in cells.values())
