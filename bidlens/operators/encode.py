@@ -201,6 +201,18 @@ def index_encode(df: DataFrame, fitted: dict[str, DataFrame], suffix: str = "")
     return df
 
 
+def nominal(df: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """Mark columns that hold codes from 0 as categories, so that trees split them by sets of codes."""
+    marked = {c: F.col(c).cast("double").alias(c, metadata={"ml_attr": {"name": c, "type": "nominal", "num_vals": n}})
+              for c, n in sizes.items()}
+    return df.select(*[marked.get(c, F.col(c)) for c in df.columns])
+
+
+def most_categories(df: DataFrame, cols: Sequence[str]) -> int:
+    """Size of the largest column marked by ``nominal``; 0 without one."""
+    return max((df.schema[c].metadata.get("ml_attr", {}).get("num_vals", 0) for c in cols), default=0)
+
+
 def fit_percentile_scale(df: DataFrame, cols: Sequence[str], percentile: float = 90) -> dict[str, tuple[float, float, float]]:
     """Per column: minimum, percentile above the minimum, mean of the scaled column.
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from bidlens.operators.days import file_day_label
 from bidlens.plans.feature_tables import feature_tables
@@ -45,8 +45,14 @@ def run(spark: SparkSession, raw: str, out: str, params: ForecastParams | None =
                             readers.read_stage(spark, f"{out}/testset"), exposure, static)
     for name, table in zip(("train", "valid", "test"), tables):
         writers.write_stage(table, f"{out}/{name}", partition=None if name == "test" else "days")
-    answer = forecast(*[readers.read_stage(spark, f"{out}/{n}") for n in ("train", "valid", "test")], params)
-    writers.write_submission(answer, f"{out}/submission")
+
+    def save(name: str, predictions: DataFrame) -> DataFrame:
+        writers.write_predictions(predictions, f"{out}/predictions/{name}")
+        return readers.read_stage(spark, f"{out}/predictions/{name}")
+
+    found = forecast(*[readers.read_stage(spark, f"{out}/{n}") for n in ("train", "valid", "test")], params, save)
+    writers.write_stage(found.scores, f"{out}/scores", partition=None)
+    writers.write_submission(found.answer, f"{out}/submission")
     drop_stages(spark)
 
 
