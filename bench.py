@@ -10,7 +10,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from bidlens.catalog import QUERIES  # noqa: E402
-from bidlens.session import build_session  # noqa: E402
+from bidlens.session import build_session, drop_stages  # noqa: E402
 
 HEADLINE = [
     "scan_daily_logs", "parse_queue", "explode_queue", "ad_day_request_stats", "label_join", "asof_settings",
@@ -18,6 +18,7 @@ HEADLINE = [
     "group_stat_median_lags", "group_stat_std_lags", "exact_percentile", "percentile_scale", "quantile_bin",
     "frequency_encode", "index_encode", "assign_folds", "blend_grid", "answer_by_bid", "auc_score",
     "mic_scores", "fm_score", "diffusion_features", "kfold_oof",
+    "gbt_kfold", "custom_objective_boost", "leaf_fm_kfold", "mixed_regressor_kfold",
 ]
 
 
@@ -32,8 +33,11 @@ def main() -> None:
     times = {}
     for name in picked:
         start = time.time()
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - start, 3)
+        try:
+            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.time() - start, 3)
+        finally:
+            drop_stages(spark)
         if os.environ.get("BENCH_VERBOSE"):
             print(name, times[name], file=sys.stderr, flush=True)
     print(json.dumps({"metric": "headline queries, total wall time", "value": round(sum(times.values()), 3),

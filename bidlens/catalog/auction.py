@@ -256,7 +256,7 @@ def safe_ratio(spark, folder):
 @query("ad_day_request_stats", f"select ad_id, days, {', '.join(COUNTS)}, {rs(DOUBLES)} from ad_days",
        ["ad_days"])
 def ad_day_request_stats(spark, folder):
-    return rounded(queue.ad_day_request_stats(Tables(spark, folder).timed_log()))
+    return rounded(queue.ad_day_request_stats(Tables(spark, folder).staged_log()))
 
 
 @query("label_counts", 'select ad_id, days, y as "Y" from day_labels', ["day_labels"])

@@ -1,7 +1,7 @@
 """Model operators on fits that SQL repeats: one split on a two-valued column, or least squares.
 
-A tree of depth one on a two-valued column predicts the mean of each side, a linear model on
-one column is a regression line. The plumbing around the fits, folds, routing, levels,
+A tree of depth one on a two-valued column predicts the mean of each side, as does a logistic
+regression on it; a linear model on one column is a regression line. The plumbing around the fits, folds, routing, levels,
 elimination and averaging, is then checked value by value.
 """
 
@@ -73,14 +73,14 @@ cut as (select quantile_cont(probability, 0.1) as threshold from probable),
 routed as (select p.* from probable p, cut where probability > threshold),
 value_sides as (select k.fold, o.big, avg(o.y) as p from (select distinct fold from routed) k join routed o on o.fold <> k.fold group by k.fold, o.big),
 value_means as (select k.fold, avg(o.y) as p from (select distinct fold from routed) k join routed o on o.fold <> k.fold group by k.fold)
-select p.row, p.y as "Y", {r('p.probability', 'probability_oof')},
-  {r('case when o.row is null then 0 else coalesce(v.p, m.p) end', 'prediction_oof')}
+select p.row, p.y as "Y", {r('p.probability', 'probability_oof', 4)},
+  {r('case when o.row is null then 0 else coalesce(v.p, m.p) end', 'prediction_oof', 4)}
 from probable p left join routed o on p.row = o.row left join value_sides v on o.fold = v.fold and o.big = v.big
 left join value_means m on o.fold = m.fold""", LINE_VIEWS)
 def hurdle_one_split(spark, folder):
-    fitted = hurdle.hurdle_fit(side_table(Tables(spark, folder)), cv.Learner(DecisionTreeClassifier(maxDepth=1), ("big",)),
+    fitted = hurdle.hurdle_fit(side_table(Tables(spark, folder)), cv.Learner(LogisticRegression(maxIter=200, tol=1e-12), ("big",)),
                                cv.Learner(stump(), ("big",)), "Y", 10)
-    return rounded(fitted.oof.select("row", "Y", "probability_oof", "prediction_oof"))
+    return rounded(fitted.oof.select("row", "Y", "probability_oof", "prediction_oof"), 4)
 
 
 @query("leaf_logistic_one_split", f"""

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidlens.functions.scalar import epoch_local, safe_time
+from bidlens.operators.queue import parse_queue
 from bidlens.session import cut_lineage
 from bidlens.sources.readers import clean_static
 
@@ -164,8 +165,8 @@ class Tables:
                                              "filter_flag", "exposed"])
 
     def staged_log(self) -> DataFrame:
-        """The timed log as a written table, for queries that read it several times."""
-        return cut_lineage(self.timed_log(), "log")
+        """The timed log with parsed queues as a written table, for queries that read it several times."""
+        return cut_lineage(parse_queue(self.timed_log()), "log")
 
     def timed_log(self) -> DataFrame:
         """Packed training log with local time and the label of its daily file."""

@@ -82,24 +82,28 @@ def queue_profile(parsed: DataFrame, floor_max: float | None, queue: str = "queu
     })
 
 
+def is_parsed(log: DataFrame) -> bool:
+    """Whether the log holds typed queues (``parse_queue``) instead of packed text."""
+    return "queue" in log.columns
+
+
 def ad_day_users(log: DataFrame, keys: list[str] | None = None, packed: str = "ad_info") -> DataFrame:
-    """Distinct users whose queues contain the ad, per day."""
+    """Distinct users whose queues contain the ad, per day; of a parsed queue only the ads are read."""
     keys = keys or ["ad_id", "days"]
-    seen = log.select("days", "user_id", F.explode_outer(raw_entries(packed)).alias("_e"))
-    seen = seen.filter("_e is not null").select(
-        entry_ad(F.col("_e")).cast("bigint").alias("ad_id"), "days", "user_id")
+    ads = F.col("queue.ad_id") if is_parsed(log) else F.transform(raw_entries(packed), lambda e: entry_ad(e).cast("bigint"))
+    seen = log.select("days", "user_id", F.posexplode_outer(ads).alias("_at", "ad_id")).filter("_at is not null")
     return seen.groupBy(*keys).agg(F.countDistinct("user_id").alias("user_num"))
 
 
 def ad_day_request_stats(log: DataFrame, layout: QueueLayout = TRAIN_ENTRY) -> DataFrame:
     """The twelve per-ad per-day request and competition statistics.
 
-    ``log`` has ``days``, ``user_id`` and ``ad_info``. The averages are one aggregation
+    ``log`` has ``days``, ``user_id`` and the parsed ``queue`` or the packed ``ad_info``. The averages are one aggregation
     with map-side combine. The distinct users are counted in a second, narrow one: as
     part of the first it would spread the partial sums over (ad, day, user) and shuffle
     them nearly uncombined.
     """
-    parsed = parse_queue(log.select("days", "ad_info"), layout)
+    parsed = log.select("days", "queue") if is_parsed(log) else parse_queue(log.select("days", "ad_info"), layout)
     rows = explode_queue(queue_profile(parsed, floor_max=0.0))
     sums = {
         "filter_rate": "filter_flag", "total_ecpm": "total_ecpm", "q_ecpm": "q_ecpm",
@@ -121,14 +125,20 @@ def winner(packed: Column | str = "ad_info") -> Column:
     return entry_ad(F.get(won, F.lit(0)))
 
 
+def parsed_winner() -> Column:
+    """The same of a parsed queue; only the ads and the flags are read."""
+    won = F.array_position(F.transform(F.col("queue.exposed"), lambda x: x % 10 == 1), True)
+    return F.get("queue.ad_id", (won - 1).cast("int"))
+
+
 def exposed_ad(log: DataFrame, strict: bool = True) -> DataFrame:
     """Replace the queue by the ad that was shown; ``strict`` raises on a queue without one."""
-    ad = winner()
+    ad = parsed_winner() if is_parsed(log) else winner()
     if strict:
         ad = F.coalesce(ad, F.raise_error(F.lit("queue without an exposed entry"))).cast("bigint")
     else:
         ad = ad.try_cast("bigint")
-    return log.withColumn("exposed_ad_id", ad).drop("ad_info")
+    return log.withColumn("exposed_ad_id", ad).drop("ad_info", "queue")
 
 
 def quarantine_log(log: DataFrame, layout: QueueLayout = TRAIN_ENTRY) -> DataFrame:

@@ -10,6 +10,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from bidlens.operators.days import file_day_label
+from bidlens.operators.queue import parse_queue
 from bidlens.plans.feature_tables import feature_tables
 from bidlens.plans.forecast import ForecastParams, forecast
 from bidlens.plans.training_set import exposure_table, require_unique, test_set, training_set
@@ -29,8 +30,8 @@ def run(spark: SparkSession, raw: str, out: str, params: ForecastParams | None =
     static = require_unique(readers.scan_static(spark, f"{raw}/{STATIC_FILE}"), "ad_id")
     operations = readers.scan_operations(spark, f"{raw}/{OPERATION_FILE}")
     paths = readers.daily_paths(f"{raw}/total_data/track_log")
-    # The text is read once; labels, winners, users and statistics then read only their columns.
-    writers.write_stage(readers.scan_daily_logs(spark, paths), f"{out}/log", partition="file")
+    # The text is parsed once; winners, users and statistics then read only their fields.
+    writers.write_stage(parse_queue(readers.scan_daily_logs(spark, paths)), f"{out}/log", partition="file")
     log = file_day_label(readers.read_stage(spark, f"{out}/log"))
 
     writers.write_stage(exposure_table(log), f"{out}/exposure")

@@ -272,3 +272,23 @@ def test_arriving_files_give_the_same_statistics(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() == 6 and got.select("days").distinct().count() == 2
     assert {r["requestion_num"] for r in got.filter("ad_id = 10").collect()} == {3}
+
+
+def test_parsed_queues_give_what_packed_ones_give(spark):
+    rows = [(1, 1, "5,0,0.1,1,10,0,0;7,0,0.2,2,20,1,1"), (2, 2, "7,0,0.3,3,30,0,1;7,0,0.1,1,5,0,0"), (3, 1, "5,0,0.1,1,-10,0,1")]
+    log = spark.createDataFrame(rows, "request_id int, user_id int, ad_info string").withColumn("days", F.lit(DAY))
+    parsed = queue.parse_queue(log)
+    key = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
+    for use in (queue.ad_day_request_stats, queue.ad_day_users, queue.exposed_ad):
+        assert key(use(parsed)) == key(use(log))
+    users = queue.ad_day_users(parsed.repartition(2))._jdf.queryExecution().optimizedPlan().toString()
+    assert "ad_id" in users
+
+
+def test_statistics_read_only_their_fields(spark, tmp_path):
+    log = spark.createDataFrame([(1, 1, "5,0,0.1,1,10,0,1")], "request_id int, user_id int, ad_info string").withColumn("days", F.lit(DAY))
+    queue.parse_queue(log).write.parquet(str(tmp_path / "log"))
+    staged = spark.read.parquet(str(tmp_path / "log"))
+    schema = lambda df: df._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1].split("\n")[0]
+    assert schema(queue.ad_day_users(staged)) == "struct<user_id:int,days:date,queue:array<struct<ad_id:bigint>>>"
+    assert schema(queue.exposed_ad(staged).select("exposed_ad_id")) == "struct<queue:array<struct<ad_id:bigint,exposed:int>>>"
