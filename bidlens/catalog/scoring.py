@@ -227,20 +227,19 @@ MIC_FEATURES = ["l_quantity", "l_discount", "l_linenumber"]
 
 
 def mic_sql(features: list[str], label: str, table: str) -> str:
-    edge = lambda c: ", ".join(f"quantile_cont({c}, {i / 16})" for i in range(1, 16))
-    bins = lambda c: f"len(list_filter({c}_e, lambda e: e <= {c}))"
-    names = [*features, label]
-    long = " union all ".join(f"select '{c}' as feature, {bins(c)} as bx, {bins(label)} as b_y from {table}, e" for c in features)
+    place = lambda c: f"rank() over (order by {c}) - 1"
+    long = " union all ".join(f"select '{c}' as feature, {place(c)} as rx, {place(label)} as ry from {table}" for c in features)
     return f"""
-with e as (select {', '.join(f'[{edge(c)}] as {c}_e' for c in names)} from {table}),
-long as ({long}),
-grids as (select a, b from (values (2), (4), (8), (16)) x(a), (values (2), (4), (8), (16)) z(b)),
-cells as (select feature, a, b, (bx * a) // 16 as cx, (b_y * b) // 16 as cy, cast(count(*) as double) as n
-  from long, grids group by feature, a, b, cx, cy),
+with long as ({long}),
+size as (select count(*) as rows, greatest(pow(count(*), 0.6), 4) as cells from {table}),
+levels as (select cast(pow(2, i) as bigint) as k from range(1, 40) v(i), size where 2 * pow(2, i) <= cells),
+grids as (select x.k as a, y.k as b from levels x, levels y, size where x.k * y.k <= cells),
+cells as (select feature, a, b, (rx * a) // rows as cx, (ry * b) // rows as cy, cast(count(*) as double) as n
+  from long, grids, size group by feature, a, b, cx, cy),
 shares as (select *, sum(n) over (partition by feature, a, b, cx) as nx, sum(n) over (partition by feature, a, b, cy) as ny,
   sum(n) over (partition by feature, a, b) as nn from cells),
-info as (select feature, a, b, max(nn) as nn, sum(n / nn * ln(n * nn / (nx * ny))) as mi from shares group by feature, a, b)
-select feature, {r('max(greatest(mi, 0) / ln(least(a, b)))', 'score')} from info where a * b <= greatest(pow(nn, 0.6), 4) group by feature"""
+info as (select feature, a, b, sum(n / nn * ln(n * nn / (nx * ny))) as mi from shares group by feature, a, b)
+select feature, {r('max(greatest(mi, 0) / ln(least(a, b)))', 'score')} from info group by feature"""
 
 
 @query("mic_scores", mic_sql(MIC_FEATURES, "l_extendedprice", "lineitem"))

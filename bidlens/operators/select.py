@@ -8,11 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidlens.operators.ranking import GROUP_LIMIT, fit_quantiles
+from bidlens.operators.ranking import GROUP_LIMIT, value_positions
+from bidlens.session import cut_lineage
 
 PairScore = Callable[[Column, Column], Column]
 SCORES_PER_PASS = 200
-FINEST = 16
 GRID_POWER = 0.6  # fixed value: a grid may have up to n^0.6 cells
 
 
@@ -31,41 +31,70 @@ def relation_scores(df: DataFrame, features: Sequence[str], label: str, score: P
     return reduce(DataFrame.unionByName, parts)
 
 
-def _bin(col: str, edges: Sequence[float]) -> Column:
-    return sum(((F.col(col) >= e).cast("int") for e in edges), F.lit(0))
+def _upper_bound(value: Column, starts: Column, size: int) -> Column:
+    """How many of the ascending ``starts`` are at or below the value, by bisection."""
+    steps = F.lit([1 << i for i in reversed(range(size.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, s: F.when(
+        (at + s <= size) & (F.element_at(starts, F.least(at + s, F.lit(size))) <= value), at + s).otherwise(at))
 
 
-def mic_scores(df: DataFrame, features: Sequence[str], label: str, levels: Sequence[int] = (2, 4, 8, 16),
+def equal_frequency_bins(df: DataFrame, cols: Sequence[str], bins: int, limit: int = GROUP_LIMIT) -> dict[str, Column]:
+    """Per column its bin from 0: rows below the value, times ``bins``, over all rows, rounded down.
+
+    Only the smallest value of each bin reaches the driver. ``df`` is a written table of doubles.
+    """
+    placed = value_positions(df.unpivot([], list(cols), "stat", "value"), ["stat"], "value", limit)
+    at = F.floor(F.col("n_before") * bins / F.col("n_total")).cast("int")
+    starts: dict[str, list] = {c: [] for c in cols}
+    for row in placed.groupBy("stat", at.alias("bin")).agg(F.min("value").alias("start")).collect():
+        starts[row["stat"]].append((row["bin"], row["start"]))
+    found = {}
+    for c, edges in starts.items():
+        numbers, lows = zip(*sorted(edges))
+        found[c] = F.element_at(F.lit(list(numbers)), _upper_bound(F.col(c), F.lit([float(v) for v in lows]), len(lows)))
+    return found
+
+
+def mic_scores(df: DataFrame, features: Sequence[str], label: str, power: float = GRID_POWER,
                limit: int = GROUP_LIMIT) -> DataFrame:
     """Information coefficient in [0, 1] of each feature with the label.
 
-    The highest normalised mutual information over equal-frequency grids of ``levels``
-    bins per axis and at most n^0.6 cells. Grids with freely placed lines could reach
-    more, so this bounds the maximal information coefficient from below.
+    The highest normalised mutual information over all grids of equal-frequency bins, powers
+    of two per axis, with at most n^power cells (at least 4). Grids with freely placed lines
+    could reach more, so this bounds the maximal information coefficient from below.
 
-    Levels are powers of two up to 16: rows are counted once on the finest grid, and
-    coarser grids are sums of its cells.
+    For each number of bins of the feature, rows are counted on the grid with the most bins
+    of the label, each task holding at most its n^power cells; the others are sums of these.
     """
     names = [*features, label]
-    used = df.select(*[F.col(c).cast("double").alias(c) for c in names]).na.drop("any")
-    edges = fit_quantiles(used, names, [i / FINEST for i in range(1, FINEST)])
-    binned = used.select(F.lit(0).alias("_"), *[_bin(c, edges[c]).alias(f"b{i}") for i, c in enumerate(names)])
+    used = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in names]).na.drop("any"), "pairs")
+    rows = used.count()
+    if not rows:
+        return df.sparkSession.createDataFrame([], "feature string, score double")
+    cells = max(rows ** power, 4.0)
+    widest = [1 << i for i in range(1, 63) if 2 << i <= cells]
+    finest = widest[-1]
+    bins = equal_frequency_bins(used, names, finest, limit)
+    binned = used.select(*[bins[c].alias(f"b{i}") for i, c in enumerate(names)])
     last = f"b{len(features)}"
-    cells = (binned.unpivot([last], [f"b{i}" for i in range(len(features))], "_f", "bx")
-             .groupBy("_f", "bx", F.col(last).alias("by")).agg(F.count(F.lit(1)).alias("n")))
-    grids = [[a, b] for a in levels for b in levels]
-    spread_out = cells.withColumn("_g", F.explode(F.lit(grids))).select(
-        "_f", F.col("_g")[0].alias("a"), F.col("_g")[1].alias("b"),
-        F.floor(F.col("bx") * F.col("_g")[0] / FINEST).alias("bx"),
-        F.floor(F.col("by") * F.col("_g")[1] / FINEST).alias("by"), "n")
+    grids = F.lit([[a, max(b for b in widest if a * b <= cells)] for a in widest])
+    long = binned.unpivot([last], [f"b{i}" for i in range(len(features))], "_f", "bx").select(
+        "_f", "bx", F.col(last).alias("by"), F.explode(grids).alias("_g"))
+
+    def shrunk(number: str, of: Column, into: Column) -> Column:
+        return F.floor(F.col(number).cast("bigint") * into / of)
+
+    full = long.select("_f", F.col("_g")[0].alias("a"), F.col("_g")[1].alias("most"), shrunk("bx", F.lit(finest), F.col("_g")[0]).alias("bx"),
+                       shrunk("by", F.lit(finest), F.col("_g")[1]).alias("by")).groupBy("_f", "a", "most", "bx", "by").agg(
+        F.count(F.lit(1)).alias("n"))
+    spread_out = full.withColumn("b", F.explode(F.filter(F.lit(widest), lambda b: b <= F.col("most"))))
     grid = ["_f", "a", "b"]
-    coarse = spread_out.groupBy(*grid, "bx", "by").agg(F.sum("n").alias("n"))
+    coarse = spread_out.groupBy(*grid, "bx", shrunk("by", F.col("most"), F.col("b")).alias("by")).agg(F.sum("n").alias("n"))
     over = lambda *extra: F.sum("n").over(Window.partitionBy(*grid, *extra))
     shares = coarse.withColumns({"nx": over("bx"), "ny": over("by"), "nn": over()})
     part = F.col("n") / F.col("nn") * F.log(F.col("n").cast("double") * F.col("nn") / (F.col("nx").cast("double") * F.col("ny")))
-    info = shares.groupBy(*grid).agg(F.sum(part).alias("mi"), F.max("nn").alias("nn"))
-    fits = F.col("a") * F.col("b") <= F.greatest(F.pow(F.col("nn").cast("double"), F.lit(GRID_POWER)), F.lit(4.0))
-    best = info.filter(fits).groupBy("_f").agg(
+    info = shares.groupBy(*grid).agg(F.sum(part).alias("mi"))
+    best = info.groupBy("_f").agg(
         F.max(F.greatest(F.col("mi"), F.lit(0.0)) / F.log(F.least("a", "b").cast("double"))).alias("score"))
     titles = F.create_map(*[F.lit(v) for i, f in enumerate(features) for v in (f"b{i}", f)])
     return best.select(titles[F.col("_f")].alias("feature"), "score")
