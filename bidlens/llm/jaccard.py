@@ -4,12 +4,13 @@ Sets of word shingles are linked when ``den * |A & B| >= num * |A | B|``. The jo
 returns each document's component and its number of links, not all pairs.
 
 1. Equal sets are one class, which counts its copies.
-2. Families. Linked sets differ in at most d shingles, so of the hash ranges a set is
-   cut into, a set with more than d non-empty ranges shares at least one with any
-   partner. A range's content is a signature; sets that share one are joined into a
-   family, a superset of the components. Signatures are first matched in the task
-   that made them and travel in packets, so a signature common to very many sets is
-   one entry per task.
+2. Families. Order all shingles by the number of sets that have them, rarest first. The
+   a - ceil(a * num / den) + 1 first shingles of two linked sets meet, and a shingle of one
+   set alone meets nothing, so most sets drop out; sets whose first shingles meet form a
+   family, a superset of the components. Any one order is right, so only a fixed share
+   of the shingles by hash, twice as many as are needed, is counted and goes first. The
+   few shingles of very many sets go last and are not counted; that list is bounded by
+   its threshold. Shingles travel in packets, each once per task and class.
 3. Groups. A family is cut into groups of similar size of at most ``GROUP_TOKENS``
    shingles. Each group keeps the union of its members' shingles, a row of the matrix.
 4. A set of another group of its family is a query: its overlap with the group's union
@@ -17,7 +18,8 @@ returns each document's component and its number of links, not all pairs.
    needs are opened, and only for those queries; there all pairs are verified at once.
 5. Links leave a group as one edge per set to the smallest set reached, never as pairs.
 
-No group is gathered whole unless its size is bounded, and nothing is broadcast.
+No group is gathered whole unless its size is bounded; only the bounded list of frequent
+shingles goes to all tasks.
 
 Defined cases: a text with fewer words than a shingle has its whole sequence as its
 only one; one without words, null or empty, is empty and linked with nothing; repeated
@@ -27,9 +29,7 @@ read; no rows give no rows. Shingles and classes are told apart by 64-bit hashes
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -37,66 +37,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidlens.llm.graph import components
+from bidlens.llm.rows import row_number, stored
 from bidlens.llm.words import mixed, shingle_sets, slices
 from bidlens.session import cut_lineage
 
-GROUP_TOKENS = 1 << 18  # shingles a group may hold; a set counts at least MIN_WEIGHT
+GROUP_TOKENS = 1 << 17  # shingles a group may hold; a set counts at least MIN_WEIGHT
 MIN_WEIGHT = 128
-PART_SIGNATURES = 1 << 20  # signatures matched in one task
-FLUSH_SIGNATURES = 1 << 20  # signatures matched within the task that made them
+PART_TOKENS = 1 << 20  # shingles counted in one task at once
+FLUSH_TOKENS = 1 << 20  # shingles of a task brought together before they are dealt out
+LOCAL_FREQUENT = 8  # sets of a task's batch that make a shingle a candidate for a frequent one
+FREQUENT_PARTS = 1_000_000  # a frequent shingle has this part of all shingles, so there are at most as many
+LEAST_FREQUENT = 1000  # but at least so many sets
 DENSE = 16  # shingles of more sets than this are counted by matrix product
 SETS = "row long, id long, n long, set_id long, proof long"
-PACKETS = "part long, signatures binary, sets binary, edges binary"
-EDGES = "a long, b long"
+PACKETS = "part long, shingles binary, sets binary, counts binary, needs binary, last binary"
+SHARED = "part long, sets binary, shingles binary, having binary, needs binary, last binary"
+FIRST = "shingle long, set_id long"
 LINKS = "a long, b long, links long"
 
 
-@dataclass
-class Bands:
-    """Set sizes in bands, with the ranges each band's sets are cut into.
-
-    Sizes of linked sets differ by a factor of at most den / num and a band spans its
-    square, so partners are in the same band or the next. A set takes part in its
-    own band and, if a partner can be there, in the next.
-    """
-
-    num: int
-    den: int
-    edges: list[int] = field(default_factory=lambda: [1])
-    differing: list[int] = field(default_factory=list)
-    ranges: list[int] = field(default_factory=list)
-
-    def cover(self, size: int) -> None:
-        """Add bands until ``size`` and its partners are covered."""
-        while self.edges[-1] <= size * self.den // self.num:
-            low = self.edges[-1]
-            end = max(low + 1, (low * self.den // self.num) * self.den // self.num + 1)
-            top = end - 1
-            differing = 2 * top * (self.den - self.num) // (self.den + self.num)
-            self.edges.append(end)
-            self.differing.append(differing)
-            self.ranges.append(self._ranges(differing, max(1, -(-low * self.num // self.den))))
-
-    @staticmethod
-    def _ranges(differing: int, smallest: int) -> int:
-        """Fewest ranges of which a set of ``smallest`` shingles fills more than ``differing`` all but surely."""
-        if not differing:
-            return 1
-        most = 2 * smallest + 2
-        m = differing + 1
-        while m < most:
-            empty = math.exp(-smallest / m)
-            spread = math.sqrt(m * empty * (1 - (1 + smallest / m) * empty))
-            if m * (1 - empty) - 5 * spread >= differing + 1:
-                break
-            m += max(1, m // 64)
-        return m
+def size_bands(largest: int, num: int, den: int) -> list[int]:
+    """Lower ends of bands of set sizes; linked sets are in the same band or in neighbours."""
+    edges = [1]
+    while edges[-1] <= largest:
+        edges.append(edges[-1] * den // num + 1)
+    return edges
 
 
 def set_rows(docs: DataFrame, k: int) -> DataFrame:
-    """(row, id, n, set_id, proof) of ``docs`` (id, text): the size of the shingle set and two hashes of the whole set."""
+    """(row, id, n, set_id, proof) of ``docs`` (doc_id, text): the size of the shingle set and two hashes of the whole set.
+
+    Rows without a row number count the sets (n) of a batch that have a shingle (set_id), where they are many.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             for piece in slices(batch.column(2)):
                 doc, values = shingle_sets(piece, k)
@@ -106,12 +81,35 @@ def set_rows(docs: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({
                     "row": part.column(0), "id": part.column(1), "n": pa.array(n.astype(np.int64)),
                     "set_id": pa.array(set_id.view(np.int64)), "proof": pa.array(proof.view(np.int64))})
+                held.append(values[_first_copies(set_id)[doc]])
+                size += len(held[-1])
+                if size >= FLUSH_TOKENS:
+                    yield counted(held)
+                    held, size = [], 0
+        if held:
+            yield counted(held)
+
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        value, count = np.unique(np.concatenate(held), return_counts=True)
+        often = count >= LOCAL_FREQUENT
+        nothing = pa.nulls(int(often.sum()), pa.int64())
+        return pa.RecordBatch.from_pydict({
+            "row": nothing, "id": nothing, "n": pa.array(count[often].astype(np.int64)),
+            "set_id": pa.array(value[often].view(np.int64)), "proof": nothing})
 
     return _numbered(docs).mapInArrow(run, SETS)
 
 
+def _first_copies(set_id: np.ndarray) -> np.ndarray:
+    """Which documents are the first of a slice with their set."""
+    _, one = np.unique(set_id, return_index=True)
+    found = np.zeros(len(set_id), bool)
+    found[one] = True
+    return found
+
+
 def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("id").cast("long"), F.col("text").cast("string"))
+    return docs.select(row_number().alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
 
 
 def set_hashes(doc: np.ndarray, values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,90 +122,78 @@ def set_hashes(doc: np.ndarray, values: np.ndarray, size: int) -> tuple[np.ndarr
     return found[0], found[1]
 
 
-def signatures(doc: np.ndarray, values: np.ndarray, size: int, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """(document, signature) of every non-empty range of every document, in its own band and the next where needed."""
+def needed(n: np.ndarray, num: int, den: int) -> np.ndarray:
+    """How many first shingles of a set of ``n`` meet those of any set linked with it."""
+    return n - -(-n * num // den) + 1
+
+
+def dealt_shingles(doc: np.ndarray, values: np.ndarray, size: int, frequent: np.ndarray, num: int, den: int):
+    """Split sorted (document, shingle) into what is counted and what goes last.
+
+    Returns a mask of the counted shingles, a mask of the frequent ones among the first
+    of their set, and per document how many first shingles it needs and how many of the
+    counted ones belong to the share that goes first.
+    """
     n = np.bincount(doc, minlength=size)
-    bands.cover(int(n.max(initial=0)))
-    edges, ranges, differing = (np.array(x, np.int64) for x in (bands.edges, bands.ranges, bands.differing))
-    own = np.searchsorted(edges, n, "right") - 1
-    upper = n * bands.den // bands.num >= edges[np.minimum(own + 1, len(edges) - 1)]
-    docs, found = [], []
-    for step, chosen in ((0, n > 0), (1, (n > 0) & upper)):
-        pick = chosen[doc]
-        d, v = doc[pick], values[pick]
-        if not len(d):
-            continue
-        band = own[d] + step
-        at = ((v >> np.uint64(32)) * ranges[band].astype(np.uint64)) >> np.uint64(32)
-        at = at.astype(np.int64)
-        new = np.append(True, (d[1:] != d[:-1]) | (at[1:] != at[:-1]))
-        first = np.flatnonzero(new)
-        place = mixed((band[first] * 0x1000003D + at[first] * 2 + 1).astype(np.uint64))
-        docs.append(d[first])
-        found.append(mixed(np.add.reduceat(mixed(v ^ np.uint64(0x2545F4914F6CDD1D)), first) + place))
-        # Sets with too few filled ranges could miss each other, so they share a signature of their band.
-        filled = np.bincount(d[first], minlength=size)
-        few = np.flatnonzero(chosen & (filled <= differing[np.minimum(own + step, len(differing) - 1)]))
-        docs.append(few)
-        found.append(mixed((own[few] + step).astype(np.uint64) * np.uint64(2) ^ np.uint64(0x9FB21C651E98DF25)))
-    if not docs:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(docs), np.concatenate(found)
-
-
-def shared(signature: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Match equal signatures: (edges as pairs set, smallest set), and the first entry of every signature."""
-    order = np.lexsort((sets, signature))
-    s, x = signature[order], sets[order]
-    new = np.append(True, s[1:] != s[:-1]) if len(s) else np.zeros(0, bool)
-    first = np.flatnonzero(new)
-    lowest = np.repeat(x[first], np.diff(np.append(first, len(s))))
-    other = x != lowest
-    pairs = np.stack([x[other], lowest[other]], 1)
-    return (np.unique(pairs, axis=0) if len(pairs) else pairs), s[first], x[first]
-
-
-def packets(docs: DataFrame, k: int, num: int, den: int, parts: int) -> DataFrame:
-    """Signatures of all sets, dealt to ``parts`` parts by value; matches within a task are edges already."""
-
-    def flushed(signature: list[np.ndarray], sets: list[np.ndarray]) -> pa.RecordBatch:
-        edges, s, x = shared(np.concatenate(signature), np.concatenate(sets))
-        part = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        cut = np.searchsorted(part, np.arange(parts + 1).astype(np.uint64))
-        rows = {"part": [], "signatures": [], "sets": [], "edges": []}
-        shares = np.array_split(edges, parts)
-        for p in range(parts):
-            i, j = int(cut[p]), int(cut[p + 1])
-            if i == j and not len(shares[p]):
-                continue
-            by_set = np.argsort(x[i:j], kind="stable")  # equal sets side by side compress
+    need = np.where(n > 0, needed(n, num, den), 0)
+    place = np.minimum(np.searchsorted(frequent, values), max(0, len(frequent) - 1))
+    common = frequent[place] == values if len(frequent) else np.zeros(len(values), bool)
+    share = min(2**32, 2 * (den - num) * 2**32 // den)
+    early = ((values >> np.uint64(32)) < np.uint64(share)) & ~common
+
+    def rank(mask: np.ndarray) -> np.ndarray:
+        sums = np.cumsum(mask) - mask
+        first = np.searchsorted(doc, np.arange(size))
+        return sums - np.append(sums, 0)[first][doc]
+
+    counted = ~common & (early | (rank(~common) < need[doc]))
+    usual = np.bincount(doc[~common], minlength=size)
+    last = common & (rank(common) < (need - usual)[doc])
+    return counted, last, need, np.bincount(doc[early], minlength=size)
+
+
+def packets(docs: DataFrame, k: int, num: int, den: int, frequent: np.ndarray, parts: int) -> DataFrame:
+    """The shingles to be counted, dealt to ``parts`` parts by value, and each class's needs."""
+    shared_list = docs.sparkSession.sparkContext.broadcast(frequent)
+
+    def flushed(held: list[tuple]) -> pa.RecordBatch:
+        value, owner, needs, last = (np.concatenate(x) for x in zip(*held))
+        part = (((value >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+        order = np.lexsort((owner, part))
+        value, owner, part = value[order], owner[order], part[order]
+        cut = np.searchsorted(part, np.arange(parts + 1))
+        rows = {c: [] for c in ("part", "shingles", "sets", "counts", "needs", "last")}
+        for p, (info, tail) in enumerate(zip(np.array_split(needs, parts), np.array_split(last, parts))):
+            own = owner[cut[p]:cut[p + 1]]
+            first = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, np.int64)
             rows["part"].append(p)
-            rows["signatures"].append(s[i:j][by_set].tobytes())
-            rows["sets"].append(x[i:j][by_set].tobytes())
-            rows["edges"].append(shares[p].tobytes())
+            rows["shingles"].append(value[cut[p]:cut[p + 1]].tobytes())
+            rows["sets"].append(own[first].tobytes())
+            rows["counts"].append(np.diff(np.append(first, len(own))).astype(np.uint32).tobytes())
+            rows["needs"].append(info.tobytes())
+            rows["last"].append(tail.tobytes())
         return pa.RecordBatch.from_pydict({"part": pa.array(rows.pop("part"), pa.int64()),
                                            **{c: pa.array(v, pa.binary()) for c, v in rows.items()}})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, signature, sets, held = Bands(num, den), [], [], 0
+        held, size = [], 0
         for batch in batches:
             for piece in slices(batch.column(0)):
                 doc, values = shingle_sets(piece, k)
-                set_id, _ = set_hashes(doc, values, piece.size)
+                set_id = set_hashes(doc, values, piece.size)[0]
+                one = _first_copies(set_id)
+                doc, values = doc[one[doc]], values[one[doc]]
                 set_id = set_id.view(np.int64)
-                _, one = np.unique(set_id, return_index=True)
-                chosen = np.zeros(piece.size, bool)
-                chosen[one] = True
-                pick = chosen[doc]
-                d, s = signatures(doc[pick], values[pick], piece.size, bands)
-                signature.append(s)
-                sets.append(set_id[d])
-                held += len(s)
-                if held >= FLUSH_SIGNATURES:
-                    yield flushed(signature, sets)
-                    signature, sets, held = [], [], 0
+                counted, last, need, early = dealt_shingles(doc, values, piece.size, shared_list.value, num, den)
+                own = np.unique(doc)
+                held.append((values[counted], set_id[doc[counted]], np.stack([set_id[own], need[own], early[own]], 1),
+                             np.stack([values[last].view(np.int64), set_id[doc[last]]], 1)))
+                size += int(counted.sum())
+                if size >= FLUSH_TOKENS:
+                    yield flushed(held)
+                    held, size = [], 0
         if held:
-            yield flushed(signature, sets)
+            yield flushed(held)
 
     return docs.select(F.col("text").cast("string")).mapInArrow(run, PACKETS)
 
@@ -216,16 +202,67 @@ def _joined(table: pa.Table, column: str, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
 
 
-def match_part(table: pa.Table) -> pa.Table:
-    """Edges of one part of the packets."""
-    edges, _, _ = shared(_joined(table, "signatures", np.uint64), _joined(table, "sets", np.int64))
-    early = _joined(table, "edges", np.int64).reshape(-1, 2)
-    edges = np.unique(np.concatenate([edges, early]), axis=0)
-    return pa.table({"a": pa.array(edges[:, 0]), "b": pa.array(edges[:, 1])})
+def shared_shingles(parts: int):
+    """Count the sets of each shingle of a part; shingles of several sets go on, dealt by set."""
+
+    def run(table: pa.Table) -> pa.Table:
+        value = _joined(table, "shingles", np.uint64)
+        owner = np.repeat(_joined(table, "sets", np.int64), _joined(table, "counts", np.uint32))
+        order = np.lexsort((owner, value))
+        value, owner = value[order], owner[order]
+        fresh = np.append(True, (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])) if len(value) else np.zeros(0, bool)
+        value, owner = value[fresh], owner[fresh]
+        first = np.flatnonzero(np.append(True, value[1:] != value[:-1])) if len(value) else np.zeros(0, np.int64)
+        having = np.diff(np.append(first, len(value)))
+        having = np.repeat(having, having)
+        several = having > 1
+        value, owner, having = value[several], owner[several], having[several]
+        needs = _joined(table, "needs", np.int64).reshape(-1, 3)
+        last = _joined(table, "last", np.int64).reshape(-1, 2)
+        to = [x.view(np.uint64) % np.uint64(parts) for x in (owner, np.ascontiguousarray(needs[:, 0]), np.ascontiguousarray(last[:, 1]))]
+        rows = {c: [] for c in ("part", "sets", "shingles", "having", "needs", "last")}
+        for p in np.unique(np.concatenate(to)).tolist():
+            mine = to[0] == p
+            rows["part"].append(int(p))
+            rows["sets"].append(owner[mine].tobytes())
+            rows["shingles"].append(value[mine].tobytes())
+            rows["having"].append(np.minimum(having[mine], 2**32 - 1).astype(np.uint32).tobytes())
+            rows["needs"].append(needs[to[1] == p].tobytes())
+            rows["last"].append(last[to[2] == p].tobytes())
+        return pa.table({"part": pa.array(rows.pop("part"), pa.int64()), **{c: pa.array(v, pa.binary()) for c, v in rows.items()}})
+
+    return run
+
+
+def first_shingles(table: pa.Table) -> pa.Table:
+    """The shared shingles among the first ones of each class of a part."""
+    needs = np.unique(_joined(table, "needs", np.int64).reshape(-1, 3), axis=0)  # copies in other tasks say the same
+    last = np.unique(_joined(table, "last", np.int64).reshape(-1, 2), axis=0)
+    owner, value, having = (_joined(table, c, t) for c, t in (("sets", np.int64), ("shingles", np.uint64), ("having", np.uint32)))
+    order = np.lexsort((value, having, owner))
+    owner, value = owner[order], value[order]
+    first = np.searchsorted(owner, needs[:, 0])
+    count = np.searchsorted(owner, needs[:, 0], "right") - first
+    need, early = needs[:, 1], needs[:, 2]
+    # Where the share that goes first is enough, its shingles of one set alone come before the shared ones.
+    taken = np.where(early >= need, np.clip(need - (early - count), 0, count), count)
+    at = np.repeat(first - (np.cumsum(taken) - taken), taken) + np.arange(int(taken.sum()))
+    return pa.table({"shingle": pa.array(np.concatenate([value[at].view(np.int64), last[:, 0]])),
+                     "set_id": pa.array(np.concatenate([owner[at], last[:, 1]]))})
 
 
-def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Matrix of the numbers of shared values of sets of distinct values."""
+def meeting_edges(firsts: DataFrame) -> DataFrame:
+    """(a, b): each class with the smallest class of every first shingle it shares; ``firsts`` is read twice."""
+    low = firsts.groupBy("shingle").agg(F.min("set_id").alias("b"), F.max("set_id").alias("top")).filter("b < top")
+    return firsts.join(low.select("shingle", "b"), "shingle").filter("set_id <> b").select(
+        F.col("set_id").alias("a"), "b").distinct()
+
+
+def overlaps(sets: list[np.ndarray], query: np.ndarray) -> np.ndarray:
+    """Numbers of shared values: of every set (row) with every set that is no query (column).
+
+    With queries, only theirs are counted among the rows.
+    """
     m = len(sets)
     owner = np.repeat(np.arange(m), [len(x) for x in sets])
     values = np.concatenate(sets) if m else np.zeros(0, np.uint64)
@@ -233,38 +270,53 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     values, owner = values[order], owner[order]
     first = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
     count = np.diff(np.append(first, len(values)))
-    total = np.zeros((m, m), np.float32)
-    for size in range(2, DENSE + 1):  # rare values: pairs of their owners
+    asked = query if query.any() else np.ones(m, bool)
+    row, column = np.cumsum(asked) - 1, np.cumsum(~query) - 1
+    total = np.zeros((int(asked.sum()), int((~query).sum())), np.float32)
+    for size in range(2, min(DENSE, m) + 1):  # rare values: pairs of their owners
         start = first[count == size]
+        if not len(start):
+            continue
         for i in range(size):
             for j in range(size):
-                if i != j:
-                    np.add.at(total, (owner[start + i], owner[start + j]), 1)
+                x, y = owner[start + i], owner[start + j]
+                both = asked[x] & ~query[y] & (x != y)
+                np.add.at(total, (row[x[both]], column[y[both]]), 1)
     common = np.flatnonzero(count > DENSE)
-    for at in range(0, len(common), 4096):
-        part = common[at:at + 4096]
-        column = np.repeat(np.arange(len(part)), count[part])
-        place = np.arange(len(column)) + np.repeat(first[part] - (np.cumsum(count[part]) - count[part]), count[part])
+    for at in range(0, len(common), 2048):
+        part = common[at:at + 2048]
+        label = np.repeat(np.arange(len(part)), count[part])
+        place = np.arange(len(label)) + np.repeat(first[part] - (np.cumsum(count[part]) - count[part]), count[part])
         held = np.zeros((m, len(part)), np.float32)
-        held[owner[place], column] = 1
-        total += held @ held.T
+        held[owner[place], label] = 1
+        total += held[asked] @ held[~query].T
     return total
 
 
-def linked(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
-    """Boolean matrix of the links between sets."""
-    both = np.rint(overlaps(sets)).astype(np.int64)
+def linked(sets: list[np.ndarray], num: int, den: int, query: np.ndarray | None = None) -> np.ndarray:
+    """Boolean matrix of the links between sets; with queries, of those between a query and another set only."""
+    m = len(sets)
+    query = np.zeros(m, bool) if query is None else query
+    shared = overlaps(sets, query)
+    asked = np.flatnonzero(query) if query.any() else np.arange(m)
+    own = np.flatnonzero(~query)
     n = np.array([len(x) for x in sets], np.int64)
-    found = (den + num) * both >= num * (n[:, None] + n[None, :])
+    found = np.zeros((m, m), bool)
+    for at in range(0, len(asked), 256):  # a few rows at once, as whole numbers take eight bytes
+        rows = asked[at:at + 256]
+        both = np.rint(shared[at:at + 256]).astype(np.int64)
+        found[np.ix_(rows, own)] = (den + num) * both >= num * (n[rows][:, None] + n[own][None, :])
     np.fill_diagonal(found, False)
-    return found
+    return found | found.T
 
 
 def smallest_reached(links: np.ndarray) -> np.ndarray:
     """For each set the first one of its component."""
+    x, y = np.nonzero(links)
     label = np.arange(len(links))
     while True:
-        low = np.minimum(label, np.where(links, label[None, :], len(links)).min(1, initial=len(links)))
+        low = label.copy()
+        np.minimum.at(low, x, label[y])
         low = low[low]
         if (low == label).all():
             return label
@@ -282,11 +334,9 @@ def verifier(num: int, den: int):
         names, copies = (table.column(c).to_numpy() for c in ("set_id", "copies"))
         query = table.column("query").to_numpy(zero_copy_only=False)
         sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
-        links = linked(sets, num, den)
-        if query.any():
-            links &= query[:, None] != query[None, :]
+        links = linked(sets, num, den, query)
         label = smallest_reached(links)
-        count = (links * copies[None, :]).sum(1)
+        count = np.array([int(copies[row].sum()) for row in links], np.int64)
         hit = np.flatnonzero(count)
         return pa.table({"a": names[hit], "b": names[label[hit]], "links": pa.array(count[hit], pa.int64())})
 
@@ -333,9 +383,9 @@ def member_sets(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
     return joined.mapInArrow(run, "set_id long, n long, copies long, family long, shingles binary")
 
 
-def with_groups(members: DataFrame, bands: Bands, group_tokens: int) -> DataFrame:
+def with_groups(members: DataFrame, bands: list[int], group_tokens: int) -> DataFrame:
     """Deal each family's sets to groups (column ``group``) of similar size and bounded weight."""
-    edges = F.array(*[F.lit(e) for e in bands.edges])
+    edges = F.array(*[F.lit(e) for e in bands])
     weight = F.greatest("n", F.lit(MIN_WEIGHT))
     banded = members.withColumn("band", F.size(F.filter(edges, lambda e: e <= F.col("n"))))
     cells = (banded.groupBy("family", "band").agg(F.sum(weight).alias("weight"))
@@ -349,8 +399,7 @@ def links_within_families(docs: DataFrame, members: DataFrame, k: int, num: int,
     largest = members.agg(F.max("n")).first()[0]
     if largest is None:
         return docs.sparkSession.createDataFrame([], LINKS)
-    bands = Bands(num, den)
-    bands.cover(largest)
+    bands = size_bands(largest, num, den)
     sets = cut_lineage(with_groups(member_sets(docs, members, k), bands, group_tokens), "members")
     inner = sets.select("group", "set_id", "copies", "shingles", F.lit(False).alias("query"))
     found = inner.groupBy("group").applyInArrow(verifier(num, den), LINKS)
@@ -380,20 +429,26 @@ def _schema(df: DataFrame, column: str):
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
                        group_tokens: int = GROUP_TOKENS) -> DataFrame:
-    """Per document of ``docs`` (id, text; read from storage): row, id, n_shingles, component_id, n_links.
+    """Per document of ``docs`` (doc_id, text): row, id, n_shingles, component_id, component_row, n_links.
 
-    ``row`` is the row's place in the scan, ``component_row`` the first of its component;
+    ``row`` is the row's number in ``rows.stored``, ``component_row`` the lowest of its component;
     ``component_id`` is the smallest id reachable by links, ``n_links`` the number of
     documents it is linked with, copies included.
     """
-    spark = docs.sparkSession
-    rows = cut_lineage(set_rows(docs, k), "sets")
+    spark, docs = docs.sparkSession, stored(docs)
+    found = cut_lineage(set_rows(docs, k), "sets")
+    rows = found.filter("row is not null")
     classes = cut_lineage(rows.filter("n > 0").groupBy("set_id", "proof", "n").agg(
         F.min("id").alias("id"), F.min("row").alias("row"), F.count(F.lit(1)).alias("copies")), "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
-    parts = max(2 * spark.sparkContext.defaultParallelism, -(-total // PART_SIGNATURES))
-    near = packets(docs, k, num, den, parts).groupBy("part").applyInArrow(match_part, EDGES)
-    families = components(near)
+    least = max(LEAST_FREQUENT, total // FREQUENT_PARTS)
+    # At most total / least of them.
+    frequent = (found.filter("row is null").groupBy("set_id").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+                .select("set_id").toPandas()["set_id"].to_numpy(np.int64).view(np.uint64))
+    parts = max(2 * spark.sparkContext.defaultParallelism, -(-total * 2 * (den - num) // den // PART_TOKENS))
+    dealt = packets(docs, k, num, den, np.sort(frequent), parts).groupBy("part").applyInArrow(shared_shingles(parts), SHARED)
+    firsts = cut_lineage(dealt.groupBy("part").applyInArrow(first_shingles, FIRST), "firsts")
+    families = components(meeting_edges(firsts))
     members = classes.join(families, F.col("set_id") == F.col("node")).select(
         "row", "set_id", "n", "copies", F.col("component").alias("family"))
     links = cut_lineage(links_within_families(docs, members, k, num, den, group_tokens), "links")
@@ -402,8 +457,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     named = (classes.join(joined, F.col("set_id") == F.col("node"), "left").join(counts, "set_id", "left")
              .withColumn("component", F.coalesce("component", "set_id")))
     lowest = named.groupBy("component").agg(F.min("id").alias("component_id"), F.min("row").alias("component_row"))
-    found = named.join(lowest, "component").select("set_id", "proof", "component_id", "component_row", "copies", "links")
-    return rows.join(found, ["set_id", "proof"], "left").select(
+    result = named.join(lowest, "component").select("set_id", "proof", "component_id", "component_row", "copies", "links")
+    return rows.join(result, ["set_id", "proof"], "left").select(
         "row", "id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
         F.when(F.col("n") > 0, F.col("component_row")).otherwise(F.col("row")).alias("component_row"),
@@ -411,8 +466,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
 
 def keep_one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` (doc_id, text and more) without the rows whose component has an earlier row; all columns are kept."""
-    found = jaccard_components(docs.select(F.col("doc_id").alias("id"), "text"), k, num, den)
-    dropped = found.filter("row <> component_row").select(F.col("row").alias("_dropped_row"))
-    rows = docs.select(F.struct("*").alias("_doc"), F.monotonically_increasing_id().alias("_row"))
+    """``docs`` (doc_id, text and more) with one row of each component, that of the lowest number; all columns are kept."""
+    docs = stored(docs)
+    dropped = jaccard_components(docs, k, num, den).filter("row <> component_row").select(F.col("row").alias("_dropped_row"))
+    rows = docs.select(F.struct("*").alias("_doc"), row_number().alias("_row"))
     return rows.join(dropped, F.col("_row") == F.col("_dropped_row"), "left_anti").select("_doc.*")

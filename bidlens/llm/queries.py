@@ -34,8 +34,7 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
-    return jaccard_components(docs, k=3, num=90, den=100).select(
+    return jaccard_components(table(spark, folder, "documents"), k=3, num=90, den=100).select(
         F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_links")
 
 

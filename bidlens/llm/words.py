@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20  # text handled at once; a longer document is a slice of its own
+SLICE_BYTES = 1 << 20  # text handled at once; a longer document is a slice of its own
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -74,7 +74,9 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
     """Cut an Arrow string array into runs of at most ``limit`` bytes (a null text is empty)."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string()).fill_null("")
+    texts = texts.cast(pa.large_string())
+    if texts.null_count:
+        texts = texts.fill_null("")
     if not len(texts):
         return
     borders = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]

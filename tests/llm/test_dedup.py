@@ -2,6 +2,7 @@ import hashlib
 import random
 
 from bidlens.llm.dedup import exact_duplicates, keep_one_of_each, radix_groups
+from bidlens.llm.rows import row_number, stored
 
 
 def low(text):
@@ -42,7 +43,7 @@ def test_groups_equal_brute_force(make_docs):
 
 
 def test_short_digits_give_the_same_groups(make_docs):
-    docs = make_docs(CASES).coalesce(1)
+    docs = stored(make_docs(CASES).coalesce(1))
     narrow = radix_groups(docs, first=1, widening=2).drop("sha").collect()
     assert order(narrow) == order(radix_groups(docs).drop("sha").collect())
 
@@ -56,3 +57,20 @@ def test_rows_that_stay_keep_their_columns(make_docs):
 
 def test_no_rows(make_docs):
     assert exact_duplicates(make_docs([])).collect() == []
+
+
+def test_row_numbers_do_not_depend_on_how_files_are_split(spark, make_docs, tmp_path):
+    make_docs([(i, "x" * 500) for i in range(3000)]).repartition(3).write.option("parquet.block.size", 4096).parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    assert stored(docs) is docs
+
+    def numbers():
+        return docs.select(row_number().alias("row"), "doc_id").collect()
+
+    before = numbers()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        after = numbers()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(before) == sorted(after) and len({r.row for r in before}) == 3000

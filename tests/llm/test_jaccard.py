@@ -7,7 +7,7 @@ import pytest
 
 from bidlens.llm import jaccard
 from bidlens.llm.graph import components
-from bidlens.llm.jaccard import Bands, jaccard_components, keep_one_of_each, linked, set_hashes, signatures
+from bidlens.llm.jaccard import dealt_shingles, jaccard_components, keep_one_of_each, linked, set_hashes, size_bands
 from bidlens.llm.words import shingle_sets, slices
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -64,12 +64,14 @@ ODD = [(None, None), (None, "a b"), (900, ""), (901, " \n"), (902, "A B"), (903,
 
 def frame(spark, docs):
     rows = [(i, t, "own", "own", "own") for i, t in docs]
-    return spark.createDataFrame(rows, "id long, text string, row string, set_id string, family string").repartition(3).cache()
+    return spark.createDataFrame(rows, "doc_id long, text string, row string, set_id string, family string").repartition(3).cache()
 
 
 @pytest.mark.parametrize("k, num, den, limit", [(3, 90, 100, None), (3, 90, 100, 300), (5, 80, 100, None), (5, 80, 100, 500), (1, 50, 100, 300)])
 def test_equals_brute_force(spark, monkeypatch, k, num, den, limit):
     monkeypatch.setattr(jaccard, "MIN_WEIGHT", 8)
+    monkeypatch.setattr(jaccard, "LOCAL_FREQUENT", 4)
+    monkeypatch.setattr(jaccard, "LEAST_FREQUENT", 6 if limit else 1000)
     docs = near_copies(k, 12, 9, (2, 4, 9, 30, 120)) + near_copies(7, 1, 60, (60,)) + ODD
     docs = [(i if i is None or i >= 900 else n, t) for n, (i, t) in enumerate(docs)]
     found = jaccard_components(frame(spark, docs), k, num, den, limit or jaccard.GROUP_TOKENS).collect()
@@ -77,29 +79,45 @@ def test_equals_brute_force(spark, monkeypatch, k, num, den, limit):
     assert got == brute(docs, k, num, den)
 
 
-def test_linked_sets_share_a_signature():
-    for num, den, k in ((90, 100, 3), (80, 100, 5), (50, 100, 2)):
-        docs = near_copies(num, 60, 5, (1, 3, 6, 12, 40, 200, 900))
-        piece = next(slices(pa.array([t for _, t in docs]), 1 << 30))
-        doc, values = shingle_sets(piece, k)
-        d, s = signatures(doc, values, piece.size, Bands(num, den))
-        own = [set(s[d == i].tolist()) for i in range(piece.size)]
-        sets = [values[doc == i] for i in range(piece.size)]
-        links = linked(sets, num, den)
-        want = [[len(np.intersect1d(a, b)) * den >= num * len(np.union1d(a, b)) and i != j for j, b in enumerate(sets)]
-                for i, a in enumerate(sets)]
-        assert links.tolist() == want
-        for i, j in zip(*np.nonzero(links)):
-            assert own[i] & own[j] or (sets[i].tolist() == sets[j].tolist())
-        ids, _ = set_hashes(doc, values, piece.size)
-        assert all((ids[i] == ids[j]) == (sets[i].tolist() == sets[j].tolist()) for i in range(40) for j in range(40))
+def first_ones(doc, values, size, frequent, num, den):
+    """The first shingles of every set in the one order of all shingles."""
+    _, _, need, _ = dealt_shingles(doc, values, size, frequent, num, den)
+    share = 2 * (den - num) * 2**32 // den
+    having = dict(zip(*np.unique(values, return_counts=True)))
+
+    def place(v):
+        if v in frequent:
+            return (2, 0, v)
+        return (0, having[v], v) if int(v) >> 32 < share else (1, 0, v)
+
+    return [set(sorted(values[doc == i].tolist(), key=lambda v: place(np.uint64(v)))[:need[i]]) for i in range(size)]
+
+
+@pytest.mark.parametrize("num, den, k, often", [(90, 100, 3, 10**9), (80, 100, 5, 3), (50, 100, 2, 2), (80, 100, 1, 5)])
+def test_first_shingles_of_linked_sets_meet(num, den, k, often):
+    docs = near_copies(num, 40, 6, (1, 3, 6, 12, 40, 200), 300)
+    piece = next(slices(pa.array([t for _, t in docs]), 1 << 30))
+    doc, values = shingle_sets(piece, k)
+    value, count = np.unique(values, return_counts=True)
+    frequent = value[count >= often]
+    firsts = first_ones(doc, values, piece.size, frequent, num, den)
+    sets = [values[doc == i] for i in range(piece.size)]
+    links = linked(sets, num, den)
+    want = [[len(np.intersect1d(a, b)) * den >= num * len(np.union1d(a, b)) and i != j for j, b in enumerate(sets)]
+            for i, a in enumerate(sets)]
+    assert links.tolist() == want
+    counted, last, need, _ = dealt_shingles(doc, values, piece.size, frequent, num, den)
+    for i in range(piece.size):
+        assert firsts[i] <= set(values[(doc == i) & (counted | last)].tolist())
+    for i, j in zip(*np.nonzero(links)):
+        assert firsts[i] & firsts[j] or not len(sets[i])
+    ids, _ = set_hashes(doc, values, piece.size)
+    assert all((ids[i] == ids[j]) == (sets[i].tolist() == sets[j].tolist()) for i in range(40) for j in range(40))
 
 
 def test_bands_hold_all_partners():
     for num, den in ((90, 100), (80, 100), (99, 100), (50, 100)):
-        bands = Bands(num, den)
-        bands.cover(3000)
-        band = np.searchsorted(bands.edges, np.arange(4000), "right") - 1
+        band = np.searchsorted(size_bands(4000, num, den), np.arange(4000), "right") - 1
         for n in range(1, 3000):
             assert band[min(n * den // num, 3999)] <= band[n] + 1
 
