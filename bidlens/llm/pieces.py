@@ -4,9 +4,9 @@ A text's ids are the split into pieces with the highest sum of scores. The searc
 runs over the characters once and keeps scores only as far back as the longest piece
 reaches. Whenever the best paths to all ends that a later piece may still start from
 run through one common boundary, the ids up to it are final and leave the window, so
-a text of any length needs little memory. Two boundaries are known beforehand: before
-a run of spaces, and around characters that are in no longer piece, as no piece
-crosses them. The parts between them are searched once per distinct part of a batch.
+a text of any length needs little memory. Many such boundaries are known beforehand:
+between two characters that stand side by side in no piece, all paths have to meet.
+The parts between them are searched once per distinct part of a batch.
 
 Spaces become the mark U+2581, with one put before the text; characters without a
 piece become the ids of their UTF-8 bytes. Among equal sums the longer last piece
@@ -30,13 +30,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType
 
+from bidlens.llm.ship import shipped
 from bidlens.llm.tokens import gathered, tokenizer_path
 from bidlens.llm.words import Slice, slices
 
 DEFAULT = "piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10
-MEMO_PARTS = 300_000  # parts remembered between batches; beyond it the memory starts anew, results are the same
+MEMO_PARTS = 200_000  # parts remembered between batches; beyond it the memory starts anew, results are the same
 
 
 class PieceModel:
@@ -65,31 +66,46 @@ class PieceModel:
         self.longest = max(map(len, self.scores))
         usual = [s for s, _ in self.scores.values() if s > -1_000_000]
         self.unknown_score = min(usual) - UNKNOWN_PENALTY
-        # Parting at spaces and lone characters is right only if no piece crosses such a place.
-        self.parts = not any(MARK in p.lstrip(MARK) for p in self.scores)
-        joined = {c for p in self.scores if len(p) > 1 for c in p}
-        self.alone = np.array([b < 0x80 and b != 0x20 and chr(b) not in joined for b in range(256)])
+        # Pieces by their characters; a node's score, where a piece ends, is under the empty string.
+        self.tree: dict = {}
+        for piece, (score, _) in self.scores.items():
+            node = self.tree
+            for char in piece:
+                node = node.setdefault(char, {})
+            node[""] = score
+        # By the bytes on both sides of a place: whether a piece can cross it.
+        self.crossed = np.zeros((256, 256), bool)
+        for piece in self.scores:
+            raw = np.frombuffer(piece.replace(MARK, " ").encode(), np.uint8)
+            self.crossed[raw[:-1], raw[1:]] = True
 
     def fallback(self, char: str) -> list[int]:
         ids = [self.bytes[b] for b in char.encode()]
         return ids if min(ids) >= 0 else [self.unknown]
 
 
+UNREACHED = -(1 << 62)
+
+
 class StreamingViterbi:
     """Best split of a stream of characters; ``feed`` and ``finish`` return the ids that have become final."""
 
     def __init__(self, model: PieceModel):
         self.model = model
+        self.widest = 0  # most characters held at once
+        self._reset()
+
+    def _reset(self) -> None:
         self.text = ""  # characters not final yet
         self.best = [0]  # score of the best path to each boundary of ``text``
         self.back = [0]
-        self.widest = 0  # most characters held at once
+        self.done = 0  # the boundaries before it have been gone on from
 
     def feed(self, chars: str) -> list[int]:
         final: list[int] = []
         span = 4 * self.model.longest
         for at in range(0, len(chars), span):
-            self._extend(chars[at:at + span])
+            self._extend(chars[at:at + span], False)
             self.widest = max(self.widest, len(self.text))
             boundary = self._common_boundary()
             if boundary:
@@ -98,30 +114,46 @@ class StreamingViterbi:
         return final
 
     def finish(self) -> list[int]:
+        self._extend("", True)
         final = self._ids(len(self.text))
-        self.text, self.best, self.back = "", [0], [0]
+        self._reset()
+        return final
+
+    def whole(self, text: str) -> list[int]:
+        """Ids of a short text, while nothing else is held."""
+        self._extend(text, True)
+        final = self._ids(len(text))
+        self._reset()
         return final
 
-    def _extend(self, chars: str) -> None:
+    def _extend(self, chars: str, last: bool) -> None:
+        """Go on from every boundary whose pieces are all in sight (``last``: from every boundary)."""
         model, best, back = self.model, self.best, self.back
-        get, longest, unknown = model.scores.get, model.longest, model.unknown_score
-        done = len(self.text)
+        scores, tree, longest, unknown = model.scores, model.tree, model.longest, model.unknown_score
         text = self.text = self.text + chars
-        for end in range(done + 1, len(text) + 1):
-            top, start = None, end - 1
-            for i in range(max(0, end - longest), end):
-                found = get(text[i:end])
-                if found is not None and (top is None or best[i] + found[0] > top):
-                    top, start = best[i] + found[0], i
-            if text[end - 1] not in model.scores and (top is None or best[end - 1] + unknown > top):
-                top, start = best[end - 1] + unknown, end - 1
-            best.append(top)
-            back.append(start)
+        best += [UNREACHED] * len(chars)
+        back += [0] * len(chars)
+        until = len(text) if last else max(self.done, len(text) - longest + 1)
+        for start in range(self.done, until):
+            score, node, end = best[start], tree, start
+            for char in text[start:start + longest]:
+                node = node.get(char)
+                if node is None:
+                    break
+                end += 1
+                own = node.get("")
+                if own is not None and score + own > best[end]:
+                    best[end] = score + own
+                    back[end] = start
+            if text[start] not in scores and score + unknown > best[start + 1]:
+                best[start + 1] = score + unknown
+                back[start + 1] = start
+        self.done = until
 
     def _common_boundary(self) -> int:
-        """The last boundary that the best paths to all ends still in reach have in common."""
-        n, back = len(self.text), self.back
-        ends = set(range(max(0, n - self.model.longest + 1), n + 1))
+        """The last boundary that the best paths to all boundaries still in reach have in common."""
+        back = self.back
+        ends = {i for i in range(self.done, len(self.best)) if self.best[i] != UNREACHED}
         while len(ends) > 1:
             last = max(ends)
             ends.remove(last)
@@ -142,8 +174,9 @@ class StreamingViterbi:
     def _drop(self, boundary: int) -> None:
         base = self.best[boundary]
         self.text = self.text[boundary:]
-        self.best = [s - base for s in self.best[boundary:]]
+        self.best = [s if s == UNREACHED else s - base for s in self.best[boundary:]]
         self.back = [max(0, b - boundary) for b in self.back[boundary:]]
+        self.done -= boundary
 
 
 class PieceCoder:
@@ -161,33 +194,22 @@ class PieceCoder:
         self.sizes: list[int] = []
 
     def _borders(self, piece: Slice) -> np.ndarray:
-        """Byte borders of the parts of a slice whose documents start with the space put before them."""
-        if not self.model.parts:
-            return piece.borders
+        """Byte borders of the parts of a slice: its documents' borders and all places no piece crosses."""
         data = piece.data
         begins = np.zeros(len(data) + 1, bool)
+        begins[1:-1] = ~self.model.crossed[data[:-1], data[1:]] & ((data[1:] & 0xC0) != 0x80)
         begins[piece.borders] = True
-        space = data == 0x20
-        begins[1:-1] |= space[1:] & ~space[:-1]
-        alone = self.model.alone[data]
-        begins[:-1] |= alone
-        begins[1:] |= alone
         return np.flatnonzero(begins)
 
     def _learn(self, parts: list[str]) -> None:
         stream, found = self.stream, []
         for part in parts:
             marked = part.replace(" ", MARK)
-            found.append(stream.feed(marked) + stream.finish() if len(marked) > 64 else self._short(marked))
+            found.append(stream.feed(marked) + stream.finish() if len(marked) > 64 else stream.whole(marked))
         self.memo.update(zip(parts, range(len(self.memo), len(self.memo) + len(parts))))
         self.sizes += map(len, found)
         self.ids = np.concatenate([self.ids, np.fromiter((i for ids in found for i in ids), np.int32)])
 
-    def _short(self, marked: str) -> list[int]:
-        stream = self.stream
-        stream._extend(marked)
-        return stream.finish()
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, borders): text i has ids[borders[i]:borders[i + 1]]."""
         texts = texts.cast(pa.large_string()).fill_null("")
@@ -196,10 +218,8 @@ class PieceCoder:
             texts = pc.replace_substring(texts, MARK, " ")
         texts = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts, pa.scalar("", pa.large_string()))
         ids, counts = [np.zeros(0, np.int32)], []
-        for piece in slices(texts, 4 << 20):
+        for piece in slices(texts):
             borders = self._borders(piece)
-            if borders[-1] != len(piece.data):
-                borders = np.append(borders, len(piece.data))
             parts = pa.Array.from_buffers(pa.large_string(), len(borders) - 1,
                                           [None, pa.py_buffer(borders.astype(np.int64)), pa.py_buffer(piece.data)])
             coded = parts.dictionary_encode()
@@ -254,7 +274,7 @@ def encode(docs: DataFrame, model: str | None = None, ids: str = "ids", text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch.column(place), 8 << 20):
+            for piece in slices(batch.column(place)):
                 part = batch.slice(piece.first, piece.size)
                 flat, borders = coder(model).encode(part.column(place))
                 raw = memoryview(flat.astype("<u4").tobytes())
@@ -264,7 +284,7 @@ def encode(docs: DataFrame, model: str | None = None, ids: str = "ids", text: st
                 yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(crc, pa.int64())],
                                                  names=[*kept, ids, f"{ids}_crc32"])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return shipped(docs.select(*kept)).mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, model: str | None = None, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -281,4 +301,4 @@ def decode(rows: DataFrame, model: str | None = None, ids: str = "ids", text: st
             texts = coder(model).decode(flat, np.concatenate([[0], np.cumsum(sizes)]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, text])
 
-    return rows.select(*kept).mapInArrow(run, schema)
+    return shipped(rows.select(*kept)).mapInArrow(run, schema)
