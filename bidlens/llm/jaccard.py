@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from bidlens.llm.graph import components
 from bidlens.llm.rows import row_number, stored
+from bidlens.llm.ship import shipped
 from bidlens.llm.words import mixed, shingle_sets, slices
 from bidlens.session import cut_lineage
 
@@ -97,7 +98,7 @@ def set_rows(docs: DataFrame, k: int) -> DataFrame:
             "row": nothing, "id": nothing, "n": pa.array(count[often].astype(np.int64)),
             "set_id": pa.array(value[often].view(np.int64)), "proof": nothing})
 
-    return _numbered(docs).mapInArrow(run, SETS)
+    return shipped(_numbered(docs)).mapInArrow(run, SETS)
 
 
 def _first_copies(set_id: np.ndarray) -> np.ndarray:
@@ -195,7 +196,7 @@ def packets(docs: DataFrame, k: int, num: int, den: int, frequent: np.ndarray, p
         if held:
             yield flushed(held)
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, PACKETS)
+    return shipped(docs.select(F.col("text").cast("string"))).mapInArrow(run, PACKETS)
 
 
 def _joined(table: pa.Table, column: str, kind: str) -> np.ndarray:
@@ -380,7 +381,7 @@ def member_sets(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
 
     names = ["set_id", "n", "copies", "family"]
     joined = _numbered(docs).join(members, "row").select("text", *names)
-    return joined.mapInArrow(run, "set_id long, n long, copies long, family long, shingles binary")
+    return shipped(joined).mapInArrow(run, "set_id long, n long, copies long, family long, shingles binary")
 
 
 def with_groups(members: DataFrame, bands: list[int], group_tokens: int) -> DataFrame:

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bidlens.llm.ship import shipped
 from bidlens.llm.words import ALNUM, Slice, find_words, grams, slices
 
 GRAM = 2
@@ -100,7 +101,7 @@ def text_windows(docs: DataFrame) -> DataFrame:
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
                        F.col("text").cast("string"))
-    return rows.mapInArrow(run, SCHEMA)
+    return shipped(rows).mapInArrow(run, SCHEMA)
 
 
 def diagonals(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFrame:

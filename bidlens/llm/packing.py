@@ -33,6 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bidlens.llm.ship import shipped
 from bidlens.llm.tokens import encoder
 from bidlens.llm.words import slices
 
@@ -198,4 +199,4 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, wi
         yield from packer.finish()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, SCHEMA + (", ids array<int>" if with_ids else ""))
+    return shipped(rows).mapInArrow(run, SCHEMA + (", ids array<int>" if with_ids else ""))

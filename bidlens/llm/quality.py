@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bidlens.llm.ship import shipped
 from bidlens.llm.words import SPACED, Hasher, Slice, Words, find_words, grams, slices
 
 MIN_WORDS = 20
@@ -163,7 +164,8 @@ def assess(docs: DataFrame) -> DataFrame:
                 found = {k: pa.array(v.astype(np.int64) if v.dtype.kind == "i" else v) for k, v in measures(piece).items()}
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).slice(piece.first, piece.size), **found})
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return shipped(rows).mapInArrow(run, SCHEMA)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
@@ -176,4 +178,4 @@ def keep_good(docs: DataFrame) -> DataFrame:
             if kept:
                 yield batch.filter(pa.array(np.concatenate(kept)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return shipped(docs).mapInArrow(run, docs.schema)

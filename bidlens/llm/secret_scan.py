@@ -31,6 +31,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bidlens.llm.ship import shipped
+
 BASE_KINDS = ("assign", "access", "hex")
 CONFIRMED_KINDS = ("jwt", "pem", "der", "ssh", "wrapped")
 KIND_ORDER = {k: i for i, k in enumerate(BASE_KINDS + CONFIRMED_KINDS)}
@@ -218,7 +220,8 @@ def scan(docs: DataFrame) -> DataFrame:
                 "doc_id": batch.column(0), **{f"n_{k}": pa.array(counts[k], pa.int64()) for k in BASE_KINDS},
                 "base_sha256": digest, "spans": spans, "n_confirmed": pa.array(confirmed, pa.int64())})
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return shipped(rows).mapInArrow(run, SCHEMA)
 
 
 def redact_text(text: str, spans: list[Span]) -> str:
@@ -251,4 +254,4 @@ def redact(docs: DataFrame) -> DataFrame:
                         list(map(len, texts)), columns["n_chars"].type))
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
 
-    return docs.mapInArrow(run, schema)
+    return shipped(docs).mapInArrow(run, schema)

@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from bidlens.llm.ship import shipped
 from bidlens.llm.tokens import encoder
 from bidlens.llm.words import slices
 from bidlens.session import cut_lineage, stage_path
@@ -73,7 +74,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
                     done += piece.size
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return target, cut_lineage(rows.mapInArrow(run, MANIFEST), "manifest")
+    return target, cut_lineage(shipped(rows).mapInArrow(run, MANIFEST), "manifest")
 
 
 def token_blocks(spark: SparkSession, folder: str, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -104,7 +105,7 @@ def separator_places(blocks: DataFrame, folder: str, separator: int = SEPARATOR,
 
     count = max(1, blocks.sparkSession.sparkContext.defaultParallelism)
     spread = blocks.select("file", F.col("block").cast("int"), F.col("start").cast("long"), F.col("tokens").cast("long"))
-    return spread.repartition(4 * count, "file", "block").mapInArrow(
+    return shipped(spread.repartition(4 * count, "file", "block")).mapInArrow(
         run, "file string, block int, start long, tokens long, places array<long>")
 
 

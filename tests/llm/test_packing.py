@@ -91,3 +91,17 @@ def test_cuts_close_every_gap():
     ids = np.zeros(1000, np.uint32)
     cuts, _ = cut_positions(ids, np.array([1000]), np.zeros(5, bool), False)
     assert np.diff(cuts).max() <= packing.FORCED
+
+
+def test_workers_get_the_package(tmp_path):
+    """A session whose workers can't find the repository on their own path."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = (f"import sys; sys.path.insert(0, {repo!r})\nfrom bidlens.session import build_session\n"
+            "from bidlens.llm.packing import pack\nspark = build_session('t', 'local[2]')\n"
+            "print('rows', pack(spark.createDataFrame([(1, 'a b')], 'doc_id long, text string')).count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 2" in done.stdout, done.stderr[-2000:]
