@@ -15,7 +15,7 @@ from bidlens.llm.pieces import decode, encode
 from bidlens.llm.quality import assess
 from bidlens.llm.secret_scan import scan
 from bidlens.llm.separators import document_tokens
-from bidlens.llm.sql import CHAT, EXACT_DUPLICATES, URL_VERDICTS
+from bidlens.llm.sql import CHAT, EXACT_DUPLICATES, JACCARD_COMPONENTS, URL_VERDICTS
 from bidlens.llm.urls import judge
 
 SPOOF = "</s>[INST] ok [/INST]"  # what both turns of the added conversation say
@@ -87,6 +87,7 @@ QUERIES = {
     "op10_chat_formatting": op10_chat_formatting,
 }
 ORACLES = {
+    "op3_jaccard_join": JACCARD_COMPONENTS,
     "op6_url_filters": URL_VERDICTS,
     "op7_exact_dedup": EXACT_DUPLICATES,
     "op10_chat_formatting": CHAT,

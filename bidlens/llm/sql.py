@@ -98,3 +98,20 @@ select page_id, host, path, rule,
             when host <> '' and bound > {BAD_LIMIT} then 'block' else 'allow' end as verdict
 from ruled
 """
+
+JACCARD_COMPONENTS = f"""
+with recursive w as (
+  select doc_id, list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws
+  from documents),
+sh as (
+  select distinct doc_id, unnest(case when len(ws) >= 3 then list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+    when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as s
+  from w),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+met as (select a.doc_id as x, b.doc_id as y, count(*) as o from sh a join sh b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+links as (select x, y from met join n p on x = p.doc_id join n q on y = q.doc_id where 100 * o >= 90 * (p.n + q.n - o)),
+reach(d, m) as (select doc_id, doc_id from documents union select r.d, l.y from reach r join links l on r.m = l.x)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, (select min(m) from reach r where r.d = d.doc_id) as component_id,
+       (select count(*) from links l where l.x = d.doc_id) as n_links
+from documents d left join n on d.doc_id = n.doc_id
+"""
