@@ -143,3 +143,12 @@ def test_top_folds_cut_across_base_folds(spark):
     both = sampling.assign_folds(base, "id", how="stratified", label="y", salt=777, into="top")
     cells = crossed(both, "fold", "top")
     assert len(cells) == 25 and all(abs(n - 240) < 5 * 240 ** 0.5 for n in cells.values())
+
+
+def test_blends_tried_in_several_passes(skewed, monkeypatch):
+    from bidlens.functions.metrics import mean_absolute_error
+    from bidlens.operators import blend
+    rows = skewed.select("x", (F.col("x") + 1).alias("m0"), (F.col("x") - 2).alias("m1"), (F.col("x") * 1.1).alias("m2"))
+    whole = blend.blend_grid(rows, ["m0", "m1", "m2"], "x", 5, mean_absolute_error)
+    monkeypatch.setattr(blend, "WEIGHTINGS_PER_PASS", 4)
+    assert same(blend.blend_grid(rows, ["m0", "m1", "m2"], "x", 5, mean_absolute_error), whole) and whole.count() == 21
