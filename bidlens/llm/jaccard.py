@@ -442,8 +442,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     classes = cut_lineage(rows.filter("n > 0").groupBy("set_id", "proof", "n").agg(
         F.min("id").alias("id"), F.min("row").alias("row"), F.count(F.lit(1)).alias("copies")), "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
-    least = max(LEAST_FREQUENT, total // FREQUENT_PARTS)
-    # At most total / least of them.
+    least = max(LEAST_FREQUENT, (rows.agg(F.sum("n")).first()[0] or 0) // FREQUENT_PARTS)
+    # At most as many as all rows' shingles over the least count.
     frequent = (found.filter("row is null").groupBy("set_id").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
                 .select("set_id").toPandas()["set_id"].to_numpy(np.int64).view(np.uint64))
     parts = max(2 * spark.sparkContext.defaultParallelism, -(-total * 2 * (den - num) // den // PART_TOKENS))
