@@ -45,6 +45,7 @@ PER_WINDOW = 1  # keeps free power-of-two windows from replacing full ones witho
 SPACING = 8  # sentence cuts closer than this to the one before are left out
 FORCED = 64  # longest stretch without a cut position
 STRETCH = 1 << 19
+TEXT_BYTES = 4 << 20  # text encoded at once; more finds more repeated pieces
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "sequence_tokens long")
 
@@ -188,7 +189,7 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, wi
         coder = encoder(tokenizer)
         packer = Packer(TaskContext.get().partitionId(), sentence_ends(coder.tokenizer), window, with_ids)
         for batch in batches:
-            for piece in slices(batch.column(1)):
+            for piece in slices(batch.column(1), TEXT_BYTES):
                 ids, borders = coder.encode(piece)
                 sizes = np.diff(borders) + 1
                 whole = np.full(int(sizes.sum()), END_ID, np.uint32)

@@ -102,7 +102,7 @@ class WordEncoder:
         self.reset()
 
     def reset(self) -> None:
-        self.memo: dict[str, int] = {}
+        self.memo: dict[str, int] = {"": 0}  # what lies before a leading space has no ids
         self.ids = np.zeros(1 << 16, np.uint32)
         self.used = 0
         self.start = np.zeros(1 << 14, np.int64)
@@ -141,17 +141,14 @@ class WordEncoder:
         lists = pc.ascii_split_whitespace(spaced_pieces(piece))
         coded = lists.flatten().dictionary_encode()
         pieces = coded.dictionary.to_pylist()
-        new = [p for p in pieces if p and p not in self.memo]
+        new = [p for p in pieces if p not in self.memo]
         if len(self.memo) + len(new) > MEMO_PIECES:
             self.reset()
             new = [p for p in pieces if p]
         if new:
             self._learn(new)
-        get = self.memo.get
-        place = np.fromiter((get(p, -1) for p in pieces), np.int64, len(pieces))
-        empty = place < 0
+        place = np.fromiter(map(self.memo.__getitem__, pieces), np.int64, len(pieces))
         start, size = self.start[place], self.size[place]
-        size[empty] = 0
         which = coded.indices.to_numpy(zero_copy_only=False)
         ids, borders = gathered(self.ids, start[which], size[which])
         offsets = lists.offsets.to_numpy()
