@@ -7,7 +7,6 @@ from dataclasses import dataclass, replace
 
 from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from bidlens.operators.cv import FoldModels, Learner, kfold_oof
 from bidlens.operators.sampling import assign_folds
