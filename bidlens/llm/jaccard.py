@@ -368,7 +368,7 @@ def qualifying(num: int, den: int):
 
 
 def member_sets(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
-    """``members`` (row, set_id, n, copies, family) with their shingles, made anew from the texts."""
+    """``members`` (row, set_id, n, copies, group) with their shingles, made anew from the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -379,9 +379,10 @@ def member_sets(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
                 part = batch.slice(piece.first, piece.size)
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], shingles.cast(pa.binary())], names=[*names, "shingles"])
 
-    names = ["set_id", "n", "copies", "family"]
+    names = ["set_id", "n", "copies", "group"]
     joined = _numbered(docs).join(members, "row").select("text", *names)
-    return shipped(joined).mapInArrow(run, "set_id long, n long, copies long, family long, shingles binary")
+    return shipped(joined).mapInArrow(
+        run, "set_id long, n long, copies long, group struct<family:long, band:int, salt:long>, shingles binary")
 
 
 def with_groups(members: DataFrame, bands: list[int], group_tokens: int) -> DataFrame:
@@ -401,7 +402,7 @@ def links_within_families(docs: DataFrame, members: DataFrame, k: int, num: int,
     if largest is None:
         return docs.sparkSession.createDataFrame([], LINKS)
     bands = size_bands(largest, num, den)
-    sets = cut_lineage(with_groups(member_sets(docs, members, k), bands, group_tokens), "members")
+    sets = cut_lineage(member_sets(docs, with_groups(members, bands, group_tokens), k), "members")
     inner = sets.select("group", "set_id", "copies", "shingles", F.lit(False).alias("query"))
     found = inner.groupBy("group").applyInArrow(verifier(num, den), LINKS)
     groups = sets.select("group").distinct()
