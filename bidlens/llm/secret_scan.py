@@ -4,10 +4,15 @@ Plain patterns find assignments, access key ids and long hex runs. Beyond them,
 candidates are decoded and reported only when their structure holds: a signed token
 whose header names an algorithm and whose payload is an object, base64 or hex that
 decodes to a DER key (every nested length fits its parent, and the fields are those
-of a PKCS#1, PKCS#8, encrypted PKCS#8 or EC private key), an OpenSSH key container with
+of a PKCS#1, PKCS#8, encrypted PKCS#8, EC or DSA private key), an OpenSSH key container with
 all its length-prefixed fields, a PEM block around either, and base64 whose decoded
 text holds one of these.
 
+Line breaks may be escaped as in JSON or source strings. Keys broken into lines, the first
+of at least 16 characters, are joined: the length a key states tells where it ends, and that
+must be the end of a line. Lines of one width are also joined for base64 of text. Lines may
+be indented, quoted or commented. A line that holds a secret of its own is reported too.
+
 One linear-time pattern over each Arrow batch picks the texts that can hold anything;
 only those are looked at in Python. Nothing is shuffled.
 
@@ -24,6 +29,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -41,12 +47,20 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(e[yw][A-Za-z0-9_-]{6,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,.-]*?)-----END \1-----")
+PEM = re.compile(r"""-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s:,.;\\"'`>#*|_]++|-(?!----))*+)-----END \1-----""")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
+ESCAPED_BREAK = re.compile(r"\\(?:[nrt]|u000[9aAdD]|x0[9aAdD])|&#(?:10|13|x[aAdD]);")
+ESCAPED_CHARACTER = re.compile(r"\\(?:/|u00(?:2[bBfF]|3[dD]))")
+LINE = r"(?:[A-Za-z0-9+/_-]++|\\(?:/|u002[bBfF]))++(?:=|\\u003[dD]){0,2}+"
+BREAK = r"""(?:(?:[ \t\r"'`.,;\\]|(?<=[ \t"'`])\+)*+\n)++(?:[ \t\r"'`>#*|,]|(?<=[ \t"'`])\+(?=[ \t"'`]))*+"""
+BREAKS = re.compile(BREAK)
+LINES = re.compile(rf"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_\\-]{{16}}){LINE}(?:{BREAK}{LINE})*+")
 # Whatever the patterns above can match contains a match of this.
-MAYBE = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}|[0-9A-Fa-f]{64}|e[yw][A-Za-z0-9_-]{6}|PRIVATE KEY-----|[A-Za-z0-9+/_-]{40}"
+MAYBE = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}|[0-9A-Fa-f]{64}|e[yw][A-Za-z0-9_-]{6}|PRIVATE KEY-----|[A-Za-z0-9+/_\\-]{40}" \
+    r"""|[A-Za-z0-9+/_\\-]{16}={0,2}[ \t\r"'`.,;\\+]*(?:\n|\\|&#)"""
 OPENSSH = b"openssh-key-v1\0"
+OPENSSH_64 = base64.b64encode(OPENSSH).decode()
 SCHEMA = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_confirmed long")
 
 
@@ -73,6 +87,13 @@ def unbase64(run: str) -> bytes | None:
         return None
 
 
+def unhex(run: str) -> bytes:
+    try:
+        return bytes.fromhex(run)
+    except ValueError:
+        return b""
+
+
 def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
     """(tag, content) of consecutive DER items that fill ``data`` exactly, else None."""
     items, at = [], 0
@@ -109,6 +130,8 @@ def is_der_key(data: bytes) -> bool:
     if tags[:1] == [INTEGER] and items[0][1] in (b"\0", b"\1"):
         if tags[:9] == [INTEGER] * 9:  # PKCS#1
             return True
+        if tags == [INTEGER] * 6:  # DSA
+            return items[0][1] == b"\0"
         if tags[:3] == [INTEGER, SEQUENCE, OCTETS]:  # PKCS#8
             inner = der_items(items[1][1])
             return bool(inner) and inner[0][0] == OID and bool(der_items(items[2][1]))
@@ -120,10 +143,18 @@ def is_der_key(data: bytes) -> bool:
     return False
 
 
-def is_openssh_key(data: bytes) -> bool:
-    """Whether cipher, kdf, options, key count, public keys and private block fill the container exactly."""
+def der_size(head: bytes) -> int:
+    """Bytes of the DER sequence that starts with these, as far as its length says; 0 if there is none."""
+    if len(head) < 2 or head[0] != SEQUENCE:
+        return 0
+    n = head[1] & 0x7F if head[1] & 0x80 else 0
+    return 2 + n + int.from_bytes(head[2:2 + n], "big") if n else 2 + head[1]
+
+
+def openssh_size(data: bytes) -> int:
+    """Bytes that cipher, kdf, options, key count, public keys and private block of a container take; 0 if it is none."""
     if not data.startswith(OPENSSH):
-        return False
+        return 0
     at = len(OPENSSH)
 
     def number() -> int:
@@ -136,11 +167,16 @@ def is_openssh_key(data: bytes) -> bool:
         at += size
     keys = number()
     if not 1 <= keys <= 64:
-        return False
+        return 0
     for _ in range(keys + 1):
         size = number()
         at += size
-    return at == len(data)
+    return at
+
+
+def is_openssh_key(data: bytes) -> bool:
+    """Whether the fields fill the container exactly."""
+    return 0 < openssh_size(data) == len(data)
 
 
 def is_signed_token(header: str, payload: str) -> bool:
@@ -151,12 +187,75 @@ def is_signed_token(header: str, payload: str) -> bool:
     return isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict)
 
 
+def with_breaks(text: str) -> str:
+    """The text with escaped line breaks as line breaks, every character in its place."""
+    return ESCAPED_BREAK.sub(lambda m: "\n".ljust(len(m[0])), text)
+
+
+def without_escapes(run: str) -> str:
+    return ESCAPED_CHARACTER.sub(lambda m: m[0][1:] if m[0][1] == "/" else chr(int(m[0][2:], 16)), run)
+
+
+def holds_secret(data: bytes) -> bool:
+    """Whether decoded base64 is text with an access key, a signed token or a key."""
+    try:
+        inner = data.decode("ascii")
+    except UnicodeDecodeError:
+        return False
+    return bool(ACCESS.search(inner) and base_spans(inner) or confirmed_spans(inner, False))
+
+
+def joined_spans(text: str, block: re.Match, nested: bool) -> Iterator[Span]:
+    """Spans of keys, and of base64 of text, in consecutive lines."""
+    starts, ends = [block.start()], []
+    for m in BREAKS.finditer(text, *block.span()):
+        ends.append(m.start())
+        starts.append(m.end())
+    ends.append(block.end())
+    lines = [without_escapes(text[a:b]) for a, b in zip(starts, ends)]
+    body, at = "".join(lines), [0, *accumulate(map(len, lines))]
+    line_end = {a + len(line.rstrip("=")): end for a, line, end in zip(at, lines, ends)}
+    for a, start in zip(at, starts):
+        if body[a] == "M":  # a sequence's tag in base64
+            stop = a - -4 * der_size(unbase64(body[a:a + 8].rstrip("=")) or b"") // 3
+            if stop in line_end and is_der_key(unbase64(body[a:stop]) or b""):
+                yield Span(start, "der", line_end[stop])
+        elif body.startswith(OPENSSH_64, a):
+            rest = body[a:].split("=", 1)[0]
+            stop = a - -4 * openssh_size(unbase64(rest[:len(rest) - (len(rest) % 4 == 1)]) or b"") // 3
+            if stop in line_end and is_openssh_key(unbase64(body[a:stop]) or b""):
+                yield Span(start, "ssh", line_end[stop])
+        elif body[a:a + 2] in ("30", "0x", "0X"):
+            skip = 2 if body[a + 1] in "xX" else 0
+            stop = a + skip + 2 * der_size(unhex(body[a + skip:a + skip + 12]))
+            if stop in line_end and is_der_key(unhex(body[a + skip:stop])):
+                yield Span(start + skip, "der", line_end[stop])
+    first = 0
+    while nested and first < len(lines):
+        after = first + 1
+        while after < len(lines) and len(lines[after]) == len(lines[first]):
+            after += 1
+        shorter = after < len(lines) and len(lines[after]) < len(lines[first])
+        for stop in (after + 1, after) if shorter else (after,):
+            data = unbase64(body[at[first]:at[stop]]) if at[stop] - at[first] >= 40 else None
+            if data and holds_secret(data):
+                yield Span(starts[first], "wrapped", ends[stop - 1])
+                break
+        first = after
+
+
 def confirmed_spans(text: str, nested: bool = True) -> list[Span]:
     """Spans whose decoded structure is that of a key or a signed token."""
+    broken = with_breaks(text) if "\\" in text or "&#" in text else text
+    found = _confirmed(text, nested)
+    return found if broken == text else list(set(found) | set(_confirmed(broken, nested)))
+
+
+def _confirmed(text: str, nested: bool) -> list[Span]:
     found = [Span(m.start(), "jwt", m.end()) for m in SIGNED.finditer(text) if is_signed_token(m[1], m[2])]
     for m in PEM.finditer(text):
         lines = [x for x in m[2].split("\n") if ":" not in x]  # header lines of old encrypted blocks
-        data = unbase64("".join("".join(lines).split()))
+        data = unbase64("".join(without_escapes(BREAKS.sub("\n", "\n".join(lines))).split()))
         if data and (is_der_key(data) or is_openssh_key(data) or "ENCRYPTED" in m[2]):
             found.append(Span(m.start(), "pem", m.end()))
     for m in BASE64_RUN.finditer(text):
@@ -167,17 +266,15 @@ def confirmed_spans(text: str, nested: bool = True) -> list[Span]:
             found.append(Span(m.start(), "der", m.end()))
         elif data.startswith(OPENSSH) and is_openssh_key(data):
             found.append(Span(m.start(), "ssh", m.end()))
-        elif nested:
-            try:
-                inner = data.decode("ascii")
-            except UnicodeDecodeError:
-                continue
-            if ACCESS.search(inner) and base_spans(inner) or confirmed_spans(inner, False):
-                found.append(Span(m.start(), "wrapped", m.end()))
+        elif nested and holds_secret(data):
+            found.append(Span(m.start(), "wrapped", m.end()))
     for m in HEX_RUN.finditer(text):
         data = bytes.fromhex(m[0])
         if data[0] == SEQUENCE and is_der_key(data):
             found.append(Span(m.start(), "der", m.end()))
+    known = set(found)
+    for m in LINES.finditer(text):
+        found += [s for s in joined_spans(text, m, nested) if s not in known]
     return found
 
 

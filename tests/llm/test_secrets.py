@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 
-from bidlens.llm.secret_scan import BASE_KINDS, HEX, MAYBE, base_spans, redact, scan, scan_text
+from bidlens.llm.secret_scan import BASE_KINDS, HEX, MAYBE, base_spans, redact, redact_text, scan, scan_text
 
 ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?[ ]*[:=][ ]*["']?([A-Za-z0-9+/_.=-]+)""")
 
@@ -96,3 +96,78 @@ def test_redacted_texts_hold_no_secret(make_docs):
     assert [r.text for r in rows] == ["é [SECRET] z", "clean", None, "[SECRET] [SECRET]", "clean"]
     assert [r.n_chars for r in rows] == [12, 5, 0, 17, 5]
     assert redact(docs).schema == docs.schema and scan(make_docs([])).collect() == []
+
+
+DSA = der(0x30, ZERO + b"".join(integer(n) for n in (128, 20, 128, 128, 20)))
+# As openssl makes them: bytes of all values, so that base64 holds + and /.
+MIXED = der(0x30, ZERO + b"".join(der(2, bytes(random.Random(n).randbytes(n))) for n in (257, 3, 256, 129, 129, 128, 129, 128)))
+
+
+def wrapped(x, width, end="\n"):
+    return end.join(x[i:i + width] for i in range(0, len(x), width))
+
+
+def pem(x, name="PRIVATE KEY", width=64):
+    return f"-----BEGIN {name}-----\n{wrapped(b64(x), width)}\n-----END {name}-----\n"
+
+
+def source(text):
+    return " +\n    ".join(json.dumps(line + "\n") for line in text.splitlines())
+
+
+def kept_key(texts):
+    """Those of the texts that keep a piece of a key when redacted, or that the first pattern leaves out."""
+    maybe = pc.match_substring_regex(pa.array(texts), MAYBE).to_pylist()
+    return [t for t, possible in zip(texts, maybe)
+            if not possible or redact_text(t, scan_text(t)) not in ("[SECRET]", "a [SECRET] b", "a\n[SECRET]\nb", 'a "[SECRET]" b',
+                                                                   '{"k": "[SECRET]\\n"}', '{"k": "[SECRET]"}', '"[SECRET]\\n"')]
+
+
+@pytest.mark.parametrize("key", [RSA, PKCS8, EC, DSA, MIXED, SSH])
+def test_pem_in_strings(key):
+    text = pem(key)
+    texts = [json.dumps({"k": text}), json.dumps({"k": text.replace("\n", "\r\n").strip()}), source(text),
+             json.dumps({"k": text.strip()}).replace("/", "\\/"), json.dumps({"k": text}).replace("+", "\\u002b").replace("=", "\\u003d"),
+             json.dumps(json.dumps(text))[3:-3].replace("\\\\n", "\\\\n").removesuffix("\\\\n"), f"a\n{text}b"]
+    assert kept_key(texts) == []
+    assert all("pem" in [s.kind for s in scan_text(t)] for t in texts)
+
+
+@pytest.mark.parametrize("key", [RSA, PKCS8, EC, DSA, MIXED, SSH])
+@pytest.mark.parametrize("width", [16, 20, 64, 70, 76])
+def test_wrapped_keys_without_marks(key, width):
+    texts = []
+    for end in ("\n", "\r\n", "\\n", "\n    ", '",\n  "'):
+        texts += [f'a "{wrapped(b64(key), width, end)}" b']
+        if key is not SSH:
+            texts += [f'a "{wrapped(key.hex(), width, end)}" b', f'a "{wrapped(key.hex().upper(), width, end)}" b']
+    texts += [f"a\n{wrapped(b64(key), width)}\nb", f"a\n{wrapped(url64(key), width)}\nb"]
+    assert kept_key(texts) == []
+    kinds = {"ssh" if key is SSH else "der"}
+    assert all({s.kind for s in scan_text(t)} - {"hex", "wrapped"} == kinds for t in texts)
+
+
+def test_lines_that_are_no_key():
+    for key in (RSA, DSA, MIXED):
+        lines = wrapped(b64(key), 64).split("\n")
+        for text in ("\n".join(lines[:-1]), "\n".join(lines[1:]), "\n".join(lines[::-1]), wrapped(b64(key + b"x" * 3), 64), wrapped(b64(key[:-1]), 64)):
+            assert scan_text(text) == []
+    assert scan_text(b64(der(0x30, ZERO + integer(40) * 4))) == scan_text(b64(der(0x30, der(2, b"\2") + integer(40) * 5))) == []
+    assert [s.kind for s in scan_text(wrapped(b64(RSA), 64) + "\n" + wrapped(b64(DSA), 64))] == ["der", "der"]
+
+
+def test_wrapped_text_and_tokens_behind_escapes():
+    inner = json.dumps({"type": "service_account", "private_key": pem(MIXED), "client": "x"})
+    for width in (64, 76):
+        span, = scan_text("a\n" + wrapped(b64(inner.encode()), width) + "\nb")
+        assert span.kind == "wrapped" and span.start == 2
+    assert [s.kind for s in scan_text(rf"a\n{JWT}\nb")] == ["jwt"]
+    assert scan_text("MIIEow" * 70000 + "\n") == [] and scan_text("MIIEowIBAAKC\n" * 30000) == []
+
+
+def test_keys_in_strings_are_redacted(make_docs):
+    docs = make_docs([(1, json.dumps({"private_key": pem(MIXED), "id": 7})), (2, "x\n" + wrapped(b64(DSA), 76) + "\ny"),
+                      (3, "x\n" + wrapped(MIXED.hex(), 60) + "\ny")])
+    assert [r.text for r in redact(docs).collect()] == [
+        '{"private_key": "[SECRET]\\n", "id": 7}', "x\n[SECRET]\ny", "x\n[SECRET]\ny"]
+    assert [r.n_confirmed for r in scan(docs).collect()] == [2, 1, 1]
