@@ -5,9 +5,11 @@ license templates. A match at text word p and template word t votes for the diag
 p - t, the place where the template would start. On one diagonal the votes are
 distinct template windows, so a diagonal with all of a phrase's votes is the phrase
 standing there word by word. Longer templates may differ by a few words: diagonals
-with enough votes that lie next to each other are merged, words put in or left out
-shift a match to a neighbour, and the merged span is verified by the share of the
-template it covers and by its length.
+with enough votes that lie next to each other form a run, words put in or left out
+shift a match to a neighbour. Copies that follow each other share a run, so every
+stretch of neighbours in it is a span of its own, from a single diagonal up to the
+longest a copy can take, and is verified by the share of the template's windows it
+holds, each counted once, and by its length.
 
 The templates are a fixed list of a few hundred windows, so they are broadcast; the
 votes of a text meet in the task that read it, before anything is shuffled. Windows
@@ -25,7 +27,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bidlens.llm.ship import shipped
@@ -111,33 +113,45 @@ def diagonals(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> Dat
     return matched.groupBy("row", "template", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
         F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.count("at").alias("votes"),
         F.min("pos").alias("first"), F.max("pos").alias("last"), F.max("label").alias("label"),
-        F.max("base").alias("base"), F.max("windows").alias("windows"))
+        F.max("base").alias("base"), F.max("windows").alias("windows"),
+        F.collect_list(F.when(~F.col("base"), F.col("at"))).alias("held"))
 
 
-def merged_spans(votes: DataFrame) -> DataFrame:
-    """Neighbouring diagonals with enough votes as one span each; other rows stay as they are."""
+def runs_of_neighbours(votes: DataFrame) -> DataFrame:
+    """Neighbouring diagonals with enough votes as one run each, with its ``parts``; other rows stay as they are."""
     enough = F.col("base") | F.col("template").isNull() | (
-        F.col("votes") >= F.greatest(F.lit(2), MIN_SHARE * F.col("windows")))
+        F.col("votes") >= F.least(F.greatest(F.lit(2), MIN_SHARE * F.col("windows")), MIN_COVERED * F.col("windows")))
     by = Window.partitionBy("row", "template").orderBy("diagonal")
     near = (F.col("diagonal") - F.lag("diagonal").over(by) <= NEIGHBOURS) & ~F.col("base")
     runs = votes.filter(enough).withColumn("starts", F.when(near, 0).otherwise(1))
     return (runs.withColumn("run", F.sum("starts").over(by))
             .groupBy("row", "template", "run")
             .agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("votes").alias("votes"),
-                 F.min("first").alias("first"), F.max("last").alias("last"), F.max("label").alias("label"),
-                 F.max("base").alias("base"), F.max("windows").alias("windows")))
+                 F.min("first").alias("first"), F.max("label").alias("label"),
+                 F.max("base").alias("base"), F.max("windows").alias("windows"),
+                 F.array_sort(F.collect_list(F.struct("diagonal", "first", "last", "held"))).alias("parts")))
+
+
+def best_cover(parts: Column, windows: Column) -> Column:
+    """The largest share of a template's windows that a stretch of neighbouring diagonals holds, null if none is verified."""
+    longest = windows / MIN_COVERED + NEIGHBOURS
+    most = F.ceil(longest + windows).cast("int")  # diagonals that can meet in a span of that length
+
+    def cover(stretch: Column) -> Column:
+        length = F.array_max(stretch["last"]) - F.array_min(stretch["first"]) + 1
+        share = F.size(F.array_distinct(F.flatten(stretch["held"]))) / windows
+        return F.when((share >= MIN_COVERED) & length.between(MIN_COVERED * windows, longest), share)
+
+    return F.array_max(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_max(F.transform(
+        F.sequence(F.lit(1), F.least(F.size(parts) - i + 1, most)), lambda n: cover(F.slice(parts, i, n))))))
 
 
 def scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFrame:
     """Per document (doc_id, text): places of the base phrases, their labels, all labels, and the best share covered."""
-    spans = merged_spans(diagonals(docs, templates))
-    covered = F.least(F.lit(1.0), F.col("votes") / F.col("windows"))
-    length = F.col("last") - F.col("first") + 1
-    phrase = F.col("base") & (F.col("votes") == F.col("windows"))
-    template = ~F.col("base") & (covered >= MIN_COVERED) & length.between(
-        MIN_COVERED * F.col("windows"), F.col("windows") / MIN_COVERED + NEIGHBOURS)
-    found = spans.withColumns({"phrase": F.coalesce(phrase, F.lit(False)),
-                               "verified": F.coalesce(phrase | template, F.lit(False)), "covered": covered})
+    runs = runs_of_neighbours(diagonals(docs, templates))
+    phrase = F.coalesce(F.col("base") & (F.col("votes") == F.col("windows")), F.lit(False))
+    covered = F.when(phrase, 1.0).when(~F.col("base"), best_cover(F.col("parts"), F.col("windows")))
+    found = runs.withColumns({"phrase": phrase, "covered": covered}).withColumn("verified", F.col("covered").isNotNull())
 
     def names(which: str):
         return F.array_join(F.array_sort(F.collect_set(F.when(F.col(which), F.col("label")))), ",")
@@ -148,4 +162,4 @@ def scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFram
         F.min(F.when(F.col("phrase"), F.col("first"))).cast("long").alias("first_word"),
         F.max(F.when(F.col("phrase"), F.col("first"))).cast("long").alias("last_word"),
         names("phrase").alias("base_labels"), names("verified").alias("labels"),
-        F.coalesce(F.max(F.when(F.col("verified"), F.col("covered"))), F.lit(0.0)).alias("score")).drop("row")
+        F.coalesce(F.max("covered"), F.lit(0.0)).alias("score")).drop("row")

@@ -53,3 +53,27 @@ def test_own_templates_and_no_rows(make_docs):
     assert scan(make_docs([])).collect() == []
     with pytest.raises(ValueError):
         scan(docs, [*TEMPLATES, Template("x", "one")])
+
+
+MIT = "Released under the MIT License"
+
+
+@pytest.mark.parametrize("text, labels, score", [
+    *[(f"{MIT}. " * n, "mit", 1.0) for n in (1, 2, 3, 4, 7, 500)],
+    *[("Released under the v the MIT License\n" * n, "mit", 1.0) for n in (1, 2, 3, 9)],
+    ("Released under the v w x y the MIT License", "mit", 1.0),
+    *[("released under the " * n, "", 0.0) for n in (2, 3, 9)],
+    *[("MIT license released under the " * n, "mit" if n > 1 else "", float(n > 1)) for n in (1, 2, 5)],
+    (f"{MIT} " * 3 + "Licensed under CC BY-NC 4.0 " * 3, "cc-by,cc-by-nc-4.0,mit", 1.0),
+])
+def test_copies_in_a_row(make_docs, text, labels, score):
+    row = scan(make_docs([(1, text)])).first()
+    assert (row.labels, row.score) == (labels, score)
+
+
+@pytest.mark.parametrize("words", [2, 3, 4, 5, 6])
+def test_short_own_templates_in_a_row(make_docs, words):
+    phrase = " ".join(f"w{i}" for i in range(words))
+    docs = [(n, f"{phrase} " * n) for n in range(1, 8)] + [(8, " ".join(phrase.split()[::-1]))]
+    rows = scan(make_docs(docs), [Template("own", phrase)]).collect()
+    assert {r.doc_id: r.labels for r in rows} == {n: "own" if n < 8 else "" for n in range(1, 9)}
