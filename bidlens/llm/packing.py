@@ -42,7 +42,6 @@ END_ID = 1
 SENTENCE_PENALTY = 1
 INSIDE_PENALTY = 8
 PER_WINDOW = 1  # keeps free power-of-two windows from replacing full ones without need
-SPACING = 8  # sentence cuts closer than this to the one before are left out
 FORCED = 64  # longest stretch without a cut position
 STRETCH = 1 << 19
 TEXT_BYTES = 4 << 20  # text encoded at once; more finds more repeated pieces
@@ -65,9 +64,7 @@ def cut_positions(ids: np.ndarray, doc_ends: np.ndarray, closing: np.ndarray, la
     """Possible cuts of a stream, from 0 to its end, and the penalty of each."""
     n = len(ids)
     penalty = np.full(n + 1, -1, np.int64)
-    sentences = np.flatnonzero(closing[ids]) + 1
-    cell = sentences // SPACING
-    penalty[sentences[np.append(True, cell[1:] != cell[:-1])] if len(sentences) else sentences] = SENTENCE_PENALTY
+    penalty[1:][closing[ids]] = SENTENCE_PENALTY
     if last:
         tail = penalty[max(0, n - 2 * window):]
         tail[tail < 0] = INSIDE_PENALTY

@@ -93,6 +93,22 @@ def test_cuts_close_every_gap():
     assert np.diff(cuts).max() <= packing.FORCED
 
 
+def test_every_sentence_end_is_a_cut():
+    draw = np.random.default_rng(5)
+    closing = np.array([False, False, True])
+    ids = np.where(draw.random(5000) < 0.2, 2, 0)
+    ends = np.array([1000, 1003, 5000])
+    ids[ends - 1] = 1
+    cuts, penalty = cut_positions(ids, ends, closing, False, 16)
+    price = dict(zip(cuts.tolist(), penalty.tolist()))
+    assert all(price[i + 1] == packing.SENTENCE_PENALTY for i in np.flatnonzero(ids == 2).tolist())
+    assert all(price[i] == 0 for i in ends.tolist())
+    # Sentence ends at 9 and 11: the second leaves exactly a window behind it.
+    ids = np.array([0] * 8 + [2, 0, 2] + [0] * 16)
+    cuts, penalty = cut_positions(ids, np.array([27]), closing, False, 16)
+    assert cuts.tolist() == [0, 9, 11, 27] and best_windows(cuts, penalty, 16).tolist() == [0, 11, 27]
+
+
 def test_workers_get_the_package(tmp_path):
     """A session whose workers can't find the repository on their own path."""
     import os
