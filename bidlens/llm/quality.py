@@ -31,7 +31,7 @@ from bidlens.llm.words import SPACED, Hasher, Slice, Words, find_words, grams, s
 MIN_WORDS = 20
 MIN_REPEAT = 8
 MAX_REPEAT_PERCENT = 30
-MAX_COVERED = 0.3  # share of the words in maximal repeats
+MAX_COVERED = 0.3  # share of the words in maximal repeats; the same limit as MAX_REPEAT_PERCENT
 MAX_LONGEST = 100  # words of the longest repeat
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True

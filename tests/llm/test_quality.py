@@ -4,7 +4,7 @@ import re
 import pyarrow as pa
 import pytest
 
-from bidlens.llm.quality import MAX_COVERED, MAX_LONGEST, assess, keep_good, measures
+from bidlens.llm.quality import MAX_COVERED, MAX_LONGEST, MAX_REPEAT_PERCENT, assess, keep_good, measures
 from bidlens.llm.words import slices
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -57,6 +57,13 @@ def test_measures_equal_brute_force(limit):
             assert tuple(found[k][i] for k in names) == brute(rows[piece.first + i]), rows[piece.first + i]
 
 
+def test_covered_limit_is_the_base_limit_and_the_longest_repeat_adds_to_it():
+    assert all((c / n > MAX_COVERED) == (100 * c > MAX_REPEAT_PERCENT * n) for n in range(1, 1500) for c in range(n + 1))
+    long, rest = (" ".join(f"{x}{i}" for i in range(n)) for x, n in (("a", 101), ("b", 600)))
+    found = measures(next(slices(pa.array([f"{long} {rest} {long}"]))))
+    assert not found["base_failed"][0] and found["covered_share"][0] < MAX_COVERED and not found["kept"][0]
+
+
 def test_whole_frames(make_docs):
     clean = " ".join(f"w{i}" for i in range(60))
     docs = make_docs([(1, clean), (1, clean), (None, None), (3, "too short"), (4, f"{clean} {clean}"), (5, "é " * 200000)])
