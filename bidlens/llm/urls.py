@@ -71,15 +71,27 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return F.array_max(F.filter(fitting, lambda r: path.startswith(r.path)))
 
 
-def with_units(rows: DataFrame) -> DataFrame:
-    """Add the units a host belongs to: site (host without user and port), domain and suffix."""
+def with_units(rows: DataFrame, suffixes: Sequence[str] = LONG_SUFFIXES) -> DataFrame:
+    """Add the units a host belongs to: site (host without user and port), domain and suffix.
+
+    ``suffixes`` are those of several labels, with ``*.`` and ``!`` as in the public list; the longest that fits
+    holds, else the last label.
+    """
     site = F.regexp_replace(F.regexp_replace("host", r"^[^@]*@", ""), r"\.?(:[0-9]*)?$", "")
-    two = F.substring_index("site", ".", -2)
-    parts = F.when(two.isin(*LONG_SUFFIXES), 2).otherwise(1)
     address = F.col("site").rlike(r"^[0-9.]+$|^\[")
+    domain, suffix = F.when(address, F.col("site")), F.when(address, F.lit(""))
+    for n in range(max([x.count(".") + 1 for x in suffixes], default=1), 1, -1):
+        own = [x for x in suffixes if x.count(".") + 1 == n]
+        last = F.substring_index("site", ".", -n)
+        fits = last.isin([x for x in own if x[0] not in "*!"])
+        if wild := [x[2:] for x in own if x[0] == "*"]:
+            labels = F.size(F.split("site", r"\."))
+            fits |= (labels >= n) & F.substring_index("site", ".", 1 - n).isin(wild)
+        fits &= ~last.isin([x[1:] for x in own if x[0] == "!"])
+        domain, suffix = domain.when(fits, F.substring_index("site", ".", -n - 1)), suffix.when(fits, last)
     return rows.withColumn("site", site).withColumns({
-        "domain": F.when(address, F.col("site")).when(parts == 2, F.substring_index("site", ".", -3)).otherwise(two),
-        "suffix": F.when(address, F.lit("")).when(parts == 2, two).otherwise(F.substring_index("site", ".", -1))})
+        "domain": domain.otherwise(F.substring_index("site", ".", -2)),
+        "suffix": suffix.otherwise(F.substring_index("site", ".", -1))})
 
 
 def _prior_weight(units: DataFrame) -> float:
@@ -106,13 +118,13 @@ class Reputation(NamedTuple):
     overall: float
 
 
-def reputation(pages: DataFrame, outcomes: DataFrame) -> Reputation:
+def reputation(pages: DataFrame, outcomes: DataFrame, suffixes: Sequence[str] = LONG_SUFFIXES) -> Reputation:
     """Posterior bad rates per site, domain and suffix that has outcomes.
 
     ``pages`` has page_id and host; ``outcomes`` has page_id and bad (boolean).
     """
     counts = with_units(pages.join(outcomes.filter(F.col("bad").isNotNull()), "page_id").filter("host <> ''")
-                        .groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad")))
+                        .groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad")), suffixes)
     sites = cut_lineage(counts.groupBy("site", "domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")),
                         "sites")
     total, bad = sites.agg(F.sum("n"), F.sum("bad")).first()
@@ -135,12 +147,13 @@ def reputation(pages: DataFrame, outcomes: DataFrame) -> Reputation:
     return Reputation(levels, weight, overall)
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule] = RULES, limit: float = BAD_LIMIT) -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule] = RULES, limit: float = BAD_LIMIT,
+          suffixes: Sequence[str] = LONG_SUFFIXES) -> DataFrame:
     """One row per page (page_id, url): host, path, the rule that fits, and the verdict."""
     parts = pages.select(F.col("page_id").cast("long"), host_of(F.col("url")).alias("host"),
                          path_of(F.col("url")).alias("path"))
-    known = reputation(parts, outcomes)
-    found = with_units(parts)
+    known = reputation(parts, outcomes, suffixes)
+    found = with_units(parts, suffixes)
     for level, column in (("site", "site_bound"), ("domain", "domain_mean"), ("suffix", "suffix_mean")):
         found = found.join(known.levels[level].select(level, column), level, "left")
     prior = F.coalesce("domain_mean", "suffix_mean", F.lit(known.overall))

@@ -1,4 +1,4 @@
-from bidlens.llm.urls import RULES, Rule, judge, reputation, with_units
+from bidlens.llm.urls import LONG_SUFFIXES, RULES, Rule, judge, reputation, with_units
 
 SCHEMA = "page_id long, url string, html string, n string, bad string, site string"
 
@@ -41,6 +41,26 @@ def test_units(spark):
                     "b.com.": ("b.com", "b.com", "com"), "10.0.0.1:80": ("10.0.0.1", "10.0.0.1", ""), "com": ("com", "com", "com")}
 
 
+def test_suffixes_of_a_longer_list(spark):
+    hosts = ["a.b.com.mx", "x.github.io", "a.b.city.kobe.jp", "a.b.c.kobe.jp", "shop.co.uk", "kobe.jp", "1.2.3.4"]
+    given = (*LONG_SUFFIXES, "com.mx", "github.io", "*.kobe.jp", "!city.kobe.jp")
+    rows = {r.host: (r.domain, r.suffix) for r in with_units(
+        spark.createDataFrame([(h,) for h in hosts], "host string"), given).collect()}
+    assert rows == {"a.b.com.mx": ("b.com.mx", "com.mx"), "x.github.io": ("x.github.io", "github.io"),
+                    "a.b.city.kobe.jp": ("kobe.jp", "jp"), "a.b.c.kobe.jp": ("b.c.kobe.jp", "c.kobe.jp"),
+                    "shop.co.uk": ("shop.co.uk", "co.uk"), "kobe.jp": ("kobe.jp", "jp"), "1.2.3.4": ("1.2.3.4", "")}
+
+
+def test_sites_under_a_given_suffix_are_strangers(spark):
+    urls = [(i, f"http://bad.com.mx/{i}") for i in range(60)] + [(100 + i, f"http://g{i}.com/") for i in range(60)]
+    labels = outcomes(spark, [(i, True) for i in range(60)] + [(100 + i, False) for i in range(60)])
+    docs = pages(spark, [*urls, (999, "http://new.com.mx/")])
+    known = [reputation(docs.selectExpr("page_id", "split(url, '/')[2] as host"), labels, **more).levels["domain"]
+             .select("domain").collect() for more in ({}, {"suffixes": (*LONG_SUFFIXES, "com.mx")})]
+    assert ("com.mx",) in known[0] and ("com.mx",) not in known[1] and ("bad.com.mx",) in known[1]
+    assert judge(docs, labels, suffixes=("com.mx",)).count() == len(urls) + 1
+
+
 def test_much_bad_evidence_blocks_and_little_does_not(spark):
     urls, labels = [], []
 
