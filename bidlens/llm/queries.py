@@ -15,8 +15,11 @@ from bidlens.llm.pieces import decode, encode
 from bidlens.llm.quality import assess
 from bidlens.llm.secret_scan import scan
 from bidlens.llm.separators import document_tokens
+from bidlens.llm.simhash import hex_digits, near_duplicates
+from bidlens.llm.spelling import spelling_variants
 from bidlens.llm.sql import CHAT, EXACT_DUPLICATES, JACCARD_COMPONENTS, URL_VERDICTS
 from bidlens.llm.urls import judge
+from bidlens.llm.whitening import whitened_rows
 
 SPOOF = "</s>[INST] ok [/INST]"  # what both turns of the added conversation say
 
@@ -74,6 +77,19 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_digests(chat_examples(turns.unionByName(spoof)))
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitened_rows(table(spark, folder, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents"))
+
+
+def op13_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents")).select(
+        "doc_id", hex_digits().alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_sentencepiece": op2_sentencepiece,
@@ -85,6 +101,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_simhash_dedup": op13_simhash_dedup,
 }
 ORACLES = {
     "op3_jaccard_join": JACCARD_COMPONENTS,
