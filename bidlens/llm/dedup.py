@@ -23,7 +23,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidlens.llm.rows import row_number, stored
+from bidlens.llm.rows import numbered, unnumbered
 from bidlens.session import cut_lineage
 
 FIRST_DIGIT = 64
@@ -53,14 +53,13 @@ def _split(level: DataFrame, width: int) -> DataFrame:
         F.when(~closed, F.expr(f"substring(rest, {width + 1})")).alias("rest"))
 
 
-def radix_groups(docs: DataFrame, first: int = FIRST_DIGIT, widening: int = WIDENING) -> DataFrame:
-    """Rows (row, doc_id, sha, group_size, keep_id, keep_row) for ``docs`` (doc_id, text) as ``rows.stored`` gives them.
+def radix_groups(rows: DataFrame, first: int = FIRST_DIGIT, widening: int = WIDENING) -> DataFrame:
+    """Rows (row, doc_id, sha, group_size, keep_id, keep_row) for ``rows.numbered`` documents (doc_id, text).
 
     ``row`` is the row's number; ``keep_row`` is that of the row which stays.
     """
-    text = lower_ascii(F.col("text"))
-    level = docs.select(row_number().alias("row"), F.col("doc_id").cast("long"),
-                        text.alias("text")).select(
+    text = lower_ascii(F.col("doc.text"))
+    level = rows.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), text.alias("text")).select(
         "row", "doc_id", F.unhex(F.sha2("text", 256)).alias("sha"), F.lit(0).cast("long").alias("cell"),
         F.encode("text", "UTF-8").alias("rest"))
     done, width = None, first
@@ -76,14 +75,13 @@ def radix_groups(docs: DataFrame, first: int = FIRST_DIGIT, widening: int = WIDE
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: the id that stays, the group's size, whether this row stays, and the text's SHA-256."""
-    return radix_groups(stored(docs)).select(
+    return radix_groups(numbered(docs, ["doc_id", "text"])).select(
         "doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"),
         (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that equal another one which stays; all columns are kept."""
-    docs = stored(docs)
-    dropped = radix_groups(docs).filter("row <> keep_row").select(F.col("row").alias("_dropped_row"))
-    rows = docs.select(F.struct("*").alias("_doc"), row_number().alias("_row"))
-    return rows.join(dropped, F.col("_row") == F.col("_dropped_row"), "left_anti").select("_doc.*")
+    rows = numbered(docs)
+    dropped = radix_groups(rows).filter("row <> keep_row").select("row")
+    return unnumbered(rows.join(dropped, "row", "left_anti"))

@@ -13,9 +13,10 @@ returns each document's component and its number of links, not all pairs.
    its threshold. Shingles travel in packets, each once per task and class.
 3. Groups. A family is cut into groups of similar size of at most ``GROUP_TOKENS``
    shingles. Each group keeps the union of its members' shingles, a row of the matrix.
-4. A set of another group of its family is a query: its overlap with the group's union
-   bounds its overlap with every member. Only groups that reach the least overlap a link
-   needs are opened, and only for those queries; there all pairs are verified at once.
+4. A set is a query to another group of its family if one of its first shingles is one of
+   the group's: its overlap with the group's union bounds its overlap with every member.
+   Only groups that reach the least overlap a link needs are opened, and only for those
+   queries; there all pairs are verified at once.
 5. Links leave a group as one edge per set to the smallest set reached, never as pairs.
 
 No group is gathered whole unless its size is bounded; only the bounded list of frequent
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidlens.llm.graph import components
-from bidlens.llm.rows import row_number, stored
+from bidlens.llm.rows import numbered, unnumbered
 from bidlens.llm.ship import shipped
 from bidlens.llm.words import mixed, shingle_sets, slices
 from bidlens.session import cut_lineage
@@ -49,6 +50,7 @@ FLUSH_TOKENS = 1 << 20  # shingles of a task brought together before they are de
 LOCAL_FREQUENT = 8  # sets of a task's batch that make a shingle a candidate for a frequent one
 FREQUENT_PARTS = 1_000_000  # a frequent shingle has this part of all shingles, so there are at most as many
 LEAST_FREQUENT = 1000  # but at least so many sets
+FANOUT = 1024  # targets of a task's shingles at each of two levels
 DENSE = 16  # shingles of more sets than this are counted by matrix product
 SETS = "row long, id long, n long, set_id long, proof long"
 PACKETS = "part long, shingles binary, sets binary, counts binary, needs binary, last binary"
@@ -66,7 +68,7 @@ def size_bands(largest: int, num: int, den: int) -> list[int]:
 
 
 def set_rows(docs: DataFrame, k: int) -> DataFrame:
-    """(row, id, n, set_id, proof) of ``docs`` (doc_id, text): the size of the shingle set and two hashes of the whole set.
+    """(row, id, n, set_id, proof) of ``rows.numbered`` documents (doc_id, text): the size of the shingle set and two hashes of the whole set.
 
     Rows without a row number count the sets (n) of a batch that have a shingle (set_id), where they are many.
     """
@@ -98,7 +100,7 @@ def set_rows(docs: DataFrame, k: int) -> DataFrame:
             "row": nothing, "id": nothing, "n": pa.array(count[often].astype(np.int64)),
             "set_id": pa.array(value[often].view(np.int64)), "proof": nothing})
 
-    return shipped(_numbered(docs)).mapInArrow(run, SETS)
+    return shipped(_flat(docs)).mapInArrow(run, SETS)
 
 
 def _first_copies(set_id: np.ndarray) -> np.ndarray:
@@ -109,8 +111,8 @@ def _first_copies(set_id: np.ndarray) -> np.ndarray:
     return found
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.select(row_number().alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
+def _flat(docs: DataFrame) -> DataFrame:
+    return docs.select("row", F.col("doc.doc_id").cast("long").alias("id"), F.col("doc.text").cast("string").alias("text"))
 
 
 def set_hashes(doc: np.ndarray, values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,29 +155,59 @@ def dealt_shingles(doc: np.ndarray, values: np.ndarray, size: int, frequent: np.
     return counted, last, need, np.bincount(doc[early], minlength=size)
 
 
-def packets(docs: DataFrame, k: int, num: int, den: int, frequent: np.ndarray, parts: int) -> DataFrame:
-    """The shingles to be counted, dealt to ``parts`` parts by value, and each class's needs."""
+def part_of_values(value: np.ndarray, parts: int) -> np.ndarray:
+    return (((value >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+
+
+def part_of_sets(set_id: np.ndarray, parts: int) -> np.ndarray:
+    return (np.ascontiguousarray(set_id).view(np.uint64) % np.uint64(parts)).astype(np.int64)
+
+
+def _binary(part: list[int], **rows: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"part": pa.array(part, pa.int64()), **{c: pa.array(v, pa.binary()) for c, v in rows.items()}})
+
+
+def dealt_by_value(value: np.ndarray, owner: np.ndarray, needs: np.ndarray, last: np.ndarray, parts: int, span: int) -> pa.RecordBatch:
+    """One packet for every run of ``span`` parts that has any of the values; needs and last go with some packet."""
+    part = part_of_values(value, parts) // span
+    order = np.lexsort((owner, part))
+    value, owner, part = value[order], owner[order], part[order]
+    found, cut = np.unique(part, return_index=True)
+    if not len(found):
+        found, cut = part_of_sets(needs[:1, 0], parts) // span, np.zeros(1, np.int64)
+    cut = np.append(cut, len(value))
+    rows = {c: [] for c in ("shingles", "sets", "counts", "needs", "last")}
+    for lo, hi, info, tail in zip(cut[:-1], cut[1:], np.array_split(needs, len(found)), np.array_split(last, len(found))):
+        own = owner[lo:hi]
+        first = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, np.int64)
+        rows["shingles"].append(value[lo:hi].tobytes())
+        rows["sets"].append(own[first].tobytes())
+        rows["counts"].append(np.diff(np.append(first, len(own))).astype(np.uint32).tobytes())
+        rows["needs"].append(info.tobytes())
+        rows["last"].append(tail.tobytes())
+    return _binary(found.tolist(), **rows)
+
+
+def dealt_by_set(owner: np.ndarray, value: np.ndarray, having: np.ndarray, needs: np.ndarray, last: np.ndarray, parts: int,
+                 span: int) -> pa.RecordBatch:
+    """One packet for every run of ``span`` parts that has any of the sets."""
+    streams = ((owner, {"sets": owner, "shingles": value, "having": having}), (needs[:, 0], {"needs": needs}), (last[:, 1], {"last": last}))
+    to = [part_of_sets(names, parts) // span for names, _ in streams]
+    found = np.unique(np.concatenate(to))
+    rows = {}
+    for part, (_, columns) in zip(to, streams):
+        order = np.argsort(part, kind="stable")
+        lo, hi = (np.searchsorted(part[order], found, side) for side in ("left", "right"))
+        for name, column in columns.items():
+            held = column[order]
+            rows[name] = [held[a:b].tobytes() for a, b in zip(lo, hi)]
+    return _binary(found.tolist(), **rows)
+
+
+def packets(docs: DataFrame, k: int, num: int, den: int, frequent: np.ndarray, parts: int, span: int = 1) -> DataFrame:
+    """The shingles to be counted, dealt to runs of ``span`` of ``parts`` parts by value, and each class's needs."""
     shared_list = docs.sparkSession.sparkContext.broadcast(frequent)
 
-    def flushed(held: list[tuple]) -> pa.RecordBatch:
-        value, owner, needs, last = (np.concatenate(x) for x in zip(*held))
-        part = (((value >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
-        order = np.lexsort((owner, part))
-        value, owner, part = value[order], owner[order], part[order]
-        cut = np.searchsorted(part, np.arange(parts + 1))
-        rows = {c: [] for c in ("part", "shingles", "sets", "counts", "needs", "last")}
-        for p, (info, tail) in enumerate(zip(np.array_split(needs, parts), np.array_split(last, parts))):
-            own = owner[cut[p]:cut[p + 1]]
-            first = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, np.int64)
-            rows["part"].append(p)
-            rows["shingles"].append(value[cut[p]:cut[p + 1]].tobytes())
-            rows["sets"].append(own[first].tobytes())
-            rows["counts"].append(np.diff(np.append(first, len(own))).astype(np.uint32).tobytes())
-            rows["needs"].append(info.tobytes())
-            rows["last"].append(tail.tobytes())
-        return pa.RecordBatch.from_pydict({"part": pa.array(rows.pop("part"), pa.int64()),
-                                           **{c: pa.array(v, pa.binary()) for c, v in rows.items()}})
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
@@ -191,24 +223,60 @@ def packets(docs: DataFrame, k: int, num: int, den: int, frequent: np.ndarray, p
                              np.stack([values[last].view(np.int64), set_id[doc[last]]], 1)))
                 size += int(counted.sum())
                 if size >= FLUSH_TOKENS:
-                    yield flushed(held)
+                    yield from _flushed(held, dealt_by_value, parts, span)
                     held, size = [], 0
-        if held:
-            yield flushed(held)
+        yield from _flushed(held, dealt_by_value, parts, span)
+
+    return shipped(_flat(docs).select("text")).mapInArrow(run, PACKETS)
+
+
+def _flushed(held: list[tuple], deal, parts: int, span: int) -> Iterator[pa.RecordBatch]:
+    if held:
+        columns = [np.concatenate(x) for x in zip(*held)]
+        if any(map(len, columns)):
+            yield deal(*columns, parts, span)
+
+
+def _values_of(table: pa.Table) -> tuple[np.ndarray, ...]:
+    owner = np.repeat(_joined(table, "sets", np.int64), _joined(table, "counts", np.uint32))
+    return (_joined(table, "shingles", np.uint64), owner, _joined(table, "needs", np.int64).reshape(-1, 3),
+            _joined(table, "last", np.int64).reshape(-1, 2))
+
+
+def _sets_of(table: pa.Table) -> tuple[np.ndarray, ...]:
+    return (_joined(table, "sets", np.int64), _joined(table, "shingles", np.uint64), _joined(table, "having", np.uint32),
+            _joined(table, "needs", np.int64).reshape(-1, 3), _joined(table, "last", np.int64).reshape(-1, 2))
+
+
+def dealt_again(runs: DataFrame, read, deal, parts: int) -> DataFrame:
+    """Packets of runs of parts as packets of single parts.
+
+    A task deals its tokens to at most ``FANOUT`` targets at each of the two levels, so packets grow with
+    the tokens and not with tokens times parts.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for row in range(batch.num_rows):
+                held.append(read(batch.slice(row, 1)))
+                size += len(held[-1][0])
+                if size >= FLUSH_TOKENS:
+                    yield from _flushed(held, deal, parts, 1)
+                    held, size = [], 0
+        yield from _flushed(held, deal, parts, 1)
 
-    return shipped(docs.select(F.col("text").cast("string"))).mapInArrow(run, PACKETS)
+    return shipped(runs.repartition("part").sortWithinPartitions("part")).mapInArrow(run, runs.schema)
 
 
-def _joined(table: pa.Table, column: str, kind: str) -> np.ndarray:
+def _joined(table: pa.Table | pa.RecordBatch, column: str, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
 
 
-def shared_shingles(parts: int):
+def shared_shingles(parts: int, span: int = 1):
     """Count the sets of each shingle of a part; shingles of several sets go on, dealt by set."""
 
     def run(table: pa.Table) -> pa.Table:
-        value = _joined(table, "shingles", np.uint64)
-        owner = np.repeat(_joined(table, "sets", np.int64), _joined(table, "counts", np.uint32))
+        value, owner, needs, last = _values_of(table)
         order = np.lexsort((owner, value))
         value, owner = value[order], owner[order]
         fresh = np.append(True, (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])) if len(value) else np.zeros(0, bool)
@@ -217,29 +285,16 @@ def shared_shingles(parts: int):
         having = np.diff(np.append(first, len(value)))
         having = np.repeat(having, having)
         several = having > 1
-        value, owner, having = value[several], owner[several], having[several]
-        needs = _joined(table, "needs", np.int64).reshape(-1, 3)
-        last = _joined(table, "last", np.int64).reshape(-1, 2)
-        to = [x.view(np.uint64) % np.uint64(parts) for x in (owner, np.ascontiguousarray(needs[:, 0]), np.ascontiguousarray(last[:, 1]))]
-        rows = {c: [] for c in ("part", "sets", "shingles", "having", "needs", "last")}
-        for p in np.unique(np.concatenate(to)).tolist():
-            mine = to[0] == p
-            rows["part"].append(int(p))
-            rows["sets"].append(owner[mine].tobytes())
-            rows["shingles"].append(value[mine].tobytes())
-            rows["having"].append(np.minimum(having[mine], 2**32 - 1).astype(np.uint32).tobytes())
-            rows["needs"].append(needs[to[1] == p].tobytes())
-            rows["last"].append(last[to[2] == p].tobytes())
-        return pa.table({"part": pa.array(rows.pop("part"), pa.int64()), **{c: pa.array(v, pa.binary()) for c, v in rows.items()}})
+        having = np.minimum(having[several], 2**32 - 1).astype(np.uint32)
+        return pa.Table.from_batches([dealt_by_set(owner[several], value[several], having, needs, last, parts, span)])
 
     return run
 
 
 def first_shingles(table: pa.Table) -> pa.Table:
     """The shared shingles among the first ones of each class of a part."""
-    needs = np.unique(_joined(table, "needs", np.int64).reshape(-1, 3), axis=0)  # copies in other tasks say the same
-    last = np.unique(_joined(table, "last", np.int64).reshape(-1, 2), axis=0)
-    owner, value, having = (_joined(table, c, t) for c, t in (("sets", np.int64), ("shingles", np.uint64), ("having", np.uint32)))
+    owner, value, having, needs, last = _sets_of(table)
+    needs, last = np.unique(needs, axis=0), np.unique(last, axis=0)  # copies in other tasks say the same
     order = np.lexsort((value, having, owner))
     owner, value = owner[order], value[order]
     first = np.searchsorted(owner, needs[:, 0])
@@ -380,7 +435,7 @@ def member_sets(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], shingles.cast(pa.binary())], names=[*names, "shingles"])
 
     names = ["set_id", "n", "copies", "group"]
-    joined = _numbered(docs).join(members, "row").select("text", *names)
+    joined = _flat(docs).join(members, "row").select("text", *names)
     return shipped(joined).mapInArrow(
         run, "set_id long, n long, copies long, group struct<family:long, band:int, salt:long>, shingles binary")
 
@@ -396,7 +451,20 @@ def with_groups(members: DataFrame, bands: list[int], group_tokens: int) -> Data
         "group", F.struct("family", "band", F.pmod(F.xxhash64("set_id"), F.col("salts")).alias("salt"))).drop("salts", "band")
 
 
-def links_within_families(docs: DataFrame, members: DataFrame, k: int, num: int, den: int, group_tokens: int) -> DataFrame:
+def asking(firsts: DataFrame, placed: DataFrame) -> DataFrame:
+    """(pair, set_id): sets with the other groups that they may be linked with, as ``pair`` (group, other: the set's own).
+
+    The matrix turned round: rows of (shingle, group) for the groups' first shingles, met by the sets' own. Rows
+    grow with what sets and groups share, not with all pairs of groups of a family.
+    """
+    mine = cut_lineage(firsts.join(placed.select("set_id", "group"), "set_id"), "first-groups")
+    matrix = cut_lineage(mine.select("shingle", F.col("group").alias("met")).distinct(), "matrix")
+    met = mine.join(matrix, "shingle").filter("met < group and abs(met.band - group.band) <= 1")
+    return met.select(F.struct(F.col("met").alias("group"), F.col("group").alias("other")).alias("pair"), "set_id").distinct()
+
+
+def links_within_families(docs: DataFrame, members: DataFrame, firsts: DataFrame, k: int, num: int, den: int,
+                          group_tokens: int) -> DataFrame:
     """(a, b, links): every linked set with the first set of its component within an opened group."""
     largest = members.agg(F.max("n")).first()[0]
     if largest is None:
@@ -405,16 +473,13 @@ def links_within_families(docs: DataFrame, members: DataFrame, k: int, num: int,
     sets = cut_lineage(member_sets(docs, with_groups(members, bands, group_tokens), k), "members")
     inner = sets.select("group", "set_id", "copies", "shingles", F.lit(False).alias("query"))
     found = inner.groupBy("group").applyInArrow(verifier(num, den), LINKS)
-    groups = sets.select("group").distinct()
-    pairs = (groups.join(groups.select(F.col("group").alias("other")), F.col("group.family") == F.col("other.family"))
-             .filter("group < other and abs(group.band - other.band) <= 1")
-             .select(F.struct("group", "other").alias("pair"), "group", "other"))
-    pairs = cut_lineage(pairs, "pairs")
+    queries = cut_lineage(asking(firsts, sets), "asking")
+    pairs = cut_lineage(queries.select("pair", F.col("pair.group").alias("group")).distinct(), "pairs")
     if pairs.isEmpty():
         return found
     unions = (sets.join(pairs.select("group").distinct(), "group", "left_semi").groupBy("group")
               .applyInArrow(union_of_group, _schema(sets, "group").add("union", "binary")))
-    asked = sets.withColumnRenamed("group", "other").join(pairs, "other").select("pair", "set_id", "shingles")
+    asked = queries.join(sets.select("set_id", "shingles"), "set_id").select("pair", "set_id", "shingles")
     open_for = (unions.join(pairs, "group").select("pair", "union").groupBy("pair")
                 .cogroup(asked.groupBy("pair"))
                 .applyInArrow(qualifying(num, den), _schema(pairs, "pair").add("set_id", "long")))
@@ -431,13 +496,18 @@ def _schema(df: DataFrame, column: str):
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
                        group_tokens: int = GROUP_TOKENS) -> DataFrame:
-    """Per document of ``docs`` (doc_id, text): row, id, n_shingles, component_id, component_row, n_links.
+    """Per document of ``docs`` (doc_id, text): row, id, n_shingles, component_id, component_row, n_links."""
+    return linked_rows(numbered(docs, ["doc_id", "text"]), k, num, den, group_tokens)
+
+
+def linked_rows(docs: DataFrame, k: int, num: int, den: int, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+    """Per document of ``rows.numbered``: row, id, n_shingles, component_id, component_row, n_links.
 
-    ``row`` is the row's number in ``rows.stored``, ``component_row`` the lowest of its component;
+    ``row`` is the row's number, ``component_row`` the lowest of its component;
     ``component_id`` is the smallest id reachable by links, ``n_links`` the number of
     documents it is linked with, copies included.
     """
-    spark, docs = docs.sparkSession, stored(docs)
+    spark = docs.sparkSession
     found = cut_lineage(set_rows(docs, k), "sets")
     rows = found.filter("row is not null")
     classes = cut_lineage(rows.filter("n > 0").groupBy("set_id", "proof", "n").agg(
@@ -448,12 +518,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     frequent = (found.filter("row is null").groupBy("set_id").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
                 .select("set_id").toPandas()["set_id"].to_numpy(np.int64).view(np.uint64))
     parts = max(2 * spark.sparkContext.defaultParallelism, -(-total * 2 * (den - num) // den // PART_TOKENS))
-    dealt = packets(docs, k, num, den, np.sort(frequent), parts).groupBy("part").applyInArrow(shared_shingles(parts), SHARED)
-    firsts = cut_lineage(dealt.groupBy("part").applyInArrow(first_shingles, FIRST), "firsts")
+    span = -(-parts // FANOUT)
+    by_value = packets(docs, k, num, den, np.sort(frequent), parts, span)
+    if span > 1:
+        by_value = dealt_again(by_value, _values_of, dealt_by_value, parts)
+    by_set = by_value.groupBy("part").applyInArrow(shared_shingles(parts, span), SHARED)
+    if span > 1:
+        by_set = dealt_again(by_set, _sets_of, dealt_by_set, parts)
+    firsts = cut_lineage(by_set.groupBy("part").applyInArrow(first_shingles, FIRST), "firsts")
     families = components(meeting_edges(firsts))
     members = classes.join(families, F.col("set_id") == F.col("node")).select(
         "row", "set_id", "n", "copies", F.col("component").alias("family"))
-    links = cut_lineage(links_within_families(docs, members, k, num, den, group_tokens), "links")
+    links = cut_lineage(links_within_families(docs, members, firsts, k, num, den, group_tokens), "links")
     joined = components(links.select("a", "b"))
     counts = links.groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "set_id")
     named = (classes.join(joined, F.col("set_id") == F.col("node"), "left").join(counts, "set_id", "left")
@@ -469,7 +545,6 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
 def keep_one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` (doc_id, text and more) with one row of each component, that of the lowest number; all columns are kept."""
-    docs = stored(docs)
-    dropped = jaccard_components(docs, k, num, den).filter("row <> component_row").select(F.col("row").alias("_dropped_row"))
-    rows = docs.select(F.struct("*").alias("_doc"), row_number().alias("_row"))
-    return rows.join(dropped, F.col("_row") == F.col("_dropped_row"), "left_anti").select("_doc.*")
+    rows = numbered(docs)
+    dropped = linked_rows(rows, k, num, den).filter("row <> component_row").select("row")
+    return unnumbered(rows.join(dropped, "row", "left_anti"))

@@ -1,30 +1,30 @@
-"""Row numbers that stay the same however often and by whichever tasks a table is read.
+"""Row numbers that are unique by construction and stay the same however often a table is read.
 
-A running number per task changes when a table is split differently on its next read,
-as may happen after executors were lost. A row's file and place in it do not change.
+A running number per task changes when a table is split differently on its next read, as
+may happen after executors were lost, and a file's name and place only number the rows of a
+bare scan. So the numbers are written once, next to the rows, and read from there: of a
+task that ran twice only one attempt's rows are ever committed.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidlens.session import cut_lineage
 
-FILE_ROWS = 1 << 26  # numbers kept apart for the rows of one file
 
+def numbered(docs: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """A written copy of ``docs``, or of its ``columns``: (row, doc), the number and the columns as a struct.
 
-def stored(docs: DataFrame) -> DataFrame:
-    """``docs`` as rows of Parquet files: itself, or a written copy of anything else."""
-    try:
-        docs.select("_metadata.row_index").schema
-    except AnalysisException:
-        return cut_lineage(docs, "docs")
-    return docs
+    The number is the writing task's and the row's place in it. Columns of any name, also ``row``, lie apart in the struct.
+    """
+    kept = [docs[f"`{c}`"] for c in (columns or docs.columns)]
+    return cut_lineage(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*kept).alias("doc")), "numbered")
 
 
-def row_number() -> Column:
-    """Number of a row of ``stored`` documents, rising within a file; files are told apart by 38 hashed bits."""
-    file = F.xxhash64("_metadata.file_path").bitwiseAND(F.lit(-FILE_ROWS).cast("bigint"))
-    return file + F.col("_metadata.row_index")
+def unnumbered(rows: DataFrame) -> DataFrame:
+    """The documents of ``numbered`` rows with their own columns."""
+    return rows.select("doc.*")

@@ -7,7 +7,8 @@ import pytest
 
 from bidlens.llm import jaccard
 from bidlens.llm.graph import components
-from bidlens.llm.jaccard import dealt_shingles, jaccard_components, keep_one_of_each, linked, set_hashes, size_bands
+from bidlens.llm.jaccard import (_sets_of, _values_of, dealt_by_set, dealt_by_value, dealt_shingles, jaccard_components,
+                                 keep_one_of_each, linked, part_of_sets, part_of_values, set_hashes, size_bands)
 from bidlens.llm.words import shingle_sets, slices
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -67,8 +68,10 @@ def frame(spark, docs):
     return spark.createDataFrame(rows, "doc_id long, text string, row string, set_id string, family string").repartition(3).cache()
 
 
-@pytest.mark.parametrize("k, num, den, limit", [(3, 90, 100, None), (3, 90, 100, 300), (5, 80, 100, None), (5, 80, 100, 500), (1, 50, 100, 300)])
-def test_equals_brute_force(spark, monkeypatch, k, num, den, limit):
+@pytest.mark.parametrize("k, num, den, limit, fanout", [
+    (3, 90, 100, None, 1024), (3, 90, 100, 300, 4), (5, 80, 100, None, 5), (5, 80, 100, 500, 1024), (1, 50, 100, 300, 3)])
+def test_equals_brute_force(spark, monkeypatch, k, num, den, limit, fanout):
+    monkeypatch.setattr(jaccard, "FANOUT", fanout)
     monkeypatch.setattr(jaccard, "MIN_WEIGHT", 8)
     monkeypatch.setattr(jaccard, "LOCAL_FREQUENT", 4)
     monkeypatch.setattr(jaccard, "LEAST_FREQUENT", 6 if limit else 1000)
@@ -140,3 +143,51 @@ def test_one_of_each_stays(make_docs, spark):
     left = keep_one_of_each(docs)
     assert left.schema == docs.schema and sorted(r.doc_id for r in left.collect()) == [5, 7, 8, 9]
     assert keep_one_of_each(make_docs([])).collect() == []
+
+
+@pytest.mark.parametrize("parts", [64, 4096])
+def test_packets_do_not_grow_with_tokens_times_parts(parts):
+    draw = np.random.default_rng(parts)
+    value, owner = draw.integers(0, 2**63, 200_000, dtype=np.uint64) * 2, np.sort(draw.integers(0, 2000, 200_000))
+    own = np.unique(owner)
+    needs, last = np.stack([own, own, own], 1), np.zeros((0, 2), np.int64)
+    span = -(-parts // jaccard.FANOUT)
+    runs = dealt_by_value(value, owner, needs, last, parts, span)
+    assert runs.num_rows <= jaccard.FANOUT
+    fine = [dealt_by_value(*_values_of(runs.slice(r, 1)), parts, 1) for r in range(runs.num_rows)]
+    assert sum(x.num_rows for x in fine) <= parts
+    back = [_values_of(x) for x in fine]
+    assert sorted(np.concatenate([x[0] for x in back]).tolist()) == sorted(value.tolist())
+    assert sorted(np.concatenate([x[2][:, 0] for x in back]).tolist()) == own.tolist()
+    for packet in fine:
+        for r in range(packet.num_rows):
+            assert (part_of_values(_values_of(packet.slice(r, 1))[0], parts) == packet.column("part")[r].as_py()).all()
+    having = np.full(len(owner), 2, np.uint32)
+    runs = dealt_by_set(owner, value, having, needs, last, parts, span)
+    assert runs.num_rows <= jaccard.FANOUT
+    fine = [dealt_by_set(*_sets_of(runs.slice(r, 1)), parts, 1) for r in range(runs.num_rows)]
+    assert sum(x.num_rows for x in fine) <= min(parts, len(own))
+    for packet in fine:
+        for r in range(packet.num_rows):
+            sets, _, _, info, _ = _sets_of(packet.slice(r, 1))
+            assert (part_of_sets(sets, parts) == packet.column("part")[r].as_py()).all() and set(sets) <= set(info[:, 0])
+    few = dealt_by_value(value[:0], owner[:0], needs[:1], last, parts, span)
+    assert few.num_rows == 1 and len(_values_of(few)[2]) == 1
+
+
+def test_a_giant_family_of_unlinked_sets_opens_no_group(spark, monkeypatch):
+    """Every text shares a passage with each of its neighbours, too little for a link."""
+    monkeypatch.setattr(jaccard, "MIN_WEIGHT", 8)
+    seen = []
+    keep = jaccard.cut_lineage
+    monkeypatch.setattr(jaccard, "cut_lineage", lambda df, label="stage": (t := keep(df, label), seen.append((label, t)))[0])
+    passage = [[f"p{i}w{j}" for j in range(40)] for i in range(301)]
+    docs = [(i, " ".join(passage[i] + [f"own{i}x{j}" for j in range(12)] + passage[i + 1])) for i in range(300)]
+    rows = jaccard_components(frame(spark, docs), 3, 90, 100, 400).collect()
+    assert all(r.n_links == 0 and r.component_id == r.id for r in rows)
+    tables = dict(seen)
+    assert tables["members"].select("group").distinct().count() > 30
+    assert tables["members"].select("group.family").distinct().count() <= 6
+    assert tables["queries"].count() == 0 if "queries" in tables else tables["pairs"].count() == 0
+    # A set asks only the groups of its neighbours, not all groups of its family.
+    assert tables["asking"].count() <= 2 * len(docs)
