@@ -43,7 +43,7 @@ SENTENCE_PENALTY = 1
 INSIDE_PENALTY = 8
 PER_WINDOW = 1  # keeps free power-of-two windows from replacing full ones without need
 FORCED = 64  # longest stretch without a cut position
-STRETCH = 1 << 19
+STRETCH = 1 << 19  # at least; 64 windows if these are more
 TEXT_BYTES = 4 << 20  # text encoded at once; more finds more repeated pieces
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "sequence_tokens long")
@@ -137,7 +137,8 @@ class Packer:
         self.sizes = np.concatenate([self.sizes, sizes])
         self.names = pa.concat_arrays([self.names, names])
         self.ids = np.concatenate([self.ids, ids])
-        if len(self.ids) >= STRETCH:
+        # Sixteen windows stay open, so a stretch holds several times as many.
+        if len(self.ids) >= max(STRETCH, 64 * self.window):
             yield self._commit(False)
 
     def finish(self) -> Iterator[pa.RecordBatch]:

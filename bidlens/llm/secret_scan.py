@@ -2,11 +2,14 @@
 
 Plain patterns find assignments, access key ids and long hex runs. Beyond them,
 candidates are decoded and reported only when their structure holds: a signed token
-whose header names an algorithm and whose payload is an object, base64 or hex that
+whose header names an algorithm and whose payload is an object, an encrypted token whose
+header names both ciphers and whose parts have those's lengths, base64 or hex that
 decodes to a DER key (every nested length fits its parent, and the fields are those
 of a PKCS#1, PKCS#8, encrypted PKCS#8, EC or DSA private key), an OpenSSH key container with
-all its length-prefixed fields, a PEM block around either, and base64 whose decoded
-text holds one of these.
+all its length-prefixed fields, a PEM block around either or around whole cipher blocks under
+a header that names the cipher and a vector of its size, an armoured OpenPGP block whose packets
+fill it and begin with a secret key, a JSON key object with the private members of its type, and
+base64 whose decoded text holds one of these.
 
 Line breaks may be escaped as in JSON or source strings. Keys broken into lines, the first
 of at least 16 characters, are joined: the length a key states tells where it ends, and that
@@ -28,7 +31,7 @@ import binascii
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 from typing import NamedTuple
 
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 from bidlens.llm.ship import shipped
 
 BASE_KINDS = ("assign", "access", "hex")
-CONFIRMED_KINDS = ("jwt", "pem", "der", "ssh", "wrapped")
+CONFIRMED_KINDS = ("jwt", "pem", "der", "ssh", "wrapped", "jwe", "pgp", "jwk")
 KIND_ORDER = {k: i for i, k in enumerate(BASE_KINDS + CONFIRMED_KINDS)}
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -48,6 +51,16 @@ HEX = re.compile(r"[0-9a-f]+")
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(e[yw][A-Za-z0-9_-]{6,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 PEM = re.compile(r"""-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s:,.;\\"'`>#*|_]++|-(?!----))*+)-----END \1-----""")
+ENCRYPTED = re.compile(r"(?<![A-Za-z0-9_-])e[yw][A-Za-z0-9_-]{6,}+\.[A-Za-z0-9_-]*+\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++(?!\.[A-Za-z0-9_-])")
+CIPHER = re.compile(r"DEK-Info:[ ]?(AES|CAMELLIA|ARIA|SEED|DES|RC2|IDEA|BF|CAST5)[A-Z0-9-]*,([0-9A-Fa-f]+)")
+WIDE_BLOCKS = ("AES", "CAMELLIA", "ARIA", "SEED")  # ciphers of 16 bytes a block, the others have 8
+PGP = re.compile(r"""-----BEGIN PGP PRIVATE KEY BLOCK-----((?:[A-Za-z0-9+/=\s:,.;\\"'`>#*|_()@<]++|-(?!----))*+)-----END PGP PRIVATE KEY BLOCK-----""")
+PGP_SUM = re.compile(r"=([A-Za-z0-9+/]{4})$")
+OBJECT = re.compile(r"\{[^{}]*+\}")
+KEY_TYPE = re.compile(r"""kty\\*+["']""")
+# Private members of key objects, and bytes of a private number by curve.
+JWK_MEMBERS = {"RSA": ("n", "e", "d"), "EC": ("crv", "x", "y", "d"), "OKP": ("crv", "x", "d"), "oct": ("k",)}
+CURVE_BYTES = {"P-256": 32, "P-384": 48, "P-521": 66, "secp256k1": 32, "Ed25519": 32, "X25519": 32, "Ed448": 57, "X448": 56}
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 ESCAPED_BREAK = re.compile(r"\\(?:[nrt]|u000[9aAdD]|x0[9aAdD])|&#(?:10|13|x[aAdD]);")
@@ -57,8 +70,8 @@ BREAK = r"""(?:(?:[ \t\r"'`.,;\\]|(?<=[ \t"'`])\+)*+\n)++(?:[ \t\r"'`>#*|,]|(?<=
 BREAKS = re.compile(BREAK)
 LINES = re.compile(rf"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_\\-]{{16}}){LINE}(?:{BREAK}{LINE})*+")
 # Whatever the patterns above can match contains a match of this.
-MAYBE = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}|[0-9A-Fa-f]{64}|e[yw][A-Za-z0-9_-]{6}|PRIVATE KEY-----|[A-Za-z0-9+/_\\-]{40}" \
-    r"""|[A-Za-z0-9+/_\\-]{16}={0,2}[ \t\r"'`.,;\\+]*(?:\n|\\|&#)"""
+MAYBE = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}|[0-9A-Fa-f]{64}|e[yw][A-Za-z0-9_-]{6}|PRIVATE KEY(?: BLOCK)?-----" \
+    r"""|kty\\*["']|[A-Za-z0-9+/_\\-]{40}|[A-Za-z0-9+/_\\-]{16}={0,2}[ \t\r"'`.,;\\+]*(?:\n|\\|&#)"""
 OPENSSH = b"openssh-key-v1\0"
 OPENSSH_64 = base64.b64encode(OPENSSH).decode()
 SCHEMA = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_confirmed long")
@@ -151,16 +164,19 @@ def der_size(head: bytes) -> int:
     return 2 + n + int.from_bytes(head[2:2 + n], "big") if n else 2 + head[1]
 
 
-def openssh_size(data: bytes) -> int:
-    """Bytes that cipher, kdf, options, key count, public keys and private block of a container take; 0 if it is none."""
-    if not data.startswith(OPENSSH):
+def openssh_size(read: Callable[[int, int], bytes]) -> int:
+    """Bytes that cipher, kdf, options, key count, public keys and private block of a container take; 0 if it is none.
+
+    ``read`` gives bytes by place and number, so only the fields' lengths are decoded.
+    """
+    if read(0, len(OPENSSH)) != OPENSSH:
         return 0
     at = len(OPENSSH)
 
     def number() -> int:
         nonlocal at
         at += 4
-        return int.from_bytes(data[at - 4:at], "big")
+        return int.from_bytes(read(at - 4, 4), "big")
 
     for _ in range(3):
         size = number()
@@ -174,9 +190,103 @@ def openssh_size(data: bytes) -> int:
     return at
 
 
+def base64_reader(body: str, start: int) -> Callable[[int, int], bytes]:
+    """Bytes by place and number of the base64 that begins at ``start``, decoded where they are."""
+    def read(at: int, n: int) -> bytes:
+        first, stop = start + at // 3 * 4, start - -(at + n) // 3 * 4
+        run = body[first:stop].split("=", 1)[0]
+        return (unbase64(run[:len(run) - (len(run) % 4 == 1)]) or b"")[at % 3:at % 3 + n]
+
+    return read
+
+
 def is_openssh_key(data: bytes) -> bool:
     """Whether the fields fill the container exactly."""
-    return 0 < openssh_size(data) == len(data)
+    return 0 < openssh_size(lambda at, n: data[at:at + n]) == len(data)
+
+
+def is_encrypted_token(token: str) -> bool:
+    """Whether five parts are a header naming both ciphers, a wrapped key, a vector, a text and a mark of proper sizes."""
+    header, key, vector, text, mark = token.split(".")
+    try:
+        head = json.loads(unbase64(header) or b"")
+    except (ValueError, RecursionError):
+        return False
+    parts = [unbase64(p) for p in (key, vector, text, mark)]
+    return (isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(head.get("enc"), str)
+            and None not in parts and len(parts[1]) in (12, 16) and len(parts[2]) > 0 and len(parts[3]) in (16, 24, 32))
+
+
+def is_cipher_body(block: str, data: bytes) -> bool:
+    """Whether a PEM block names a cipher with a vector of its block size and holds whole blocks, three or more."""
+    found = CIPHER.search(block)
+    if not found:
+        return False
+    size = 16 if found[1] in WIDE_BLOCKS else 8
+    return len(found[2]) == 2 * size and len(data) >= 48 and len(data) % size == 0
+
+
+def crc24(data: bytes) -> int:
+    total = 0xB704CE
+    for byte in data:
+        total ^= byte << 16
+        for _ in range(8):
+            total = total << 1 ^ (0x1864CFB if total & 0x800000 else 0)
+    return total & 0xFFFFFF
+
+
+def packet_tags(data: bytes) -> list[int]:
+    """Tags of the OpenPGP packets that fill ``data`` exactly; none if they don't."""
+    tags, at = [], 0
+    while at < len(data):
+        head, at = data[at], at + 1
+        if not head & 0x80:
+            return []
+        if head & 0x40:
+            tag, first = head & 0x3F, data[at] if at < len(data) else 0xE0
+            if 0xE0 <= first < 0xFF:
+                return []  # parts of unknown total length, which keys don't have
+            n = 1 if first < 0xC0 else 2 if first < 0xE0 else 5
+            size = {1: first, 2: (first - 0xC0 << 8) + int.from_bytes(data[at + 1:at + 2], "big") + 0xC0,
+                    5: int.from_bytes(data[at + 1:at + 5], "big")}[n]
+        else:
+            tag, n = head >> 2 & 15, (1, 2, 4, 0)[head & 3]
+            size = int.from_bytes(data[at:at + n], "big") if n else len(data) - at
+        at += n + size
+        tags.append(tag)
+    return tags if at == len(data) else []
+
+
+def is_pgp_key(body: str) -> bool:
+    """Whether an armoured body is OpenPGP packets that begin with a secret key, under the checksum it states."""
+    lines = without_escapes(BREAKS.sub("\n", with_breaks(body))).split("\n")
+    joined = "".join(line.strip(" \t\r\"'`") for line in lines if ":" not in line)
+    stated = PGP_SUM.search(joined)
+    data = unbase64(joined[:stated.start()] if stated else joined)
+    if not data or packet_tags(data)[:1] != [5]:
+        return False
+    return not stated or crc24(data).to_bytes(3, "big") == unbase64(stated[1])
+
+
+def is_private_jwk(text: str) -> bool:
+    """Whether a JSON object, maybe escaped, is a key of a known type with all members of its private form."""
+    while True:
+        try:
+            key = json.loads(text)
+            break
+        except (ValueError, RecursionError):
+            if '\\"' not in text:
+                return False
+            text = text.replace('\\"', '"').replace("\\\\", "\\")
+    members = JWK_MEMBERS.get(key.get("kty") if isinstance(key.get("kty"), str) else "", ())
+    if not members or not all(isinstance(key.get(m), str) and key[m] for m in members):
+        return False
+    raw = {m: unbase64(key[m]) for m in members if m != "crv"}
+    if not all(raw.values()):
+        return False
+    if "crv" in members:
+        return len(raw["d"]) == CURVE_BYTES.get(key["crv"])
+    return len(raw["k"]) >= 16 if "k" in raw else 64 <= len(raw["n"]) and len(raw["d"]) <= len(raw["n"])
 
 
 def is_signed_token(header: str, payload: str) -> bool:
@@ -221,8 +331,7 @@ def joined_spans(text: str, block: re.Match, nested: bool) -> Iterator[Span]:
             if stop in line_end and is_der_key(unbase64(body[a:stop]) or b""):
                 yield Span(start, "der", line_end[stop])
         elif body.startswith(OPENSSH_64, a):
-            rest = body[a:].split("=", 1)[0]
-            stop = a - -4 * openssh_size(unbase64(rest[:len(rest) - (len(rest) % 4 == 1)]) or b"") // 3
+            stop = a - -4 * openssh_size(base64_reader(body, a)) // 3
             if stop in line_end and is_openssh_key(unbase64(body[a:stop]) or b""):
                 yield Span(start, "ssh", line_end[stop])
         elif body[a:a + 2] in ("30", "0x", "0X"):
@@ -256,8 +365,12 @@ def _confirmed(text: str, nested: bool) -> list[Span]:
     for m in PEM.finditer(text):
         lines = [x for x in m[2].split("\n") if ":" not in x]  # header lines of old encrypted blocks
         data = unbase64("".join(without_escapes(BREAKS.sub("\n", "\n".join(lines))).split()))
-        if data and (is_der_key(data) or is_openssh_key(data) or "ENCRYPTED" in m[2]):
+        if data and (is_der_key(data) or is_openssh_key(data) or is_cipher_body(m[2], data)):
             found.append(Span(m.start(), "pem", m.end()))
+    found += [Span(m.start(), "pgp", m.end()) for m in PGP.finditer(text) if is_pgp_key(m[1])]
+    found += [Span(m.start(), "jwe", m.end()) for m in ENCRYPTED.finditer(text) if is_encrypted_token(m[0])]
+    if KEY_TYPE.search(text):
+        found += [Span(m.start(), "jwk", m.end()) for m in OBJECT.finditer(text) if KEY_TYPE.search(m[0]) and is_private_jwk(m[0])]
     for m in BASE64_RUN.finditer(text):
         data = unbase64(m[0])
         if not data:

@@ -9,7 +9,8 @@ neither files nor documents bound the parallelism: a document may span many bloc
 
 Writing: each task appends the ids of its documents and a separator after each to a
 file of its own in the shared folder. The manifest of written rows names the files
-of the tasks that counted, so files of lost attempts are never read.
+of the tasks that counted; given its names, files of lost or repeated attempts are not read.
+A vocabulary whose ids don't fit the width, and a separator that texts can yield, are refused.
 
 Defined cases: a null or empty text is its separator alone; tokens after a file's last
 separator form a document that is not closed; an empty file has none; odd bytes at the
@@ -44,6 +45,16 @@ def _uri(path: str) -> str:
     return path if "://" in path or path.startswith("/") else path.replace("file:", "file://", 1)
 
 
+def _check(tokenizer, separator: int, width: int) -> None:
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    largest = max(separator, *vocabulary.values())
+    if largest >= 256 ** width:
+        raise ValueError(f"ids up to {largest} need more than {width} bytes")
+    controls = tokenizer.get_added_tokens_decoder()
+    if tokenizer.id_to_token(separator) is not None and not (separator in controls and controls[separator].special):
+        raise ValueError(f"texts can yield the separator {separator}")
+
+
 def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | None = None, separator: int = SEPARATOR,
                  width: int = WIDTH) -> tuple[str, DataFrame]:
     """Write the ids of ``docs`` (doc_id, text) to flat files; returns the folder and the manifest (file, ordinal, doc_id)."""
@@ -57,6 +68,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
         store.create_dir(path, recursive=True)
         name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.tokens"
         coder, done = encoder(tokenizer, special=False), 0
+        _check(coder.tokenizer, separator, width)
         with store.open_output_stream(f"{path}/{name}") as out:
             for batch in (b for group in ([first], batches) for b in group):
                 for piece in slices(batch.column(1), 4 << 20):
@@ -77,13 +89,16 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
     return target, cut_lineage(shipped(rows).mapInArrow(run, MANIFEST), "manifest")
 
 
-def token_blocks(spark: SparkSession, folder: str, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(file, block, start, tokens): the blocks of all token files of a folder, in tokens."""
+def token_blocks(spark: SparkSession, folder: str, width: int = WIDTH, block_bytes: int = BLOCK_BYTES,
+                 files: DataFrame | None = None) -> DataFrame:
+    """(file, block, start, tokens): the blocks, in tokens, of a folder's token files, all or those named by ``files`` (file)."""
     step = max(1, block_bytes // width)
-    files = spark.read.format("binaryFile").load(folder).select(
+    found = spark.read.format("binaryFile").load(folder).select(
         F.element_at(F.split("path", "/"), -1).alias("file"), F.expr(f"length div {width}").alias("size"))
+    if files is not None:
+        found = found.join(files.select("file").distinct(), "file", "left_semi")
     starts = F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(step).cast("long"))
-    return (files.filter("size > 0").select("file", "size", F.posexplode(starts).alias("block", "start"))
+    return (found.filter("size > 0").select("file", "size", F.posexplode(starts).alias("block", "start"))
             .select("file", "block", "start", F.least(F.lit(step), F.col("size") - F.col("start")).alias("tokens")))
 
 
@@ -133,9 +148,12 @@ def document_sizes(places: DataFrame) -> DataFrame:
 
 
 def count_tokens(spark: SparkSession, folder: str, separator: int = SEPARATOR, width: int = WIDTH,
-                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(file, ordinal, start, tokens, closed) of every document in the token files of ``folder``."""
-    blocks = token_blocks(spark, folder, width, block_bytes)
+                 block_bytes: int = BLOCK_BYTES, files: DataFrame | None = None) -> DataFrame:
+    """(file, ordinal, start, tokens, closed) of every document in the token files of ``folder``.
+
+    Where a manifest is at hand, ``files`` should be it: a folder may hold files of attempts that did not count.
+    """
+    blocks = token_blocks(spark, folder, width, block_bytes, files)
     return document_sizes(cut_lineage(separator_places(blocks, folder, separator, width), "separators"))
 
 
@@ -144,6 +162,6 @@ def document_tokens(docs: DataFrame) -> DataFrame:
     folder, manifest = write_tokens(docs)
     if manifest.isEmpty():
         return docs.sparkSession.createDataFrame([], "doc_id long, ordinal long, start long, n_tokens long")
-    found = count_tokens(docs.sparkSession, folder)
+    found = count_tokens(docs.sparkSession, folder, files=manifest)
     return manifest.join(found, ["file", "ordinal"], "left").select(
         "doc_id", "ordinal", "start", F.col("tokens").alias("n_tokens"))

@@ -121,3 +121,17 @@ def test_workers_get_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows 2" in done.stdout, done.stderr[-2000:]
+
+
+@pytest.mark.parametrize(("window", "stretch"), [(64, 1), (1 << 16, 1 << 19)])
+def test_windows_wider_than_a_stretch(make_docs, monkeypatch, window, stretch):
+    monkeypatch.setattr(packing, "STRETCH", stretch)
+    count = 30 if window < 1000 else 120
+    docs = [(i, "word. " * (40 * window // 64 if i % 2 else 3)) for i in range(count)]
+    rows = pack(make_docs(docs).coalesce(1), window, with_ids=window < 1000).collect()
+    if window < 1000:
+        check(rows, docs, window)
+    total = sum(r.length for r in rows)
+    assert total == sum(2 * t.count("word") + 1 for _, t in docs) and max(r.offset + r.length for r in rows) <= window
+    sizes = {r.sequence_id: r.sequence_tokens for r in rows}.values()
+    assert sum(window - n for n in sizes if n & (n - 1)) < 0.1 * total

@@ -3,12 +3,13 @@ import hashlib
 import json
 import random
 import re
+import time
 
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 
-from bidlens.llm.secret_scan import BASE_KINDS, HEX, MAYBE, base_spans, redact, redact_text, scan, scan_text
+from bidlens.llm.secret_scan import BASE_KINDS, HEX, MAYBE, base_spans, crc24, redact, redact_text, scan, scan_text
 
 ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?[ ]*[:=][ ]*["']?([A-Za-z0-9+/_.=-]+)""")
 
@@ -171,3 +172,82 @@ def test_keys_in_strings_are_redacted(make_docs):
     assert [r.text for r in redact(docs).collect()] == [
         '{"private_key": "[SECRET]\\n", "id": 7}', "x\n[SECRET]\ny", "x\n[SECRET]\ny"]
     assert [r.n_confirmed for r in scan(docs).collect()] == [2, 1, 1]
+
+
+def armoured(data, end="\n", total=None):
+    total = crc24(data) if total is None else total
+    lines = ["-----BEGIN PGP PRIVATE KEY BLOCK-----", "Version: x 1.0", "", *wrapped(b64(data), 64).split("\n"),
+             "=" + b64(total.to_bytes(3, "big")), "-----END PGP PRIVATE KEY BLOCK-----"]
+    return end.join(lines)
+
+
+def packet(tag, content, new):
+    n = len(content)
+    if new:
+        size = bytes([n]) if n < 192 else bytes([(n - 192 >> 8) + 192, n - 192 & 255])
+        return bytes([0xC0 | tag]) + size + content
+    return bytes([0x80 | tag << 2 | 1]) + n.to_bytes(2, "big") + content
+
+
+DRAW = random.Random(8)
+SECRET_PACKET, NAME = b"\4" + DRAW.randbytes(400), b"someone"
+
+
+@pytest.mark.parametrize("new", [False, True])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n"])
+def test_openpgp_blocks(new, end):
+    key = packet(5, SECRET_PACKET, new) + packet(13, NAME, new)
+    assert [s.kind for s in scan_text(f"a {armoured(key, end)} b")] == ["pgp"]
+    for wrong in (key[:-1], packet(6, SECRET_PACKET, new) + packet(13, NAME, new), b"\0" + key):
+        assert "pgp" not in [s.kind for s in scan_text(armoured(wrong, end))]
+    assert "pgp" not in [s.kind for s in scan_text(armoured(key, end, total=1))]
+
+
+def test_encrypted_pem_blocks_need_their_structure():
+    def block(body, head="Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + "0A" * 16):
+        return f"-----BEGIN RSA PRIVATE KEY-----\n{head}\n\n{wrapped(b64(body), 64)}\n-----END RSA PRIVATE KEY-----"
+
+    body = DRAW.randbytes(608)
+    assert [s.kind for s in scan_text(block(body))] == ["pem"]
+    assert [s.kind for s in scan_text(json.dumps(block(body)))] == ["pem"]
+    assert [s.kind for s in scan_text(block(body[:600], "Proc-Type: 4,ENCRYPTED\nDEK-Info: DES-EDE3-CBC," + "0a" * 8))] == ["pem"]
+    for wrong in (block(b"hello"), block(body[:600]), block(body, "Proc-Type: 4,ENCRYPTED"),
+                  block(body, "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A0A")):
+        assert "pem" not in [s.kind for s in scan_text(wrong)]
+
+
+def jwe(enc="A256GCM", key=256, vector=12, text=40, mark=16):
+    head = url64(json.dumps({"alg": "RSA-OAEP", **({"enc": enc} if enc else {})}).encode())
+    return ".".join([head, *(url64(DRAW.randbytes(n)) for n in (key, vector, text, mark))])
+
+
+def test_encrypted_tokens():
+    for token in (jwe(), jwe(key=0), jwe(vector=16, mark=32)):
+        assert [s for s in scan_text(f"a {token} b") if s.kind == "jwe"] == [(2, "jwe", 2 + len(token))]
+    for token in (jwe(enc=None), jwe(vector=5), jwe(mark=3), jwe() + ".abc"):
+        assert not [s for s in scan_text(f"a {token} b") if s.kind == "jwe"]
+
+
+def test_private_key_objects():
+    d, n = url64(DRAW.randbytes(32)), url64(DRAW.randbytes(256))
+    good = [{"kty": "EC", "crv": "P-256", "x": d, "y": d, "d": d}, {"kty": "OKP", "crv": "Ed25519", "x": d, "d": d, "kid": "a"},
+            {"kty": "RSA", "n": n, "e": "AQAB", "d": n}, {"kty": "oct", "k": d}]
+    bad = [{"kty": "EC", "crv": "P-256", "x": d, "y": d}, {"kty": "EC", "crv": "P-384", "x": d, "y": d, "d": d},
+           {"kty": "RSA", "n": n, "e": "AQAB"}, {"kty": "oct", "k": "short"}, {"kty": 1, "d": d}, {"kty": "RSA", "n": n, "e": "AQAB", "d": 5}]
+    for key in good:
+        for text in (json.dumps(key), json.dumps(key, indent=2), json.dumps(json.dumps(key)), json.dumps({"keys": [key]})):
+            spans = [s for s in scan_text(text) if s.kind == "jwk"]
+            assert len(spans) == 1 and text[spans[0].start] == "{" and text[spans[0].end - 1] == "}"
+    assert not [s for key in bad for s in scan_text(json.dumps(key)) if s.kind == "jwk"]
+
+
+def test_new_kinds_pass_the_first_pattern_and_take_linear_time():
+    key = packet(5, SECRET_PACKET, False)
+    texts = [armoured(key), jwe(), json.dumps({"kty": "oct", "k": "0" * 32}), json.dumps(json.dumps({"kty": "oct", "k": "0" * 32}))]
+    assert all(pc.match_substring_regex(pa.array(texts), MAYBE).to_pylist())
+    start = b64(b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + field(b"p" * 40))
+    began = time.process_time()
+    for text in ((start + "\n") * 8000, "{" * 300_000 + '"kty"', "eyJhbGciOi" * 30_000, "eyJhbGciOi." * 30_000,
+                 "-----BEGIN PGP PRIVATE KEY BLOCK-----" * 5000, '{"kty":"oct"}' * 5000):
+        assert not [s for s in scan_text(text) if s.kind in ("jwe", "pgp", "jwk", "ssh")]
+    assert time.process_time() - began < 30

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from bidlens.llm.separators import SEPARATOR, count_tokens, document_tokens, write_tokens
 from bidlens.llm.tokens import encoder
@@ -41,3 +42,19 @@ def test_files_hold_ids_and_separators_alone(make_docs, tmp_path):
     assert ids.tolist() == [*own.encode("a b", add_special_tokens=False).ids, SEPARATOR,
                             *own.encode("c", add_special_tokens=False).ids, SEPARATOR]
     assert [(r.ordinal, r.doc_id) for r in manifest.orderBy("ordinal").collect()] == [(0, 1), (1, 2)]
+
+
+def test_files_of_attempts_that_did_not_count_are_not_read(spark, make_docs, tmp_path):
+    folder, manifest = write_tokens(make_docs([(1, "a b"), (2, "c")]).coalesce(1), str(tmp_path / "x"))
+    written, = (tmp_path / "x").iterdir()
+    (tmp_path / "x" / "part-000000-other.tokens").write_bytes(written.read_bytes())
+    assert count_tokens(spark, folder).count() == 4
+    rows = count_tokens(spark, folder, files=manifest).collect()
+    assert sorted((r.file, r.ordinal, r.tokens) for r in rows) == [(written.name, 0, 2), (written.name, 1, 1)]
+
+
+@pytest.mark.parametrize("options", [{"width": 1}, {"separator": 70000}, {"separator": 320}])
+def test_ids_that_don_t_fit_and_separators_of_texts_are_refused(make_docs, tmp_path, options):
+    with pytest.raises(Exception, match="need more than|texts can yield"):
+        write_tokens(make_docs([(1, "a b")]), str(tmp_path / "x"), **options)
+    write_tokens(make_docs([(1, "a b")]), str(tmp_path / "y"), separator=70000, width=4)
