@@ -8,14 +8,17 @@ sketch; each range is ordered on its own and they are joined by running totals.
 Both ways place the same rows and share all arithmetic, so they agree to the bit: the
 sketch only decides where to cut.
 
-Quantiles of whole columns are one path at any size: a sketch of each column cuts it
-into ranges, the rows per range are counted, and only values of ranges that hold a
-wanted row are shuffled.
+Quantiles of whole columns are one path at any size: a sketch brackets each wanted row
+by two values, the rows below these are counted in the tasks, and only rows inside
+a bracket are shuffled.
 """
 
 from __future__ import annotations
 
+import math
+import operator
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +28,8 @@ from bidlens.session import PIN_ROWS, cut_lineage, pin_small
 GROUP_LIMIT = 1_000_000  # distinct values one task may order
 RANGES = 256
 SKETCH_ACCURACY = 2000
+BRACKET_ROWS = 20_000  # rows between two values that one task orders in a fit
+BRACKETS_PER_PASS = 100  # wanted quantiles, of all columns, in one pass
 PIN_CUTS = 5000  # groups whose cuts (2 KB each) are broadcast
 
 
@@ -184,30 +189,124 @@ def grouped_medians(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
         *[F.max(F.when(F.col("stat") == c, F.col("q0"))).alias(c) for c in cols])
 
 
-def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                  ranges: int = RANGES) -> dict[str, list[float]]:
+@dataclass
+class _Gap:
+    """Rows of a column strictly between two of its values (None: no bound), ``before`` smaller ones, and the rows wanted of them."""
+
+    column: str
+    low: float | None
+    high: float | None
+    before: int
+    rows: int
+    wanted: list[int]
+
+    def holds(self, value: Column) -> Column:
+        inside = F.lit(True)
+        if self.low is not None:
+            inside = inside & (value > F.lit(self.low))
+        return inside if self.high is None else inside & (value < F.lit(self.high))
+
+
+def _wanted_rows(n: int, probs: Sequence[float]) -> list[tuple[int, int, float]]:
+    """Lower row, upper row and the share of the upper row of each quantile of ``n`` rows, as ``_position`` has them."""
+    places = []
+    for p in probs:
+        at = (n - 1) * float(p)
+        near = float(round(at)) if abs(at - round(at)) < 1e-9 else at
+        places.append((math.floor(near), math.ceil(near), near - math.floor(near)))
+    return places
+
+
+def _brackets(shares: Sequence[float], accuracy: int) -> Column:
+    """Shares a little below and above the wanted ones, by more than a sketch of that accuracy errs."""
+    slack = 1.5 / accuracy
+    return F.lit(sorted({min(max(s + d, 0.0), 1.0) for s in shares for d in (-slack, slack)}))
+
+
+def _cut(wide: DataFrame, gaps: list[_Gap], cuts: list[list[float]], found: dict[tuple[str, int], float]) -> list[_Gap]:
+    """Cut gaps at the given values of theirs; rows that are one of these are found, the others lie in a smaller gap."""
+    marks = [(g, c) for g, values in zip(gaps, cuts) for c in values]
+    counts = wide.agg(*[F.count_if(op(F.col(g.column), F.lit(c))) for g, c in marks for op in (operator.lt, operator.le)]).head()
+    below = iter(zip(marks, counts[::2], counts[1::2]))
+    smaller = []
+    for gap, values in zip(gaps, cuts):
+        low, before, end = gap.low, gap.before, gap.before + gap.rows
+        for value in [*values, None]:
+            less, upto = next(below)[1:] if value is not None else (end, end)
+            wanted = [w for w in gap.wanted if before <= w < less]
+            if wanted:
+                smaller.append(_Gap(gap.column, low, gap.high if value is None else value, before, less - before, wanted))
+            found.update({(gap.column, w): value for w in gap.wanted if less <= w < upto})
+            low, before = value, upto
+    return smaller
+
+
+def _values_at(wide: DataFrame, gaps: list[_Gap], found: dict[tuple[str, int], float]) -> None:
+    """Order the rows of gaps, each few, and add those wanted to ``found``."""
+    number = F.lit(None).cast("int")
+    columns = sorted({g.column for g in gaps})
+    for i, g in enumerate(gaps):
+        number = F.when((F.col("stat") == g.column) & g.holds(F.col("value")), F.lit(i)).otherwise(number)
+    inside = wide.unpivot([], columns, "stat", "value").filter(F.col("value").isNotNull()).select(
+        "value", number.alias("gap")).filter(F.col("gap").isNotNull())
+    counted = inside.groupBy("gap", "value").agg(F.count(F.lit(1)).alias("n"))
+    placed = counted.withColumn("run", F.coalesce(F.sum("n").over(_running(["gap"], "value")), F.lit(0)))
+    asked = wide.sparkSession.createDataFrame([(i, w - g.before) for i, g in enumerate(gaps) for w in g.wanted], "gap int, at long")
+    hit = placed.join(F.broadcast(asked), "gap").filter((F.col("run") <= F.col("at")) & (F.col("at") < F.col("run") + F.col("n")))
+    for row in hit.select("gap", "at", "value").collect():
+        gap = gaps[row["gap"]]
+        found[gap.column, row["at"] + gap.before] = row["value"]
+
+
+def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], ranges: int = SKETCH_ACCURACY,
+                  few: int = BRACKET_ROWS) -> dict[str, list[float]]:
     """Quantiles of whole columns as parameters: one row per column reaches the driver.
 
-    ``df`` is read three times: for the sketch, for the counts per range, and for the
-    values of the wanted ranges, the only rows that are shuffled.
+    A sketch that cuts a column into about ``ranges`` parts brackets each wanted row by
+    two of the column's values. The rows below and at these are counted in one pass without a shuffle, which
+    tells exactly between which values a wanted row lies, also where the sketch missed it. Gaps of more
+    than ``few`` rows are bracketed again; then only rows inside gaps are shuffled and ordered, gap by gap.
+    Wide tables are read anew for every few columns, so that no plan grows with their number.
     """
-    wide = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    known = [F.when(~F.isnan(c), F.col(c)) for c in wide.columns]
-    grid = F.lit([i / ranges for i in range(1, ranges)])
-    cuts = wide.agg(*[F.percentile_approx(k, grid, SKETCH_ACCURACY).alias(c) for k, c in zip(known, wide.columns)]).head()
-    edges = F.create_map(*[x for c in wide.columns for x in (F.lit(c), F.lit(cuts[c] or []).cast("array<double>"))])
-    long = (wide.select(*[k.alias(c) for k, c in zip(known, wide.columns)]).unpivot([], wide.columns, "stat", "value")
-            .filter(F.col("value").isNotNull()))
-    ranged = long.withColumn("_range", F.size(F.filter(edges[F.col("stat")], lambda c: c < F.col("value"))))
-    counts = ranged.withColumn("n", F.lit(1).cast("bigint"))
-    # At most one row per column and range.
-    target = F.broadcast(_range_totals(counts, ["stat"], ["n"]).filter(_wanted(probs)))
-    values = (ranged.join(target, ["stat", "_range"])
-              .groupBy("stat", "_range", "value", "_ahead_n", "n_total").agg(F.count(F.lit(1)).alias("n")))
-    run = F.col("_ahead_n") + F.coalesce(F.sum("n").over(_running(["stat", "_range"], "value")), F.lit(0))
-    rows = _picked(values.withColumn("_run", run), ["stat"], probs).collect()
-    found = {row["stat"]: [row[f"q{i}"] for i in range(len(probs))] for row in rows}
-    return {c: found.get(f"c{i}", [None] * len(probs)) for i, c in enumerate(cols)}
+    if not probs:
+        return {c: [] for c in cols}
+    step = max(1, BRACKETS_PER_PASS // len(probs))
+    fitted: dict[str, list[float]] = {}
+    for at in range(0, len(cols), step):
+        fitted |= _fit_some(df, cols[at:at + step], probs, ranges, few)
+    return fitted
+
+
+def _fit_some(df: DataFrame, cols: Sequence[str], probs: Sequence[float], ranges: int, few: int) -> dict[str, list[float]]:
+    names = [f"c{i}" for i in range(len(cols))]
+    wide = df.select(*[F.col(c).cast("double").alias(n) for n, c in zip(names, cols)])
+    wide = wide.select(*[F.when(~F.isnan(n), F.col(n)).alias(n) for n in names])
+    edges = _brackets(probs, ranges)
+    row = wide.agg(*[f.alias(f"{k}{n}") for n in names for k, f in (
+        ("n", F.count(n)), ("at", F.percentile_approx(n, edges, ranges)))]).head()
+    places = {n: _wanted_rows(row[f"n{n}"], probs) if row[f"n{n}"] else [] for n in names}
+    found: dict[tuple[str, int], float] = {}
+    gaps = [_Gap(n, None, None, 0, row[f"n{n}"], sorted({w for low, high, _ in places[n] for w in (low, high)}))
+            for n in names if places[n]]
+    ready = [g for g in gaps if g.rows <= few]
+    open_gaps = [g for g in gaps if g.rows > few]
+    cuts = [sorted(set(row[f"at{g.column}"])) for g in open_gaps]
+    while open_gaps:
+        smaller = _cut(wide, open_gaps, cuts, found)
+        ready += [g for g in smaller if g.rows <= few]
+        open_gaps = [g for g in smaller if g.rows > few]
+        if open_gaps:
+            cuts = [sorted(set(c)) for c in wide.agg(*[
+                F.percentile_approx(F.when(g.holds(F.col(g.column)), F.col(g.column)),
+                                    _brackets([(w - g.before) / max(g.rows - 1, 1) for w in g.wanted], ranges), ranges)
+                for g in open_gaps]).head()]
+    if ready:
+        _values_at(wide, ready, found)
+    results = {}
+    for n, c in zip(names, cols):
+        values = [(found[n, low], found[n, high], part) for low, high, part in places[n]]
+        results[c] = [low + (high - low) * part for low, high, part in values] or [None] * len(probs)
+    return results
 
 
 def nth_smallest(df: DataFrame, order: str, count: int, limit: int = GROUP_LIMIT):

@@ -152,3 +152,32 @@ def test_blends_tried_in_several_passes(skewed, monkeypatch):
     whole = blend.blend_grid(rows, ["m0", "m1", "m2"], "x", 5, mean_absolute_error)
     monkeypatch.setattr(blend, "WEIGHTINGS_PER_PASS", 4)
     assert same(blend.blend_grid(rows, ["m0", "m1", "m2"], "x", 5, mean_absolute_error), whole) and whole.count() == 21
+
+
+@pytest.mark.parametrize("ranges", [40, 2000])
+@pytest.mark.parametrize("few", [100, 20_000])
+def test_brackets_give_exact_quantiles(spark, ranges, few):
+    n = 5003
+    rows = spark.range(n).select(
+        (F.pmod(F.col("id") * 7919, F.lit(100003)) * F.lit(12.34567)).alias("spread"),
+        F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.pmod(F.col("id") * 31, F.lit(40)).cast("double")).alias("ties"),
+        F.lit(2.5).alias("flat"), F.when(F.col("id") < 2, F.col("id").cast("double")).alias("two"),
+        F.when(F.col("id") % 2 == 0, F.lit(float("nan"))).otherwise(-F.col("id") ** 3).alias("gone"),
+        F.when(F.col("id") % 5 == 0, F.lit(float("inf"))).when(F.col("id") % 5 == 1, F.lit(float("-inf")))
+        .otherwise(F.col("id") % 7).alias("ends"), F.lit(None).cast("double").alias("none"))
+    probs = [0.0, 0.1, 0.25, 0.5, 0.731, 0.9, 0.95, 1.0]
+    cols = rows.columns
+    found = ranking.fit_quantiles(rows, cols, probs, ranges, few)
+    whole = {r["stat"]: [r[f"q{i}"] for i in range(len(probs))] for r in ranking.exact_quantiles(rows, cols, probs).collect()}
+    assert found["none"] == [None] * len(probs)
+    assert {c: found[c] for c in whole if c != "ends"} == {c: v for c, v in whole.items() if c != "ends"}
+    assert list(map(str, found["ends"])) == list(map(str, whole["ends"]))
+
+
+def test_brackets_of_many_columns(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "BRACKETS_PER_PASS", 7)
+    rows = spark.range(500).select(*[(F.col("id") * (i + 1) % 101).alias(f"x{i}") for i in range(9)])
+    probs = [0.1, 0.5, 0.9]
+    whole = {r["stat"]: [r["q0"], r["q1"], r["q2"]] for r in ranking.exact_quantiles(rows, rows.columns, probs).collect()}
+    assert ranking.fit_quantiles(rows, rows.columns, probs, few=20) == whole
+    assert ranking.fit_quantiles(rows, rows.columns, []) == {c: [] for c in rows.columns}
