@@ -98,14 +98,16 @@ def paired(group: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np
 
     Rows of one group pair when they are of different sides, or of any two when the side is -1.
     """
-    n, apart = len(group), 1
-    left = np.arange(n - 1)
-    while len(left):
-        left = left[left + apart < n]
-        left = left[group[left] == group[left + apart]]
+    end = np.searchsorted(group, group, "right")
+    sided, apart = (side >= 0).any(), 1
+    left = np.arange(len(group))
+    while len(left := left[left + apart < end[left]]):
         right = left + apart
-        met = (side[left] < 0) | (side[left] != side[right])
-        yield (left, right) if met.all() else (left[met], right[met])
+        if sided:
+            met = (side[left] < 0) | (side[left] != side[right])
+            yield left[met], right[met]
+        else:
+            yield left, right
         apart += 1
 
 

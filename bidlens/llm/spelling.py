@@ -8,8 +8,9 @@ each word is entered once for every two parts left out, under the others' exact
 
 1. Vocabulary: words are counted with partial sums before the shuffle.
 2. Signatures: ``PARTS`` over two entries per word, an equi-join on exact content.
-3. Words that share a signature are compared in blocks (``buckets``). A 64-bit
-   parity sketch of the vectors, exact lengths, and last the letters themselves decide.
+3. Words that share a signature are compared in blocks (``buckets``). 64-bit parity sketches of the
+   vectors and of the neighbouring letters, which one edit changes in few bits, exact
+   lengths, and last the letters themselves decide.
    A pair that shares several signatures counts at the first of them only, so nothing
    has to be made distinct, and each word leaves a block with one row: its near words' number and the best.
 4. A word's form is its near word of the largest count, if that is ``RATIO`` times its
@@ -44,6 +45,7 @@ RATIO = 10
 DAMAGE = 31  # a run loses a letter when this divides its checksum
 PARTS = 6
 WIDE = 64  # letters of a word compared in numpy
+SETTLED = 1 << 14  # pairs whose letters are compared at once
 CELLS = 1 << 21  # letters of words laid out side by side at once
 LEFT_OUT = list(combinations(range(PARTS), 2))
 # Number of the first signature that leaves both parts out.
@@ -144,21 +146,38 @@ def changed_places(a: str, b: str) -> tuple[tuple[int, int], tuple[int, int]] |
     return ((ord(a[at]), a.count(a[at]) - 1), longer) if a[at + 1:] == b[at + 1:] else None
 
 
-def near_rows(letters: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """Which pairs of different words (rows of ``letters``) are near and meet at their first shared signature ``number``."""
+def neighbour_sketch(letters: np.ndarray) -> np.ndarray:
+    """64 bits per word, each the parity of its neighbouring letters that hash to it; one edit flips four at most."""
+    pair = letters[:, :-1].astype(np.uint64) << np.uint64(32) | letters[:, 1:]
+    bit = np.uint64(1) << (mixed(pair) >> np.uint64(58))
+    return np.bitwise_xor.reduce(np.where(letters[:, 1:] == 0, np.uint64(0), bit), axis=1)
+
+
+def from_the_end(letters: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The words' rows read backwards, zero after their beginnings."""
+    at = size[:, None] - 1 - np.arange(letters.shape[1])
+    return np.where(at >= 0, np.take_along_axis(letters, np.maximum(at, 0), axis=1), 0).astype(letters.dtype)
+
+
+def near_rows(letters: np.ndarray, backwards: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray,
+              number: np.ndarray) -> np.ndarray:
+    """Which pairs of different words (rows of ``letters``) are near and meet at their first shared signature ``number``.
+
+    Lengths differ by one at most. The common beginning and end together reach all letters but one.
+    """
     swap = size[i] > size[j]
     a, b = np.where(swap, j, i), np.where(swap, i, j)
+    at = (letters[a] != letters[b]).argmax(axis=1)
+    near = np.flatnonzero(at + (backwards[a] != backwards[b]).argmax(axis=1) >= size[b] - 1)
+    a, b, at = a[near], b[near], at[near]
     x, y = letters[a], letters[b]
     row = np.arange(len(a))
-    at = (x != y).argmax(axis=1)
-    # The rest after the first difference, with the longer word one letter ahead, is the same.
-    wide = np.concatenate([y[:, 1:], np.zeros((len(y), 1), y.dtype)], axis=1)
-    ahead = np.where((size[a] == size[b])[:, None], np.concatenate([x[:, 1:], np.zeros((len(x), 1), x.dtype)], axis=1), x)
-    near = ((ahead == wide) | (np.arange(letters.shape[1]) < at[:, None])).all(axis=1)
     old, new = x[row, at], y[row, at]
-    came = _part(new, (y == new[:, None]).sum(axis=1) - 1)
-    went = np.where(size[a] == size[b], _part(old, (x == old[:, None]).sum(axis=1) - 1), came)
-    return near & (FIRST[went, came] == number[i])
+    came = _part(new.astype(np.int64), (y == new[:, None]).sum(axis=1) - 1)
+    went = np.where(size[a] == size[b], _part(old.astype(np.int64), (x == old[:, None]).sum(axis=1) - 1), came)
+    found = np.zeros(len(i), bool)
+    found[near] = FIRST[went, came] == number[i[near]]
+    return found
 
 
 def _best_of(i: np.ndarray, j: np.ndarray, words: list[str], n: np.ndarray) -> pa.RecordBatch:
@@ -182,21 +201,42 @@ def near_words(words: DataFrame, block: int = BLOCK_ROWS) -> DataFrame:
         parity, number = batch.column("parity").to_numpy().view(np.uint64), batch.column("number").to_numpy()
         size = np.array([len(t) for t in texts])
         letters = letter_rows([t if len(t) <= WIDE else "" for t in texts])
+        neighbours = neighbour_sketch(letters)
+        if letters.max(initial=0) < 256:
+            letters = letters.astype(np.uint8)
+        backwards = from_the_end(letters, np.where(size <= WIDE, size, 0))
         found: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting = 0
+
+        def settle() -> None:
+            i, j = (np.concatenate(ends) for ends in zip(*held))
+            held.clear()
+            near = near_rows(letters, backwards, size, i, j, number)
+            found.append((i[near], j[near]))
+
         for i, j in paired(group, side):
-            odd = np.abs(size[i] - size[j])
-            flips = np.bitwise_count(parity[i] ^ parity[j])
-            stays = (odd <= 1) & np.where(odd == 1, flips == 1, flips <= 2)
-            i, j = i[stays], j[stays]
+            close = np.bitwise_count(parity[i] ^ parity[j]) <= 2
+            i, j = i[close], j[close]
+            close = np.abs(size[i] - size[j]) <= 1
+            i, j = i[close], j[close]
             long = np.maximum(size[i], size[j]) > WIDE
-            for a, b in zip(i[long].tolist(), j[long].tolist()):
-                places = changed_places(*sorted((texts[a], texts[b]), key=len))
-                if places and FIRST[tuple(int(_part(*p)) for p in np.array(places))] == number[a]:
-                    found.append((np.array([a]), np.array([b])))
-            i, j = i[~long], j[~long]
+            if long.any():
+                for a, b in zip(i[long].tolist(), j[long].tolist()):
+                    places = changed_places(*sorted((texts[a], texts[b]), key=len))
+                    if places and FIRST[tuple(int(_part(*p)) for p in np.array(places))] == number[a]:
+                        found.append((np.array([a]), np.array([b])))
+                i, j = i[~long], j[~long]
+            close = np.bitwise_count(neighbours[i] ^ neighbours[j]) <= 4
+            i, j = i[close], j[close]
             if len(i):
-                near = near_rows(letters, size, i, j, number)
-                found.append((i[near], j[near]))
+                held.append((i, j))
+                waiting += len(i)
+            if waiting > SETTLED:
+                settle()
+                waiting = 0
+        if held:
+            settle()
         if sum(len(i) for i, _ in found):
             yield _best_of(*(np.concatenate(side) for side in zip(*found)), texts, n)
 
