@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows a lookup table may have before it is no longer pinned for broadcast.
 PIN_ROWS = 100_000
+_inner_home: ContextVar[str | None] = ContextVar("inner_home", default=None)  # of the ``settled`` step under way
 
 
 def build_session(app: str = "bidlens", master: str | None = None, **conf) -> SparkSession:
@@ -49,17 +52,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def _stage_home(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/bidlens/{spark.sparkContext.applicationId}"
+    return _inner_home.get() or f"{shared_dir(spark)}/bidlens/{spark.sparkContext.applicationId}"
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
     return f"{_stage_home(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _drop(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Remove the stages written by this application, once its results are saved."""
-    home = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stage_home(spark))
-    home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(home, True)
+    _drop(spark, _stage_home(spark))
+
+
+def settled(spark: SparkSession, build: Callable[[], DataFrame], label: str = "result") -> DataFrame:
+    """The frame that ``build`` returns as a written table; the stages written on the way are removed."""
+    target, inner = stage_path(spark, label), stage_path(spark, f"{label}-steps")
+    before = _inner_home.set(inner)
+    try:
+        return cut_lineage(build(), path=target)
+    finally:
+        _inner_home.reset(before)
+        _drop(spark, inner)
 
 
 def cut_lineage(df: DataFrame, label: str = "stage", path: str | None = None) -> DataFrame:
