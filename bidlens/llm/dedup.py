@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidlens.llm.rows import numbered, unnumbered
-from bidlens.session import cut_lineage
+from bidlens.session import cut_lineage, settled
 
 FIRST_DIGIT = 64
 WIDENING = 8
@@ -75,7 +75,8 @@ def radix_groups(rows: DataFrame, first: int = FIRST_DIGIT, widening: int = WIDE
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: the id that stays, the group's size, whether this row stays, and the text's SHA-256."""
-    return radix_groups(numbered(docs, ["doc_id", "text"])).select(
+    groups = settled(docs.sparkSession, lambda: radix_groups(numbered(docs, ["doc_id", "text"])), "duplicates")
+    return groups.select(
         "doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"),
         (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
@@ -83,5 +84,5 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that equal another one which stays; all columns are kept."""
     rows = numbered(docs)
-    dropped = radix_groups(rows).filter("row <> keep_row").select("row")
+    dropped = settled(docs.sparkSession, lambda: radix_groups(rows).filter("row <> keep_row").select("row"), "dropped")
     return unnumbered(rows.join(dropped, "row", "left_anti"))

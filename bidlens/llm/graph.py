@@ -17,9 +17,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large and small stars: each node passes its smallest neighbour on,
     first to its larger neighbours, then to its smaller ones, until every edge points
-    to its component's smallest node. Minima are combined before the shuffle and written
-    before they are joined, so that a hub is a skewed join, which adaptive execution splits. Rounds
-    are logarithmic, and each round is a written table.
+    to its component's smallest node. Minima are combined before the shuffle, and a
+    node's among all its neighbours is written before it is joined, so that a hub is a skewed join,
+    which adaptive execution splits. Rounds are logarithmic, and each is a written table.
     """
     own = F.col("a") != F.col("b")
     stars = cut_lineage(edges.filter(own).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
@@ -28,8 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = stars.union(stars.select("b", "a"))
         low = cut_lineage(both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")), "low")
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = cut_lineage(large.distinct(), "large")
-        low = cut_lineage(large.groupBy("a").agg(F.min("b").alias("low")), "low")
+        low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", "low"), F.struct(F.col("b").alias("a"), "low"))).alias("e"))
         stars = cut_lineage(small.select("e.a", F.col("e.low").alias("b")).filter(own).distinct(), "edges")
         before, state = state, _fingerprint(stars)

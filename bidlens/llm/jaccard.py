@@ -41,7 +41,7 @@ from bidlens.llm.graph import components
 from bidlens.llm.rows import numbered, unnumbered
 from bidlens.llm.ship import shipped
 from bidlens.llm.words import mixed, shingle_sets, slices
-from bidlens.session import cut_lineage
+from bidlens.session import cut_lineage, settled
 
 GROUP_TOKENS = 1 << 17  # shingles a group may hold; a set counts at least MIN_WEIGHT
 MIN_WEIGHT = 128
@@ -497,7 +497,7 @@ def _schema(df: DataFrame, column: str):
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
                        group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """Per document of ``docs`` (doc_id, text): row, id, n_shingles, component_id, component_row, n_links."""
-    return linked_rows(numbered(docs, ["doc_id", "text"]), k, num, den, group_tokens)
+    return settled(docs.sparkSession, lambda: linked_rows(numbered(docs, ["doc_id", "text"]), k, num, den, group_tokens), "components")
 
 
 def linked_rows(docs: DataFrame, k: int, num: int, den: int, group_tokens: int = GROUP_TOKENS) -> DataFrame:
@@ -546,5 +546,5 @@ def linked_rows(docs: DataFrame, k: int, num: int, den: int, group_tokens: int =
 def keep_one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` (doc_id, text and more) with one row of each component, that of the lowest number; all columns are kept."""
     rows = numbered(docs)
-    dropped = linked_rows(rows, k, num, den).filter("row <> component_row").select("row")
+    dropped = settled(docs.sparkSession, lambda: linked_rows(rows, k, num, den).filter("row <> component_row").select("row"), "dropped")
     return unnumbered(rows.join(dropped, "row", "left_anti"))

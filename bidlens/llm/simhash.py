@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from bidlens.llm.buckets import BLOCK_ROWS, compare_groups, paired, spanning
 from bidlens.llm.graph import components
 from bidlens.llm.ship import shipped
-from bidlens.session import cut_lineage
+from bidlens.session import cut_lineage, settled
 
 BITS = 64
 DISTANCE = 4
@@ -198,12 +198,16 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, k: int = SHINGLE,
     if distance < 0:
         raise ValueError("distance must not be negative")
     rows = cut_lineage(fingerprints(docs, k), "fingerprints")
-    classes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    graph = components(linked_classes(classes.select("fp"), distance, block))
-    placed = classes.join(graph.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "component", F.coalesce("component", "fp"))
-    least = placed.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = cut_lineage(placed.join(least, "component").select("fp", "component_id"), "components")
+
+    def placed() -> DataFrame:
+        classes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
+        graph = components(linked_classes(classes.select("fp"), distance, block))
+        named = classes.join(graph.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+            "component", F.coalesce("component", "fp"))
+        least = named.groupBy("component").agg(F.min("first").alias("component_id"))
+        return named.join(least, "component").select("fp", "component_id")
+
+    ids = settled(docs.sparkSession, placed, "components")
     return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 

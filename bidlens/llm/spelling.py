@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from bidlens.llm.buckets import BLOCK_ROWS, compare_groups, paired
 from bidlens.llm.ship import shipped
 from bidlens.llm.words import mixed
-from bidlens.session import cut_lineage
+from bidlens.session import cut_lineage, settled
 
 LETTERS = "A-Za-zÀ-ÿ"
 LEAST_LETTERS = 7
@@ -262,11 +262,15 @@ def follow(steps: DataFrame) -> DataFrame:
 
 def spelling_variants(docs: DataFrame, ratio: int = RATIO, block: int = BLOCK_ROWS) -> DataFrame:
     """(word, form, root, n, n_near, form_n) of every word of ``docs`` (doc_id, text)."""
-    words = cut_lineage(vocabulary(docs), "words")
-    near = words.join(near_words(words, block), "word", "left")
-    common: Column = F.col("best_n") >= ratio * F.col("n")
-    formed = cut_lineage(near.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
-                                     F.when(common, F.col("best")).alias("form"), F.when(common, F.col("best_n")).alias("form_n")), "forms")
-    roots = follow(formed.filter("form is not null").select("word", "form"))
-    return formed.join(roots, "word", "left").select(
+    def formed() -> DataFrame:
+        words = cut_lineage(vocabulary(docs), "words")
+        near = words.join(near_words(words, block), "word", "left")
+        common: Column = F.col("best_n") >= ratio * F.col("n")
+        return near.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+                           F.when(common, F.col("best")).alias("form"), F.when(common, F.col("best_n")).alias("form_n"))
+
+    spark = docs.sparkSession
+    forms = settled(spark, formed, "forms")
+    roots = settled(spark, lambda: follow(forms.filter("form is not null").select("word", "form")), "roots")
+    return forms.join(roots, "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

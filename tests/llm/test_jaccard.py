@@ -180,7 +180,7 @@ def test_a_giant_family_of_unlinked_sets_opens_no_group(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "MIN_WEIGHT", 8)
     seen = []
     keep = jaccard.cut_lineage
-    monkeypatch.setattr(jaccard, "cut_lineage", lambda df, label="stage": (t := keep(df, label), seen.append((label, t)))[0])
+    monkeypatch.setattr(jaccard, "cut_lineage", lambda df, label="stage": (t := keep(df, label), seen.append((label, t.cache())), t.count())[0])
     passage = [[f"p{i}w{j}" for j in range(40)] for i in range(301)]
     docs = [(i, " ".join(passage[i] + [f"own{i}x{j}" for j in range(12)] + passage[i + 1])) for i in range(300)]
     rows = jaccard_components(frame(spark, docs), 3, 90, 100, 400).collect()
