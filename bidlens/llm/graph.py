@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from bidlens.session import cut_lineage
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(20,0)"))).first())
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """Distinct ``edges`` as a written table, and what tells one set of edges from another, observed while writing."""
+    seen = Observation()
+    marks = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"),
+             F.sum(F.xxhash64("b", "a").cast("decimal(20,0)")).alias("s")]
+    table = cut_lineage(edges.distinct().observe(seen, *marks), "edges")
+    return table, tuple(seen.get[k] for k in ("n", "x", "s"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,16 +27,16 @@ def components(edges: DataFrame) -> DataFrame:
     which adaptive execution splits. Rounds are logarithmic, and each is a written table.
     """
     own = F.col("a") != F.col("b")
-    stars = cut_lineage(edges.filter(own).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = _fingerprint(stars)
+    stars, state = _written(edges.filter(own).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     while state[0]:
         both = stars.union(stars.select("b", "a"))
         low = cut_lineage(both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")), "low")
-        large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        # Read twice, and one row per edge, so it is written as well.
+        large = cut_lineage(both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")), "large")
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", "low"), F.struct(F.col("b").alias("a"), "low"))).alias("e"))
-        stars = cut_lineage(small.select("e.a", F.col("e.low").alias("b")).filter(own).distinct(), "edges")
-        before, state = state, _fingerprint(stars)
+        before = state
+        stars, state = _written(small.select("e.a", F.col("e.low").alias("b")).filter(own))
         if state == before:
             break
     return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
