@@ -17,7 +17,7 @@ from bidlens.catalog.models import LINE_VIEWS, LINES, regress_table
 from bidlens.catalog.scoring import score_sql
 from bidlens.catalog.tables import Tables
 from bidlens.functions import metrics
-from bidlens.operators import boost, cv, eliminate, encode, hurdle, leaves, mixed, stack
+from bidlens.operators import best_first, boost, cv, eliminate, encode, hurdle, leaves, mixed, stack
 from bidlens.session import cut_lineage
 
 SIDES = f"""
@@ -132,6 +132,66 @@ def newton_steps(spark, folder):
     return rounded(booster.predict(rows).select("row", "model_predict"))
 
 
+def _step(g: str, h: str) -> str:
+    return f"-sign({g}) * least(greatest(abs({g}) - 1, 0) / greatest({h}, 0.001), 150)"
+
+
+def _worth(g: str, h: str) -> str:
+    w = f"({_step(g, h)})"
+    return f"(-2 * ({g} * {w} + greatest({h}, 0.001) * {w} * {w} / 2 + abs({w})))"
+
+
+def _gain(g: str, h: str, lg: str, lh: str) -> str:
+    return f"{_worth(lg, lh)} + {_worth(f'({g} - {lg})', f'({h} - {lh})')} - {_worth(g, h)}"
+
+
+# Derivatives at score 0, and all places where a feature of two or three values can be cut.
+SLOPES = """
+slopes as (select *, case when t < 150 then cast(-2 as double) else -150 / t end as g,
+  case when t < 150 then 2 / t else cast(0 as double) end as h from (select *, greatest(y, 0.1) as t,
+    date_diff('day', date '2019-04-01', days) % 3 as third from folded)),
+cuts(feature, place) as (values (0, 0), (1, 0), (1, 1))"""
+_LEFT = "case when c.feature = 0 then s.big <= c.place else s.third <= c.place end"
+
+
+def _cut_sums(rows: str, by: str) -> str:
+    return f"""
+select {by}, c.feature, c.place, sum(s.g) as g, sum(s.h) as h, coalesce(sum(s.g) filter ({_LEFT}), 0) as lg,
+  coalesce(sum(s.h) filter ({_LEFT}), 0) as lh, count(*) filter ({_LEFT}) as ln, count(*) as n from {rows} s, cuts c group by all"""
+
+
+@query("best_first_splits", f"""
+with {SIDES}, {SLOPES},
+root as (select feature, place from ({_cut_sums('slopes', '0 as side')}) where ln between 1 and n - 1
+  order by {_gain('g', 'h', 'lg', 'lh')} desc, feature, place limit 1),
+sided as (select s.*, case when {_LEFT} then 0 else 1 end as side from slopes s, root c),
+second as (select side, feature, place from ({_cut_sums('sided', 's.side')}) where ln between 1 and n - 1
+  order by {_gain('g', 'h', 'lg', 'lh')} desc, side, feature, place limit 1),
+leaves as (select s.*, case when s.side <> c.side then 2 when {_LEFT} then 0 else 1 end as leaf from sided s, second c),
+steps as (select leaf, 0.3 * {_step('sum(g)', 'sum(h)')} as v from leaves group by leaf)
+select row, {r('v', 'model_predict')} from leaves join steps on leaves.leaf = steps.leaf""", LINE_VIEWS)
+def best_first_splits(spark, folder):
+    rows = side_table(Tables(spark, folder))
+    rows = rows.withColumn("third", F.date_diff("days", F.lit("2019-04-01").cast("date")) % 3)
+    params = best_first.BestFirstParams(rounds=1, rate=0.3, num_leaves=3, min_rows=1, columns=1.0, l1=1.0)
+    fitted = best_first.best_first_boost(rows, ["big", "third"], "Y", params=params, key="row")
+    return rounded(fitted.predict(rows).select("row", "model_predict"))
+
+
+@query("best_first_folds", f"""
+with {SIDES}, {SLOPES},
+sums as (select k.fold, s.big, sum(s.g) as g, sum(s.h) as h from numbers k join slopes s on s.fold <> k.fold group by all),
+wholes as (select fold, sum(g) as g, sum(h) as h, sum(case when big = 0 then g else 0 end) as lg,
+  sum(case when big = 0 then h else 0 end) as lh, count(*) as sides from sums group by fold),
+steps as (select s.fold, s.big, 0.3 * case when sides = 2 and {_gain('w.g', 'w.h', 'lg', 'lh')} > 0
+    then {_step('s.g', 's.h')} else {_step('w.g', 'w.h')} end as v from sums s join wholes w on s.fold = w.fold)
+select f.row, f.y as "Y", {r('v', 'prediction_oof')} from folded f join steps s on f.fold = s.fold and f.big = s.big""", LINE_VIEWS)
+def best_first_folds(spark, folder):
+    params = best_first.BestFirstParams(rounds=1, rate=0.3, num_leaves=2, min_rows=1, columns=1.0, l1=1.0)
+    _, oof = best_first.best_first_kfold(side_table(Tables(spark, folder)), ["big"], "Y", params=params, key="row")
+    return rounded(oof.select("row", "Y", "prediction_oof"))
+
+
 @query("mixed_ids_kfold", f"""
 with {SIDES} select f.row, f.y as "Y", {r('s.root * s.root', 'prediction_oof', 3)} from folded f join sides s on f.fold = s.fold and f.big = s.big""", LINE_VIEWS)
 def mixed_ids_kfold(spark, folder):
