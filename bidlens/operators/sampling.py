@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bidlens.functions.scalar import SPREAD_RANGE, spread
@@ -36,10 +36,16 @@ def upsample_minority(df: DataFrame, label: str) -> DataFrame:
 
 
 def shuffled_places(df: DataFrame, key: str, salt: int = 0, into: str = "place", limit: int = GROUP_LIMIT) -> DataFrame:
-    """Add each row's place, from 0, in a shuffled order of all rows; ``key`` is unique and under 2^31."""
-    hashed = df.withColumn("_hash", spread(key, salt))
-    placed = value_positions(hashed, [], "_hash", limit).select("_hash", F.col("n_before").alias(into))
-    return hashed.join(placed, "_hash").drop("_hash")
+    """Add each row's place, from 0, in a shuffled order of all rows with a ``key``, which is unique.
+
+    Keys from 2^31 on may share a hash; they follow each other in their own order. Rows without a key have no place.
+    """
+    keyed = df.filter(F.col(key).isNotNull())
+    hashed = keyed.withColumn("_hash", spread(key, salt))
+    placed = value_positions(hashed, [], "_hash", limit).select("_hash", F.col("n_before").alias("_before"))
+    tie = F.row_number().over(Window.partitionBy("_hash").orderBy(key)) - 1
+    found = hashed.join(placed, "_hash").withColumn(into, F.col("_before") + tie).drop("_hash", "_before")
+    return found.unionByName(df.filter(F.col(key).isNull()).withColumn(into, F.lit(None).cast("bigint")))
 
 
 def fold_by_hash(key: Column | str, k: int = 5, salt: int = 0) -> Column:
@@ -57,22 +63,23 @@ def _contiguous(at: Column, n: Column, k: int) -> Column:
 
 def assign_folds(df: DataFrame, key: str, k: int = 5, how: str = "hash", label: str | None = None,
                  salt: int = 0, into: str = "fold", limit: int = GROUP_LIMIT) -> DataFrame:
-    """Add a fold number.
+    """Add a fold number; rows without a key stay, with a null fold.
 
     ``hash``: shuffled, no data movement. ``contiguous``: runs in the order of the
-    unique ``key``. ``stratified``: each label spread evenly over the folds.
+    unique ``key``. ``stratified``: each label spread evenly over the folds, null being a label.
     """
     if how == "hash":
         return df.withColumn(into, fold_by_hash(key, k, salt))
     if how == "contiguous":
         placed = value_positions(df, [], key, limit).select(
             key, _contiguous(F.col("n_before"), F.col("n_total"), k).alias(into))
-        return df.join(placed, key)
+        return df.join(placed, key, "left")
     if how == "stratified":
-        hashed = df.withColumn("_hash", spread(key, salt))
-        placed = value_positions(hashed, [label], "_hash", limit).select(
-            label, "_hash", (F.col("n_before") % k).cast("int").alias(into))
-        return hashed.join(placed, [label, "_hash"]).drop("_hash")
+        # A struct is equal to itself also where the label in it is null.
+        hashed = df.withColumns({"_hash": spread(key, salt), "_label": F.struct(label)})
+        placed = value_positions(hashed, ["_label"], "_hash", limit).select(
+            "_label", "_hash", (F.col("n_before") % k).cast("int").alias(into))
+        return hashed.join(placed, ["_label", "_hash"], "left").drop("_hash", "_label")
     raise ValueError(f"unknown split {how}")
 
 
