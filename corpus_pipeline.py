@@ -9,12 +9,13 @@ each group, the secret scan replaces secrets in the texts. Packing returns the p
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from bidlens.llm import dedup, jaccard, packing, quality, secret_scan
 from bidlens.llm.base import table
-from bidlens.session import cut_lineage
+from bidlens.session import settled
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -49,8 +50,11 @@ ORACLE_SQL = None  # the tokenizer and the suffix array have no SQL; tests/llm/t
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pieces of all documents that stay, each stage written and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = cut_lineage(stage(spark, docs, sf_dir), name)
-    return docs
+    """The pieces of all documents that stay, each stage written and read again; only the last stage's table is left."""
+    def stages() -> DataFrame:
+        docs = table(spark, sf_dir, "documents")
+        for name, stage in STAGES:
+            docs = settled(spark, partial(stage, spark, docs, sf_dir), name)
+        return docs
+
+    return settled(spark, stages, "pieces")
