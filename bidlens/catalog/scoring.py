@@ -247,6 +247,11 @@ def mic_scores(spark, folder):
     return rounded(select.mic_scores(Tables(spark, folder).base("lineitem"), MIC_FEATURES, "l_extendedprice"))
 
 
+@query("free_line_scores")
+def free_line_scores(spark, folder):
+    return rounded(select.free_line_scores(Tables(spark, folder).base("lineitem"), MIC_FEATURES, "l_extendedprice"))
+
+
 @query("mic_pair", f"select score from ({mic_sql(['l_quantity'], 'l_tax', 'lineitem')})")
 def mic_pair(spark, folder):
     return rounded(select.mic_pair(Tables(spark, folder).base("lineitem"), "l_quantity", "l_tax"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,8 +17,11 @@ from bidlens.session import cut_lineage
 
 PairScore = Callable[[Column, Column], Column]
 SCORES_PER_PASS = 200
+CLUMPS = 256  # places a free line may take, a power of two
 GRID_POWER = 0.6  # fixed value: a grid may have up to n^0.6 cells
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have this module
+
 
 def relation_scores(df: DataFrame, features: Sequence[str], label: str, score: PairScore = F.corr) -> DataFrame:
     """Score of each feature against the label, as ``feature``, ``score``.
@@ -100,6 +107,86 @@ def mic_scores(df: DataFrame, features: Sequence[str], label: str, power: float
     return best.select(titles[F.col("_f")].alias("feature"), "score")
 
 
+def _xlogx(c: np.ndarray) -> np.ndarray:
+    return c * np.log(np.maximum(c, 1))
+
+
+def best_lines(table: np.ndarray, lines: int) -> float:
+    """Highest normalised information over all ways to join the table's rows, in order, to 2..``lines`` runs; columns stay.
+
+    Dynamic programming over the last run's start: ``saved[j]`` is the best sum of c log c of the cells, less that
+    of the runs, over the first j rows.
+    """
+    table = table[:, table.sum(axis=0) > 0].astype(np.float64)
+    n, b = table.sum(), table.shape[1]
+    if b < 2 or len(table) < 2:
+        return 0.0
+    upto = np.concatenate([np.zeros((1, b)), np.cumsum(table, axis=0)])
+    totals = upto.sum(axis=1)
+    run = np.full((len(upto), len(upto)), -np.inf)
+    for i in range(len(table)):
+        run[i, i + 1:] = _xlogx(upto[i + 1:] - upto[i]).sum(axis=1) - _xlogx(totals[i + 1:] - totals[i])
+    own = np.log(n) - _xlogx(table.sum(axis=0)).sum() / n
+    saved, best = run[0].copy(), 0.0
+    for count in range(2, min(lines, len(table)) + 1):
+        saved = np.maximum(saved, (saved[:, None] + run).max(axis=0))
+        best = max(best, (own + saved[-1] / n) / np.log(min(count, b)))
+    return best
+
+
+def free_line_scores(df: DataFrame, features: Sequence[str], label: str, power: float = GRID_POWER,
+                     limit: int = GROUP_LIMIT) -> DataFrame:
+    """Information coefficient in [0, 1] of each feature with the label, one axis of a grid cut freely.
+
+    For every power of two b, one axis has b equal-frequency bins; the other's lines are placed best over up to
+    ``CLUMPS`` equal-frequency clumps, as many lines as n^power cells allow, by dynamic programming; both
+    axes take both parts. The result is never below that of ``mic_scores``, whose grids with more lines count too.
+
+    Places of values are joined as tables. What one task holds is a table of clumps and bins, bounded by the
+    cells and not by the rows; only sums go there.
+    """
+    names = [*features, label]
+    used = cut_lineage(df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)]).na.drop("any"), "pairs")
+    rows = used.count()
+    if not rows:
+        return df.sparkSession.createDataFrame([], "feature string, score double")
+    cells = max(rows ** power, 4.0)
+    most = [1 << i for i in range(1, 63) if 2 << i <= cells]
+    last = f"c{len(features)}"
+    placed = cut_lineage(value_positions(used.unpivot([], used.columns, "stat", "value"), ["stat"], "value", limit)
+                         .select("stat", "value", "n_before"), "places")
+    own = placed.filter(F.col("stat") == last).select(F.col("value").alias(last), F.col("n_before").alias("y"))
+    others = placed.filter(F.col("stat") != last).withColumnRenamed("n_before", "x")
+    long = used.join(own, last).unpivot(["y"], used.columns[:-1], "stat", "value").join(others, ["stat", "value"])
+
+    def at(place: str, of: Column | int) -> Column:
+        return F.floor(F.col(place) * of / rows)
+
+    fine = long.select("stat", F.explode(F.array(
+        F.struct(F.lit(False).alias("turned"), at("x", CLUMPS).alias("clump"), at("y", most[-1]).alias("bin")),
+        F.struct(F.lit(True).alias("turned"), at("y", CLUMPS).alias("clump"), at("x", most[-1]).alias("bin")))).alias("c"))
+    fine = cut_lineage(fine.groupBy("stat", "c").agg(F.count(F.lit(1)).alias("n")), "cells").select("stat", "c.*", "n")
+    # With few lines, fewer clumps will do: sixteen to a line.
+    clumps = [min(CLUMPS, 1 << (int(16 * cells / b) - 1).bit_length()) for b in most]
+    levels = F.lit([[b, k] for b, k in zip(most, clumps)])
+    grids = fine.select("stat", "turned", "clump", "bin", "n", F.explode(levels).alias("l")).groupBy(
+        "stat", "turned", F.col("l")[0].alias("b"), F.floor(F.col("clump") * F.col("l")[1] / CLUMPS).alias("clump"),
+        F.floor(F.col("bin").cast("bigint") * F.col("l")[0] / most[-1]).alias("bin")).agg(F.sum("n").alias("n"))
+
+    def scored(table: pa.Table) -> pa.Table:
+        clump, of_clump = np.unique(table.column("clump").to_numpy(), return_inverse=True)
+        bins, of_bin = np.unique(table.column("bin").to_numpy(), return_inverse=True)
+        whole = np.zeros((len(clump), len(bins)), np.int64)
+        whole[of_clump, of_bin] = table.column("n").to_numpy()
+        b = table.column("b")[0].as_py()
+        return table.slice(0, 1).select(["stat"]).append_column("score", pa.array([best_lines(whole, int(cells // b))]))
+
+    found = grids.groupBy("stat", "turned", "b").applyInArrow(scored, "stat string, score double")
+    titles = F.create_map(*[F.lit(v) for i, f in enumerate(features) for v in (f"c{i}", f)])
+    free = found.select(titles[F.col("stat")].alias("feature"), F.least("score", F.lit(1.0)).alias("score"))
+    return free.unionByName(mic_scores(df, features, label, power, limit)).groupBy("feature").agg(F.max("score").alias("score"))
+
+
 def mic_pair(df: DataFrame, x: str, y: str, **options) -> DataFrame:
     return mic_scores(df, [x], y, **options).select("score")
 
