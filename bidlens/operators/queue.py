@@ -87,12 +87,37 @@ def is_parsed(log: DataFrame) -> bool:
     return "queue" in log.columns
 
 
-def ad_day_users(log: DataFrame, keys: list[str] | None = None, packed: str = "ad_info") -> DataFrame:
-    """Distinct users whose queues contain the ad, per day; of a parsed queue only the ads are read."""
-    keys = keys or ["ad_id", "days"]
+def user_rows(log: DataFrame, packed: str = "ad_info") -> DataFrame:
+    """(days, user_id, ad_id) of every queue entry; of a parsed queue only the ads are read."""
     ads = F.col("queue.ad_id") if is_parsed(log) else F.transform(raw_entries(packed), lambda e: entry_ad(e).cast("bigint"))
-    seen = log.select("days", "user_id", F.posexplode_outer(ads).alias("_at", "ad_id")).filter("_at is not null")
-    return seen.groupBy(*keys).agg(F.countDistinct("user_id").alias("user_num"))
+    return log.select("days", "user_id", F.posexplode_outer(ads).alias("_at", "ad_id")).filter("_at is not null").drop("_at")
+
+
+def ad_day_users(log: DataFrame, keys: list[str] | None = None, packed: str = "ad_info") -> DataFrame:
+    """Distinct users whose queues contain the ad, per day."""
+    return user_rows(log, packed).groupBy(*(keys or ["ad_id", "days"])).agg(F.countDistinct("user_id").alias("user_num"))
+
+
+# Statistic and the column of a queue's profile that it averages.
+AVERAGED = {
+    "filter_rate": "filter_flag", "total_ecpm": "total_ecpm", "q_ecpm": "q_ecpm",
+    "pctr": "pctr", "rival_epcm": "rival_epcm", "rival_pctr": "rival_pctr",
+    "rival_q_epcm": "rival_q_epcm", "rival_filter_rate": "rival_filter_rate",
+    "rival_max_epcm": "rival_max_epcm", "rival_num": "rival_num",
+}
+
+
+def ad_day_sums(log: DataFrame, layout: QueueLayout = TRAIN_ENTRY) -> DataFrame:
+    """Requests and sums of the averaged values per (ad, day); sums of parts of a day add up."""
+    parsed = log.select("days", "queue") if is_parsed(log) else parse_queue(log.select("days", "ad_info"), layout)
+    rows = explode_queue(queue_profile(parsed, floor_max=0.0))
+    return rows.groupBy("ad_id", "days").agg(
+        F.count(F.lit(1)).alias("requestion_num"), *[F.sum(source).alias(name) for name, source in AVERAGED.items()])
+
+
+def averaged(sums: DataFrame) -> DataFrame:
+    """``ad_day_sums`` as averages: one shared count, half the aggregation buffer of separate ones."""
+    return sums.select("ad_id", "days", "requestion_num", *[(F.col(n) / F.col("requestion_num")).alias(n) for n in AVERAGED])
 
 
 def ad_day_request_stats(log: DataFrame, layout: QueueLayout = TRAIN_ENTRY) -> DataFrame:
@@ -103,19 +128,7 @@ def ad_day_request_stats(log: DataFrame, layout: QueueLayout = TRAIN_ENTRY) -> D
     part of the first it would spread the partial sums over (ad, day, user) and shuffle
     them nearly uncombined.
     """
-    parsed = log.select("days", "queue") if is_parsed(log) else parse_queue(log.select("days", "ad_info"), layout)
-    rows = explode_queue(queue_profile(parsed, floor_max=0.0))
-    sums = {
-        "filter_rate": "filter_flag", "total_ecpm": "total_ecpm", "q_ecpm": "q_ecpm",
-        "pctr": "pctr", "rival_epcm": "rival_epcm", "rival_pctr": "rival_pctr",
-        "rival_q_epcm": "rival_q_epcm", "rival_filter_rate": "rival_filter_rate",
-        "rival_max_epcm": "rival_max_epcm", "rival_num": "rival_num",
-    }
-    # Sum over one shared count: half the aggregation buffer of separate averages.
-    stats = rows.groupBy("ad_id", "days").agg(
-        F.count(F.lit(1)).alias("requestion_num"),
-        *[(F.sum(source) / F.count(F.lit(1))).alias(name) for name, source in sums.items()],
-    )
+    stats = averaged(ad_day_sums(log, layout))
     return stats.join(ad_day_users(log), ["ad_id", "days"]).select("ad_id", "days", *STAT_COLUMNS)
 
 
