@@ -45,8 +45,8 @@ from bidlens.session import cut_lineage, settled
 
 GROUP_TOKENS = 1 << 17  # shingles a group may hold; a set counts at least MIN_WEIGHT
 MIN_WEIGHT = 128
-PART_TOKENS = 1 << 20  # shingles counted in one task at once
-FLUSH_TOKENS = 1 << 20  # shingles of a task brought together before they are dealt out
+PART_TOKENS = 1 << 19  # shingles counted in one task at once
+FLUSH_TOKENS = 1 << 19  # shingles of a task brought together before they are dealt out
 LOCAL_FREQUENT = 8  # sets of a task's batch that make a shingle a candidate for a frequent one
 FREQUENT_PARTS = 1_000_000  # a frequent shingle has this part of all shingles, so there are at most as many
 LEAST_FREQUENT = 1000  # but at least so many sets

@@ -17,7 +17,7 @@ from bidlens.llm.secret_scan import scan
 from bidlens.llm.separators import document_tokens
 from bidlens.llm.simhash import hex_digits, near_duplicates
 from bidlens.llm.spelling import spelling_variants
-from bidlens.llm.sql import CHAT, EXACT_DUPLICATES, JACCARD_COMPONENTS, URL_VERDICTS
+from bidlens.llm.sql import CHAT, EXACT_DUPLICATES, JACCARD_COMPONENTS, SPELLING_VARIANTS, URL_VERDICTS
 from bidlens.llm.urls import judge
 from bidlens.llm.whitening import whitened_rows
 
@@ -110,4 +110,5 @@ ORACLES = {
     "op6_url_filters": URL_VERDICTS,
     "op7_exact_dedup": EXACT_DUPLICATES,
     "op10_chat_formatting": CHAT,
+    "op12_spelling_variants": SPELLING_VARIANTS,
 }

