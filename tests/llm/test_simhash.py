@@ -110,3 +110,12 @@ def test_crowded_fingerprints_equal_brute_force(spark, distance, block):
             changed |= low[a] != least or low[b] != least
             low[a] = low[b] = least
     assert low == brute_components(values, distance)
+
+
+def test_query_equals_brute_force(spark):
+    from bidlens.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    rows = QUERIES["op13_simhash_dedup"](spark, folder).collect()
+    assert sorted((tuple(r) for r in rows), key=str) == brute(docs)
