@@ -18,7 +18,7 @@ HEADLINE = [
     "group_stat_median_lags", "group_stat_std_lags", "exact_percentile", "percentile_scale", "quantile_bin",
     "frequency_encode", "index_encode", "assign_folds", "blend_grid", "answer_by_bid", "auc_score",
     "mic_scores", "fm_score", "diffusion_features", "kfold_oof",
-    "gbt_kfold", "custom_objective_boost", "leaf_fm_kfold", "mixed_regressor_kfold",
+    "gbt_kfold", "custom_objective_boost", "leaf_fm_kfold", "mixed_regressor_kfold", "best_first_folds", "free_line_scores",
 ]
 
 
