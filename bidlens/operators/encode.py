@@ -201,6 +201,13 @@ def index_encode(df: DataFrame, fitted: dict[str, DataFrame], suffix: str = "")
     return df
 
 
+def vector_entries(vector: Column | str) -> Column:
+    """Positions ``at`` and ``values`` that a sparse vector holds; rows never hold its length."""
+    entries = F.udf(lambda v: None if v is None else (v.indices.tolist(), v.values.tolist()),
+                    "at array<bigint>, values array<double>")
+    return entries(vector)
+
+
 def nominal(df: DataFrame, sizes: dict[str, int]) -> DataFrame:
     """Mark columns that hold codes from 0 as categories, so that trees split them by sets of codes."""
     marked = {c: F.col(c).cast("double").alias(c, metadata={"ml_attr": {"name": c, "type": "nominal", "num_vals": n}})
