@@ -70,8 +70,8 @@ def mic_scores(df: DataFrame, features: Sequence[str], label: str, power: float
     of two per axis, with at most n^power cells (at least 4). Grids with freely placed lines
     could reach more, so this bounds the maximal information coefficient from below.
 
-    For each number of bins of the feature, rows are counted on the grid with the most bins
-    of the label, each task holding at most its n^power cells; the others are sums of these.
+    Rows are counted once, by their places on the finest bins. For each number of bins of the feature these
+    counts are summed on the grid with the most bins of the label; the other grids are sums of these.
     """
     names = [*features, label]
     used = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in names]).na.drop("any"), "pairs")
@@ -85,15 +85,17 @@ def mic_scores(df: DataFrame, features: Sequence[str], label: str, power: float
     binned = used.select(*[bins[c].alias(f"b{i}") for i, c in enumerate(names)])
     last = f"b{len(features)}"
     grids = F.lit([[a, max(b for b in widest if a * b <= cells)] for a in widest])
-    long = binned.unpivot([last], [f"b{i}" for i in range(len(features))], "_f", "bx").select(
-        "_f", "bx", F.col(last).alias("by"), F.explode(grids).alias("_g"))
+    # Rows of one place on the finest bins count together, so that each row is counted once and not once a grid.
+    places = binned.unpivot([last], [f"b{i}" for i in range(len(features))], "_f", "bx").groupBy(
+        "_f", "bx", F.col(last).alias("by")).agg(F.count(F.lit(1)).alias("n"))
+    long = places.select("_f", "bx", "by", "n", F.explode(grids).alias("_g"))
 
     def shrunk(number: str, of: Column, into: Column) -> Column:
         return F.floor(F.col(number).cast("bigint") * into / of)
 
-    full = long.select("_f", F.col("_g")[0].alias("a"), F.col("_g")[1].alias("most"), shrunk("bx", F.lit(finest), F.col("_g")[0]).alias("bx"),
+    full = long.select("_f", "n", F.col("_g")[0].alias("a"), F.col("_g")[1].alias("most"), shrunk("bx", F.lit(finest), F.col("_g")[0]).alias("bx"),
                        shrunk("by", F.lit(finest), F.col("_g")[1]).alias("by")).groupBy("_f", "a", "most", "bx", "by").agg(
-        F.count(F.lit(1)).alias("n"))
+        F.sum("n").alias("n"))
     spread_out = full.withColumn("b", F.explode(F.filter(F.lit(widest), lambda b: b <= F.col("most"))))
     grid = ["_f", "a", "b"]
     coarse = spread_out.groupBy(*grid, "bx", shrunk("by", F.col("most"), F.col("b")).alias("by")).agg(F.sum("n").alias("n"))
