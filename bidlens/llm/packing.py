@@ -44,7 +44,7 @@ INSIDE_PENALTY = 8
 PER_WINDOW = 1  # keeps free power-of-two windows from replacing full ones without need
 FORCED = 64  # longest stretch without a cut position
 STRETCH = 1 << 19  # at least; 64 windows if these are more
-TEXT_BYTES = 4 << 20  # text encoded at once; more finds more repeated pieces
+TEXT_BYTES = 1 << 20  # text encoded at once; more finds more repeated pieces and takes about 30 bytes of memory a byte
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "sequence_tokens long")
 
