@@ -195,6 +195,7 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, wi
                 inner[np.cumsum(sizes) - 1] = False
                 whole[inner] = ids
                 yield from packer.add(batch.column(0).slice(piece.first, piece.size), whole, sizes)
+                pa.default_memory_pool().release_unused()  # else a worker keeps what its largest slice took
         yield from packer.finish()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

@@ -69,10 +69,13 @@ def spaced_pieces(piece: Slice) -> pa.Array:
         cut[hit + 1] = False
         letter = to[to < len(data)]
         cut[letter] |= kind[letter] != SPACE
-    moved = np.arange(len(data)) + np.cumsum(cut[:-1])
+    moved = np.cumsum(cut[:-1], dtype=np.int32 if len(data) < 1 << 30 else np.int64)
+    moved += np.arange(len(data), dtype=moved.dtype)
     wide = np.full(len(data) + int(cut[:-1].sum()), 0x20, np.uint8)
     wide[moved] = data
-    borders = np.append(moved, len(wide))[piece.borders].astype(np.int64)
+    borders = np.full(len(piece.borders), len(wide), np.int64)
+    inner = piece.borders < len(data)
+    borders[inner] = moved[piece.borders[inner]]
     return pa.Array.from_buffers(pa.large_string(), piece.size, [None, pa.py_buffer(borders), pa.py_buffer(wide)])
 
 

@@ -8,7 +8,8 @@ each group, the secret scan replaces secrets in the texts. Packing returns the p
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,10 @@ from bidlens.session import settled
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Bytes of rows sent to a Python worker at once. Executors and workers hold a few such batches for each running task and
+# keep their memory for the next stage.
+BATCH_BYTES = 4 << 20
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
@@ -49,6 +54,18 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None  # the tokenizer and the suffix array have no SQL; tests/llm/test_pipeline.py checks all stages
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows travel to Python workers in batches of at most ``BATCH_BYTES``, or a row, within this block."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all documents that stay, each stage written and read again; only the last stage's table is left."""
     def stages() -> DataFrame:
@@ -57,4 +74,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             docs = settled(spark, partial(stage, spark, docs, sf_dir), name)
         return docs
 
-    return settled(spark, stages, "pieces")
+    with small_batches(spark):
+        return settled(spark, stages, "pieces")
