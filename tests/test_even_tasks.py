@@ -1,0 +1,14 @@
+"""Tables and shuffles are cut into more tasks than there are cores, also below the size of one shuffle read."""
+
+from pyspark.sql import functions as F
+
+from bidlens.catalog.tables import Tables
+
+
+def test_a_table_gives_every_core_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 64_000, 1, 32).withColumn("x", F.repeat(F.uuid(), 40))
+    rows.write.parquet(str(tmp_path / "rows"))
+    Tables(spark, "/root/testdata/sf0.001")
+    cores = spark.sparkContext.defaultParallelism
+    assert spark.read.parquet(str(tmp_path / "rows")).rdd.getNumPartitions() >= 4 * cores
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(16 << 20)
