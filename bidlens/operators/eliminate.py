@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import replace
+from functools import partial
 
 from pyspark.ml import Estimator
 from pyspark.ml.classification import GBTClassifier
@@ -16,7 +17,7 @@ from bidlens.operators.cv import Learner, assemble, importance_sum, kfold_oof
 from bidlens.operators.encode import split_back, union_sets
 from bidlens.operators.sampling import assign_folds
 from bidlens.operators.select import bottom_features, feature_intersection, top_features
-from bidlens.session import cut_lineage
+from bidlens.session import cut_lineage, side_by_side
 
 Combine = Callable[[list[DataFrame]], DataFrame]
 WORST_SCORE = 100.0  # fixed value: lower scores are better and start from here
@@ -37,11 +38,9 @@ def rfe_multi(df: DataFrame, estimators: Sequence[Estimator], features: Sequence
     left = list(features)
     while True:
         rows = assemble(table, left, "_x").select("_x", label)
-        kept = []
-        for est in estimators:
-            model = Learner(est, tuple(left)).configured(label, "_x", None).fit(rows)
-            importance = importance_sum(df.sparkSession, [model], left)
-            kept.append(top_features(importance, step, target, len(left)))
+        models = side_by_side(df.sparkSession, [
+            partial(Learner(est, tuple(left)).configured(label, "_x", None).fit, rows) for est in estimators])
+        kept = [top_features(importance_sum(df.sparkSession, [model], left), step, target, len(left)) for model in models]
         names = _names(combine(kept))
         remaining = [f for f in left if f in names]
         if len(remaining) <= target or len(remaining) == len(left):
