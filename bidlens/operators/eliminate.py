@@ -38,7 +38,7 @@ def rfe_multi(df: DataFrame, estimators: Sequence[Estimator], features: Sequence
     left = list(features)
     while True:
         rows = assemble(table, left, "_x").select("_x", label)
-        models = side_by_side(df.sparkSession, [
+        models = side_by_side(rows, [
             partial(Learner(est, tuple(left)).configured(label, "_x", None).fit, rows) for est in estimators])
         kept = [top_features(importance_sum(df.sparkSession, [model], left), step, target, len(left)) for model in models]
         names = _names(combine(kept))

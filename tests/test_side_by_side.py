@@ -74,7 +74,24 @@ def test_results_keep_their_order_and_local_properties_apart(spark):
         found = spark.range(i + 1).count()
         return i, found, spark.sparkContext.getLocalProperty("side")
 
-    assert side_by_side(spark, [lambda i=i: job(i) for i in range(6)]) == [(i, i + 1, str(i)) for i in range(6)]
+    table = spark.range(4)
+    assert side_by_side(table, [lambda i=i: job(i) for i in range(6)]) == [(i, i + 1, str(i)) for i in range(6)]
     assert spark.sparkContext.getLocalProperty("side") is None
     with pytest.raises(ZeroDivisionError):
-        side_by_side(spark, [lambda: 1, lambda: 1 // 0])
+        side_by_side(table, [lambda: 1, lambda: 1 // 0])
+
+
+@pytest.mark.parametrize("tasks, most", [(4, 4), (8, 2), (100, 1)])
+def test_large_tables_are_fitted_one_at_a_time(spark, tasks, most):
+    running, counts, lock = [], [], threading.Lock()
+
+    def job():
+        with lock:
+            running.append(1)
+            counts.append(len(running))
+        threading.Event().wait(0.5)
+        with lock:
+            running.pop()
+
+    side_by_side(spark.range(0, 1000, 1, tasks), [job] * 4)  # four cores
+    assert max(counts) == most
